@@ -37,3 +37,288 @@ def q_vsm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     qt = rk.query_term_counts(rk.query_tokens(query_table(spark, sf_dir, "benchmark")))
     scores = rk.vsm_scores(idx.postings, idx.vocab, qt)
     return rk.rank_documents(scores)
+
+
+def news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from termite.sources.tables import news_documents
+
+    return news_documents(spark, sf_dir)
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "documents", "doc_id", "text")
+
+
+# --- index operators (A1-A7, A10, F5, F7, W9, J1, J2) ---------------------------------
+
+@register("explode_tokens")
+def q_explode_tokens(spark, sf_dir):
+    """the long token table (doc_id, pos, term)."""
+    return corpus_index(spark, sf_dir).tokens
+
+
+@register("term_frequency")
+def q_term_frequency(spark, sf_dir):
+    return ix.term_frequency(corpus_index(spark, sf_dir).tokens)
+
+
+@register("distinct_terms")
+def q_distinct_terms(spark, sf_dir):
+    return ix.corpus_stats(corpus_index(spark, sf_dir).tokens)
+
+
+@register("filter_top_terms")
+def q_filter_top_terms(spark, sf_dir):
+    return ix.top_terms(corpus_index(spark, sf_dir).tokens)
+
+
+@register("top_terms")
+def q_top_terms(spark, sf_dir):
+    """A3: terms with cf > 100, most frequent first (a distributed range sort)."""
+    t = ix.top_terms(corpus_index(spark, sf_dir).tokens)
+    return t.orderBy(F.col("cf").desc(), F.col("term"))
+
+
+@register("most_common")
+def q_most_common(spark, sf_dir):
+    """The 20 most common terms."""
+    return ix.most_common(corpus_index(spark, sf_dir).tokens, 20)
+
+
+@register("build_dictionary")
+def q_build_dictionary(spark, sf_dir):
+    return ix.build_dictionary(corpus_index(spark, sf_dir).vocab)
+
+
+@register("build_inverted_index")
+def q_build_inverted_index(spark, sf_dir):
+    return corpus_index(spark, sf_dir).postings.select("term", "doc_id", "tf")
+
+
+@register("collection_idf")
+def q_collection_idf(spark, sf_dir):
+    v = corpus_index(spark, sf_dir).vocab
+    return v.select("term", "cf", "df", F.round("idf", 6).alias("idf"))
+
+
+@register("term_weight_matrix")
+def q_term_weight_matrix(spark, sf_dir):
+    idx = corpus_index(spark, sf_dir)
+    v = idx.vocab.select("term", "idf_dec")
+    return idx.postings.join(v, "term").select(
+        "doc_id", "term", "tf", (F.col("tf") * F.col("idf_dec")).cast("double").alias("tfidf"))
+
+
+@register("distinct_terms_per_row")
+def q_distinct_terms_per_row(spark, sf_dir):
+    return ix.distinct_terms_per_doc(corpus_index(spark, sf_dir).postings)
+
+
+@register("postings_lookup")
+def q_postings_lookup(spark, sf_dir):
+    """Each benchmark query term -> its documents (unknown term: no rows)."""
+    from termite.plans.sizing import broadcast_if_small
+
+    idx = corpus_index(spark, sf_dir)
+    qt = rk.query_term_counts(rk.query_tokens(query_table(spark, sf_dir, "benchmark")))
+    qt = broadcast_if_small(qt.select("query_id", "term"))
+    return idx.postings.join(qt, "term").select("query_id", "term", "doc_id", "tf")
+
+
+@register("fetch_documents")
+def q_fetch_documents(spark, sf_dir):
+    """Ranked results joined to their document rows (name)."""
+    top = q_vsm_score(spark, sf_dir)
+    return top.join(news(spark, sf_dir).select("doc_id", "name"), "doc_id").select(
+        "query_id", "rank", "doc_id", "name")
+
+
+# --- scalar text functions (P1-P9, P12-P18) ------------------------------------------
+
+from termite.functions import text as tx  # noqa: E402
+
+
+def _doc_map(spark, sf_dir, expr, src="text"):
+    d = news(spark, sf_dir)
+    return d.select("doc_id", expr(F.col(src)).alias("out"))
+
+
+@register("concat_fields")
+def q_concat_fields(spark, sf_dir):
+    d = news(spark, sf_dir)
+    return d.select("doc_id", tx.concat_fields("name", "description").alias("out"))
+
+
+@register("strip_punctuation")
+def q_strip_punctuation(spark, sf_dir):
+    return _doc_map(spark, sf_dir, tx.strip_punctuation)
+
+
+@register("strip_digits")
+def q_strip_digits(spark, sf_dir):
+    return _doc_map(spark, sf_dir, tx.strip_digits)
+
+
+@register("non_alnum_to_space")
+def q_non_alnum_to_space(spark, sf_dir):
+    return _doc_map(spark, sf_dir, tx.non_alnum_to_space)
+
+
+@register("collapse_whitespace")
+def q_collapse_whitespace(spark, sf_dir):
+    return _doc_map(spark, sf_dir, tx.collapse_whitespace)
+
+
+@register("fold_case")
+def q_fold_case(spark, sf_dir):
+    return _doc_map(spark, sf_dir, tx.fold_case)
+
+
+@register("strip_parenthesised")
+def q_strip_parenthesised(spark, sf_dir):
+    return _doc_map(spark, sf_dir, tx.strip_parenthesised)
+
+
+@register("fill_missing")
+def q_fill_missing(spark, sf_dir):
+    """NULL kept inside, sentinel only at output."""
+    d = news(spark, sf_dir)
+    return d.select("doc_id", F.coalesce("description", F.lit("NaN")).alias("description"),
+                    F.coalesce(F.array_join("topics", " "), F.lit("NaN")).alias("topic"))
+
+
+@register("tokenise")
+def q_tokenise(spark, sf_dir):
+    t = tx.tokenize(tx.strip_punctuation(tx.fold_case(F.col("text"))))
+    return _docs(spark, sf_dir).select("doc_id", F.array_join(t, " ").alias("tokens"),
+                                       F.size(t).alias("n_tokens"))
+
+
+@register("remove_stopwords")
+def q_remove_stopwords(spark, sf_dir):
+    t = tx.remove_stopwords(tx.tokenize(tx.strip_punctuation(tx.fold_case(F.col("text")))))
+    return _docs(spark, sf_dir).select("doc_id", F.array_join(t, " ").alias("tokens"),
+                                       F.size(t).alias("n_tokens"))
+
+
+@register("normalise_documents")
+def q_normalise_documents(spark, sf_dir):
+    t = tx.normalise(F.col("text"))
+    return _docs(spark, sf_dir).select("doc_id", F.array_join(t, " ").alias("tokens"),
+                                       F.size(t).alias("n_tokens"))
+
+
+@register("normalise_for_bigrams")
+def q_normalise_for_bigrams(spark, sf_dir):
+    d = news(spark, sf_dir).where(F.col("description").isNotNull())
+    t = tx.normalise_for_bigrams(F.col("description"))
+    return d.select("doc_id", F.array_join(t, " ").alias("tokens"), F.size(t).alias("n_tokens"))
+
+
+@register("edit_distance")
+def q_edit_distance(spark, sf_dir):
+    """Distance of every unstemmed vocabulary term to its S-stem."""
+    from termite.functions.stemming import s_stem
+
+    raw = corpus_index(spark, sf_dir, stemmer=None).vocab.select("term")
+    st = raw.select("term", s_stem(F.col("term")).alias("stem"))
+    return st.select("term", "stem", tx.edit_distance("term", "stem").alias("dist"))
+
+
+@register("set_jaccard")
+def q_set_jaccard(spark, sf_dir):
+    """Jaccard similarity of the word sets of consecutive conversation turns."""
+    from pyspark.sql import Window
+
+    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    c = c.withColumn("prev", F.lag("text").over(w)).where(F.col("prev").isNotNull())
+    return c.select("conv_id", "turn", tx.set_jaccard("prev", "text").alias("jaccard"))
+
+
+@register("count_term_in_list")
+def q_count_term_in_list(spark, sf_dir):
+    """Occurrences of the corpus' most frequent term in every document
+    (0 for documents without it)."""
+    idx = corpus_index(spark, sf_dir)
+    top = ix.most_common(idx.tokens, 1).select("term").scalar()
+    hits = idx.tokens.where(F.col("term") == top).groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("cnt"))
+    d = _docs(spark, sf_dir).select("doc_id")
+    return d.join(hits, "doc_id", "left").select("doc_id", F.coalesce("cnt", F.lit(0)).alias("cnt"))
+
+
+@register("binarise")
+def q_binarise(spark, sf_dir):
+    """P15 over the doc x top-term count table (sparse: present rows only)."""
+    from termite.operators.features import feature_counts
+
+    idx = corpus_index(spark, sf_dir)
+    fc = feature_counts(idx.tokens, ix.top_terms(idx.tokens))
+    return fc.select("doc_id", "term", tx.binarise("cnt").alias("present"))
+
+
+# --- Boolean retrieval (B1-B3, B6, C2) -----------------------------------------------
+
+from termite.operators import boolean as bl  # noqa: E402
+
+SENTENCE_SPLIT = "[.!?\\n]+"
+
+
+def benchmark_boolean_queries(spark, sf_dir) -> DataFrame:
+    """One Boolean query per benchmark item, written in the query language:
+    every sentence becomes ``(t1 AND t2 ...)`` over its terms and the sentences
+    are OR-ed - documents that contain some sentence of the item."""
+    b = read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    sents = F.transform(F.split(F.col("text"), SENTENCE_SPLIT), lambda s: tx.normalise(s))
+    sents = F.filter(sents, lambda a: F.size(a) > 0)
+    clauses = F.transform(sents, lambda a: F.concat(F.lit("("), F.array_join(a, " AND "), F.lit(")")))
+    return b.select(F.col("item_id").alias("query_id"), F.array_join(clauses, " OR ").alias("query"))
+
+
+def _item_term_clauses(spark, sf_dir, one_clause: bool) -> DataFrame:
+    qt = rk.query_tokens(query_table(spark, sf_dir, "benchmark")).select("query_id", "term").distinct()
+    cid = F.lit(0) if one_clause else F.dense_rank().over(
+        __import__("pyspark.sql").sql.Window.partitionBy("query_id").orderBy("term"))
+    return qt.select("query_id", cid.cast("int").alias("clause_id"), "term", F.lit(True).alias("positive"))
+
+
+@register("boolean_retrieval")
+def q_boolean_retrieval(spark, sf_dir):
+    """Parsed Boolean queries -> clause table -> matching documents."""
+    idx = corpus_index(spark, sf_dir)
+    clauses = bl.parse_queries(benchmark_boolean_queries(spark, sf_dir))
+    return bl.evaluate_clauses(idx.postings, clauses)
+
+
+@register("bool_and")
+def q_bool_and(spark, sf_dir):
+    """B1: documents holding every term of a benchmark item."""
+    idx = corpus_index(spark, sf_dir)
+    return bl.evaluate_clauses(idx.postings, _item_term_clauses(spark, sf_dir, True))
+
+
+@register("bool_or")
+def q_bool_or(spark, sf_dir):
+    """B2: documents holding any term of a benchmark item."""
+    idx = corpus_index(spark, sf_dir)
+    return bl.evaluate_clauses(idx.postings, _item_term_clauses(spark, sf_dir, False))
+
+
+@register("bool_and_not")
+def q_bool_and_not(spark, sf_dir):
+    """Documents holding a whole sentence of an item (B6) AND_NOT every
+    term of the item (B1): partial copies of a benchmark item."""
+    return bl.bool_and_not(q_boolean_retrieval(spark, sf_dir), q_bool_and(spark, sf_dir))
+
+
+@register("boolean_search")
+def q_boolean_search(spark, sf_dir):
+    """B6 + fetch (J1); first 5 documents by doc_id with their name."""
+    from pyspark.sql import Window
+
+    hits = q_boolean_retrieval(spark, sf_dir)
+    w = Window.partitionBy("query_id").orderBy("doc_id")
+    top = hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 5)
+    return top.join(news(spark, sf_dir).select("doc_id", "name"), "doc_id").select(
+        "query_id", "rank", "doc_id", "name")

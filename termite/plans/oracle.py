@@ -40,3 +40,253 @@ def _vsm_score() -> str:
         "qterms AS (SELECT doc_id AS query_id, term, count(*) AS qtf FROM qtok GROUP BY 1, 2), "
         f"{_score_ctes()} {_ranked('scores')}"
     )
+
+
+IDX = S.index_ctes()
+
+
+def _with(*ctes: str) -> str:
+    return "WITH " + ", ".join(c for c in ctes if c) + " "
+
+
+@oracle("explode_tokens")
+def _explode_tokens():
+    return _with(S.tokens_cte()) + "SELECT doc_id, pos, term FROM tokens"
+
+
+@oracle("term_frequency")
+def _term_frequency():
+    return _with(S.tokens_cte()) + "SELECT term, count(*) AS cf FROM tokens GROUP BY term"
+
+
+@oracle("distinct_terms")
+def _distinct_terms():
+    return _with(S.tokens_cte()) + (
+        "SELECT count(*) AS total_terms, count(DISTINCT term) AS unique_terms FROM tokens")
+
+
+@oracle("filter_top_terms")
+def _filter_top_terms():
+    return _with(S.tokens_cte()) + (
+        f"SELECT term, count(*) AS cf FROM tokens GROUP BY term HAVING count(*) > {K.TOP_TERM_MIN_CF}")
+
+
+@oracle("top_terms")
+def _top_terms():
+    return _filter_top_terms() + " ORDER BY cf DESC, term"
+
+
+@oracle("most_common")
+def _most_common():
+    return _with(S.tokens_cte()) + (
+        "SELECT term, count(*) AS cf FROM tokens GROUP BY term ORDER BY cf DESC, term LIMIT 20")
+
+
+@oracle("build_dictionary")
+def _build_dictionary():
+    return _with(IDX) + "SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_id FROM vocab"
+
+
+@oracle("build_inverted_index")
+def _build_inverted_index():
+    return _with(IDX) + "SELECT term, doc_id, tf FROM postings"
+
+
+@oracle("collection_idf")
+def _collection_idf():
+    return _with(IDX) + "SELECT term, cf, df, round(idf, 6) AS idf FROM vocab"
+
+
+@oracle("term_weight_matrix")
+def _term_weight_matrix():
+    return _with(IDX) + (
+        "SELECT p.doc_id, p.term, p.tf, CAST(p.tf * v.idf_dec AS DOUBLE) AS tfidf "
+        "FROM postings p JOIN vocab v ON p.term = v.term")
+
+
+@oracle("distinct_terms_per_row")
+def _distinct_terms_per_row():
+    return _with(IDX) + "SELECT doc_id, count(*) AS n_terms FROM postings GROUP BY doc_id"
+
+
+QTERMS = (f"{S.benchmark_queries_cte()}, {S.tokens_cte('queries', 'query_id', name='qtok')}, "
+          "qterms AS (SELECT doc_id AS query_id, term, count(*) AS qtf FROM qtok GROUP BY 1, 2)")
+
+
+@oracle("postings_lookup")
+def _postings_lookup():
+    return _with(IDX, QTERMS) + (
+        "SELECT q.query_id, p.term, p.doc_id, p.tf FROM postings p JOIN qterms q ON p.term = q.term")
+
+
+@oracle("fetch_documents")
+def _fetch_documents():
+    return (f"WITH top AS ({ORACLE['vsm_score']}), {S.news_ctes()} "
+            "SELECT t.query_id, t.rank, t.doc_id, n.name FROM top t JOIN news n ON t.doc_id = n.doc_id")
+
+
+def _news_map(expr: str) -> str:
+    return _with(S.news_ctes()) + f"SELECT doc_id, {expr} AS out FROM news"
+
+
+P = lambda e: S.strip_punct(e)
+
+
+@oracle("concat_fields")
+def _concat_fields():
+    return _news_map("concat_ws(' ', name, description)")
+
+
+@oracle("strip_punctuation")
+def _strip_punctuation():
+    return _news_map(P("text"))
+
+
+@oracle("strip_digits")
+def _strip_digits():
+    return _news_map("regexp_replace(text, '[0-9]+', '', 'g')")
+
+
+@oracle("non_alnum_to_space")
+def _non_alnum_to_space():
+    return _news_map(f"regexp_replace(text, {S.lit(K.NON_ALNUM_PATTERN)}, ' ', 'g')")
+
+
+@oracle("collapse_whitespace")
+def _collapse_whitespace():
+    return _news_map(S.collapse_ws("text"))
+
+
+@oracle("fold_case")
+def _fold_case():
+    return _news_map("lower(text)")
+
+
+@oracle("strip_parenthesised")
+def _strip_parenthesised():
+    return _news_map("regexp_replace(text, '\\([^)]*\\)', '', 'g')")
+
+
+@oracle("fill_missing")
+def _fill_missing():
+    return _with(S.news_ctes()) + (
+        "SELECT doc_id, coalesce(description, 'NaN') AS description, "
+        "coalesce(array_to_string(topics, ' '), 'NaN') AS topic FROM news")
+
+
+def _tok_out(list_expr: str, src: str = "documents", where: str = "") -> str:
+    w = f" WHERE {where}" if where else ""
+    return (f"SELECT doc_id, array_to_string(t, ' ') AS tokens, len(t) AS n_tokens FROM "
+            f"(SELECT doc_id, {list_expr} AS t FROM {src}{w})")
+
+
+@oracle("tokenise")
+def _tokenise():
+    return _tok_out(S.tokenize(P("lower(text)")))
+
+
+@oracle("remove_stopwords")
+def _remove_stopwords():
+    return _tok_out(S.normalise("text", None))
+
+
+@oracle("normalise_documents")
+def _normalise_documents():
+    return _tok_out(S.normalise("text"))
+
+
+@oracle("normalise_for_bigrams")
+def _normalise_for_bigrams():
+    return _with(S.news_ctes()) + _tok_out(S.normalise_for_bigrams("description"), "news",
+                                           "description IS NOT NULL")
+
+
+@oracle("edit_distance")
+def _edit_distance():
+    return _with(S.tokens_cte(stemmer=None)) + (
+        f"SELECT term, stem, levenshtein(term, stem) AS dist FROM (SELECT DISTINCT term, "
+        f"{S.s_stem('term')} AS stem FROM tokens)")
+
+
+def _word_set(e: str) -> str:
+    return f"list_distinct(list_filter(regexp_split_to_array({e}, '\\s+'), lambda x: x <> ''))"
+
+
+@oracle("set_jaccard")
+def _set_jaccard():
+    a, b = _word_set("prev"), _word_set("text")
+    return (
+        "SELECT conv_id, turn, CASE WHEN len(list_distinct(list_concat(a, b))) > 0 THEN "
+        "len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) END AS jaccard FROM ("
+        f"SELECT conv_id, turn, {a} AS a, {b} AS b FROM (SELECT conv_id, turn, text, "
+        "lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prev FROM conversations) "
+        "WHERE prev IS NOT NULL)")
+
+
+@oracle("count_term_in_list")
+def _count_term_in_list():
+    return _with(S.tokens_cte()) + (
+        "SELECT d.doc_id, coalesce(h.cnt, 0) AS cnt FROM documents d LEFT JOIN ("
+        "SELECT doc_id, count(*) AS cnt FROM tokens WHERE term = "
+        "(SELECT term FROM tokens GROUP BY term ORDER BY count(*) DESC, term LIMIT 1) "
+        "GROUP BY doc_id) h ON d.doc_id = h.doc_id")
+
+
+FEATURES = (
+    f"top AS (SELECT term FROM tokens GROUP BY term HAVING count(*) > {K.TOP_TERM_MIN_CF}), "
+    "features AS (SELECT t.doc_id, t.term, count(*) AS cnt FROM tokens t "
+    "JOIN top USING (term) GROUP BY t.doc_id, t.term)")
+
+
+@oracle("binarise")
+def _binarise():
+    return _with(S.tokens_cte(), FEATURES) + (
+        "SELECT doc_id, term, CAST(cnt > 0 AS INTEGER) AS present FROM features")
+
+
+SENT_CLAUSES = (
+    "sent AS (SELECT item_id AS query_id, unnest(ss) AS s, generate_subscripts(ss, 1) AS clause_id "
+    "FROM (SELECT item_id, regexp_split_to_array(text, '[.!?\\n]+') AS ss FROM benchmark)), "
+    "clauses AS (SELECT DISTINCT query_id, clause_id, unnest(" + S.normalise("s") + ") AS term "
+    "FROM sent)")
+EVAL = (
+    "need AS (SELECT query_id, clause_id, count(*) AS n FROM clauses GROUP BY 1, 2), "
+    "hit AS (SELECT c.query_id, c.clause_id, p.doc_id, count(*) AS n FROM postings p "
+    "JOIN clauses c ON p.term = c.term GROUP BY 1, 2, 3), "
+    "res AS (SELECT DISTINCT h.query_id, h.doc_id FROM hit h JOIN need n "
+    "ON h.query_id = n.query_id AND h.clause_id = n.clause_id AND h.n = n.n)")
+ITEM_TERMS = "iterms AS (SELECT DISTINCT doc_id AS query_id, term FROM qtok)"
+
+
+@oracle("boolean_retrieval")
+def _boolean_retrieval():
+    return _with(IDX, SENT_CLAUSES, EVAL) + "SELECT query_id, doc_id FROM res"
+
+
+@oracle("bool_and")
+def _bool_and():
+    return _with(IDX, QTERMS, ITEM_TERMS) + (
+        "SELECT p_q.query_id, p_q.doc_id FROM (SELECT i.query_id, p.doc_id, count(*) AS n "
+        "FROM postings p JOIN iterms i ON p.term = i.term GROUP BY 1, 2) p_q "
+        "JOIN (SELECT query_id, count(*) AS n FROM iterms GROUP BY 1) k "
+        "ON p_q.query_id = k.query_id AND p_q.n = k.n")
+
+
+@oracle("bool_or")
+def _bool_or():
+    return _with(IDX, QTERMS, ITEM_TERMS) + (
+        "SELECT DISTINCT i.query_id, p.doc_id FROM postings p JOIN iterms i ON p.term = i.term")
+
+
+@oracle("bool_and_not")
+def _bool_and_not():
+    return (f"SELECT query_id, doc_id FROM ({_boolean_retrieval()}) "
+            f"EXCEPT SELECT query_id, doc_id FROM ({_bool_and()})")
+
+
+@oracle("boolean_search")
+def _boolean_search():
+    return (f"WITH r AS ({_boolean_retrieval()}), {S.news_ctes()} "
+            "SELECT t.query_id, t.rank, t.doc_id, n.name FROM (SELECT query_id, doc_id, "
+            "CAST(row_number() OVER (PARTITION BY query_id ORDER BY doc_id) AS INTEGER) AS rank "
+            "FROM r) t JOIN news n ON t.doc_id = n.doc_id WHERE t.rank <= 5")
