@@ -322,3 +322,42 @@ def q_boolean_search(spark, sf_dir):
     top = hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 5)
     return top.join(news(spark, sf_dir).select("doc_id", "name"), "doc_id").select(
         "query_id", "rank", "doc_id", "name")
+
+
+# --- bigram model (W4, A12, A13, F8, W8, C8, S11) -------------------------------------
+
+from termite.operators import bigrams as bg  # noqa: E402
+
+
+def _bigram_arrays(spark, sf_dir):
+    return bg.bigram_token_arrays(news(spark, sf_dir), "description")
+
+
+@register("adjacent_pairs")
+def q_adjacent_pairs(spark, sf_dir):
+    return bg.adjacent_pairs(_bigram_arrays(spark, sf_dir))
+
+
+@register("bigram_counts")
+def q_bigram_counts(spark, sf_dir):
+    return bg.bigram_counts(bg.adjacent_pairs(_bigram_arrays(spark, sf_dir)))
+
+
+@register("filter_bigrams")
+def q_filter_bigrams(spark, sf_dir):
+    return bg.filter_bigrams(q_bigram_counts(spark, sf_dir))
+
+
+@register("sort_bigrams")
+def q_sort_bigrams(spark, sf_dir):
+    return bg.sort_bigrams(q_bigram_counts(spark, sf_dir))
+
+
+@register("bigram_model")
+def q_bigram_model(spark, sf_dir):
+    return bg.bigram_model(news(spark, sf_dir), "description")
+
+
+@register("bigram_nested")
+def q_bigram_nested(spark, sf_dir):
+    return bg.bigram_nested(q_bigram_model(spark, sf_dir))

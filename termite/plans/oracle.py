@@ -290,3 +290,37 @@ def _boolean_search():
             "SELECT t.query_id, t.rank, t.doc_id, n.name FROM (SELECT query_id, doc_id, "
             "CAST(row_number() OVER (PARTITION BY query_id ORDER BY doc_id) AS INTEGER) AS rank "
             "FROM r) t JOIN news n ON t.doc_id = n.doc_id WHERE t.rank <= 5")
+
+
+BIGRAM_PAIRS = (
+    f"{S.news_ctes()}, bt AS (SELECT doc_id, unnest(t) AS term, generate_subscripts(t, 1) - 1 AS pos "
+    f"FROM (SELECT doc_id, {S.normalise_for_bigrams('description')} AS t FROM news "
+    "WHERE description IS NOT NULL)), "
+    "pairs AS (SELECT doc_id, pos, w1, w2 FROM (SELECT doc_id, pos, term AS w1, "
+    "lead(term) OVER (ORDER BY doc_id, pos) AS w2 FROM bt) WHERE w2 IS NOT NULL), "
+    "bcounts AS (SELECT w1, w2, count(*) AS cnt FROM pairs GROUP BY w1, w2)")
+
+
+@oracle("adjacent_pairs")
+def _adjacent_pairs():
+    return _with(BIGRAM_PAIRS) + "SELECT doc_id, pos, w1, w2 FROM pairs"
+
+
+@oracle("bigram_counts")
+def _bigram_counts():
+    return _with(BIGRAM_PAIRS) + "SELECT w1, w2, cnt FROM bcounts"
+
+
+@oracle("filter_bigrams")
+def _filter_bigrams():
+    return _with(BIGRAM_PAIRS) + f"SELECT w1, w2, cnt FROM bcounts WHERE cnt >= {K.BIGRAM_MIN_COUNT}"
+
+
+@oracle("sort_bigrams")
+def _sort_bigrams():
+    return _with(BIGRAM_PAIRS) + "SELECT w1, w2, cnt FROM bcounts ORDER BY cnt DESC, w1, w2"
+
+
+@oracle("bigram_model")
+def _bigram_model():
+    return _filter_bigrams() + " ORDER BY cnt DESC, w1, w2"
