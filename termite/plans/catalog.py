@@ -361,3 +361,59 @@ def q_bigram_model(spark, sf_dir):
 @register("bigram_nested")
 def q_bigram_nested(spark, sf_dir):
     return bg.bigram_nested(q_bigram_model(spark, sf_dir))
+
+
+# --- thesaurus (A9, J6, W3, W5, F9, J4, C4, C7) ----------------------------------------
+
+from termite.operators import thesaurus as th  # noqa: E402
+
+
+def corpus_thesaurus(spark, sf_dir) -> DataFrame:
+    return th.cooccurrence_similarity(corpus_index(spark, sf_dir).tokens)
+
+
+@register("cooccur_selfjoin")
+def q_cooccur_selfjoin(spark, sf_dir):
+    """Co-document counts of top-term pairs (term_a < term_b)."""
+    t = corpus_thesaurus(spark, sf_dir)
+    return t.where(F.col("term") < F.col("related")).select(
+        F.col("term").alias("term_a"), F.col("related").alias("term_b"), "co")
+
+
+@register("cooccurrence_similarity")
+def q_cooccurrence_similarity(spark, sf_dir):
+    return corpus_thesaurus(spark, sf_dir)
+
+
+@register("build_thesaurus")
+def q_build_thesaurus(spark, sf_dir):
+    return corpus_thesaurus(spark, sf_dir).select("term", "related", "sim")
+
+
+@register("filter_similarity")
+def q_filter_similarity(spark, sf_dir):
+    return th.filter_similarity(corpus_thesaurus(spark, sf_dir)).select("term", "related", "sim")
+
+
+@register("top_related_terms")
+def q_top_related_terms(spark, sf_dir):
+    return th.top_related(corpus_thesaurus(spark, sf_dir), 10)
+
+
+@register("second_best_term")
+def q_second_best_term(spark, sf_dir):
+    return th.top_related(corpus_thesaurus(spark, sf_dir), 1).select("term", "related", "sim")
+
+
+@register("thesaurus_lookup")
+def q_thesaurus_lookup(spark, sf_dir):
+    qtok = rk.query_tokens(query_table(spark, sf_dir, "benchmark"))
+    return th.thesaurus_lookup(qtok, corpus_thesaurus(spark, sf_dir))
+
+
+@register("expand_query")
+def q_expand_query(spark, sf_dir):
+    """C4: benchmark queries with one related term appended per token whose
+    best related term has sim >= 0.75; ``(query_id, term, qtf)``."""
+    qtok = rk.query_tokens(query_table(spark, sf_dir, "benchmark"))
+    return rk.query_term_counts(th.expand_query(qtok, corpus_thesaurus(spark, sf_dir)))

@@ -324,3 +324,70 @@ def _sort_bigrams():
 @oracle("bigram_model")
 def _bigram_model():
     return _filter_bigrams() + " ORDER BY cnt DESC, w1, w2"
+
+
+THES = (
+    f"{S.tokens_cte()}, "
+    f"top AS (SELECT term FROM tokens GROUP BY term HAVING count(*) > {K.TOP_TERM_MIN_CF}), "
+    "dt AS (SELECT DISTINCT t.doc_id, t.term FROM tokens t JOIN top ON t.term = top.term), "
+    "tdf AS (SELECT term, count(*) AS df FROM dt GROUP BY term), "
+    "co AS (SELECT a.term AS ta, b.term AS tb, count(*) AS co FROM dt a JOIN dt b "
+    "ON a.doc_id = b.doc_id AND a.term < b.term GROUP BY 1, 2), "
+    "sym AS (SELECT ta, tb, co, co / greatest(da.df, db.df) AS sim FROM co "
+    "JOIN tdf da ON da.term = ta JOIN tdf db ON db.term = tb), "
+    "thes AS (SELECT ta AS term, tb AS related, co, sim FROM sym "
+    "UNION ALL SELECT tb AS term, ta AS related, co, sim FROM sym), "
+    "ranked AS (SELECT term, CAST(row_number() OVER (PARTITION BY term ORDER BY sim DESC, related) "
+    "AS INTEGER) AS rank, related, sim FROM thes)")
+
+
+@oracle("cooccur_selfjoin")
+def _cooccur_selfjoin():
+    return _with(THES) + "SELECT ta AS term_a, tb AS term_b, co FROM co"
+
+
+@oracle("cooccurrence_similarity")
+def _cooccurrence_similarity():
+    return _with(THES) + "SELECT term, related, co, sim FROM thes"
+
+
+@oracle("build_thesaurus")
+def _build_thesaurus():
+    return _with(THES) + "SELECT term, related, sim FROM thes"
+
+
+@oracle("filter_similarity")
+def _filter_similarity():
+    return _with(THES) + f"SELECT term, related, sim FROM thes WHERE sim >= {K.EXPANSION_MIN_SIM}"
+
+
+@oracle("top_related_terms")
+def _top_related_terms():
+    return _with(THES) + f"SELECT term, rank, related, sim FROM ranked WHERE rank <= {K.RELATED_PER_TERM}"
+
+
+@oracle("second_best_term")
+def _second_best_term():
+    return _with(THES) + "SELECT term, related, sim FROM ranked WHERE rank = 1"
+
+
+QTOK = (f"{S.benchmark_queries_cte()}, {S.tokens_cte('queries', 'query_id', name='qtok')}")
+
+
+@oracle("thesaurus_lookup")
+def _thesaurus_lookup():
+    return _with(THES, QTOK) + (
+        "SELECT q.query_id, q.term, t.related, t.sim FROM (SELECT DISTINCT doc_id AS query_id, term "
+        "FROM qtok) q JOIN thes t ON q.term = t.term")
+
+
+EXPANDED = (
+    f"best AS (SELECT term, related AS extra FROM ranked WHERE rank = 1 AND sim >= {K.EXPANSION_MIN_SIM}), "
+    "expanded AS (SELECT doc_id AS query_id, term FROM qtok UNION ALL "
+    "SELECT q.doc_id AS query_id, b.extra AS term FROM qtok q JOIN best b ON q.term = b.term)")
+
+
+@oracle("expand_query")
+def _expand_query():
+    return _with(THES, QTOK, EXPANDED) + (
+        "SELECT query_id, term, count(*) AS qtf FROM expanded GROUP BY query_id, term")
