@@ -417,3 +417,69 @@ def q_expand_query(spark, sf_dir):
     best related term has sim >= 0.75; ``(query_id, term, qtf)``."""
     qtok = rk.query_tokens(query_table(spark, sf_dir, "benchmark"))
     return rk.query_term_counts(th.expand_query(qtok, corpus_thesaurus(spark, sf_dir)))
+
+
+# --- spelling (J5, C3, C5) and the full ranked search (C1) ----------------------------
+
+from termite.operators import spelling as sp  # noqa: E402
+
+
+def misspelt_benchmark_tokens(spark, sf_dir) -> DataFrame:
+    """Benchmark query tokens with their middle character deleted - typing
+    errors derived from the data: ``(query_id, pos, term)``."""
+    qt = rk.query_tokens(query_table(spark, sf_dir, "benchmark"))
+    n = F.length("term")
+    half = F.floor(n / 2).cast("int")
+    typo = F.concat(F.col("term").substr(F.lit(1), half), F.col("term").substr(half + 2, n))
+    return qt.select("query_id", "pos", typo.alias("term"))
+
+
+@register("nearest_term")
+def q_nearest_term(spark, sf_dir):
+    """Nearest vocabulary term of every misspelt benchmark token that is
+    not itself in the vocabulary."""
+    idx = corpus_index(spark, sf_dir)
+    toks = misspelt_benchmark_tokens(spark, sf_dir).select("term").distinct()
+    unknown = toks.join(idx.vocab.select("term"), "term", "left_anti")
+    return sp.nearest_terms(unknown, idx.vocab)
+
+
+@register("correct_query_terms")
+def q_correct_query_terms(spark, sf_dir):
+    idx = corpus_index(spark, sf_dir)
+    return sp.correct_query_terms(misspelt_benchmark_tokens(spark, sf_dir), idx.vocab)
+
+
+@register("suggest_query")
+def q_suggest_query(spark, sf_dir):
+    idx = corpus_index(spark, sf_dir)
+    return sp.suggest_query(sp.correct_query_terms(misspelt_benchmark_tokens(spark, sf_dir), idx.vocab))
+
+
+def vsm_search(spark, sf_dir, queries: DataFrame, k: int = 5) -> DataFrame:
+    """Normalise -> expand (C4) -> correct unknown terms (J5) -> score
+    -> rank (W1) -> top k (W2).
+
+    The index tables and the thesaurus are persisted once and shared by the
+    stages; corrections are computed for the distinct query terms and applied
+    to the expanded query (appended terms come from the thesaurus and are
+    always in the vocabulary)."""
+    idx = corpus_index(spark, sf_dir)
+    idx.tokens = idx.tokens.persist()
+    idx.persist()
+    thes = th.cooccurrence_similarity(idx.tokens).persist()
+    qtok = rk.query_tokens(queries).persist()
+    expanded = th.expand_query(qtok, thes)
+    fixes = sp.correct_query_terms(qtok.select("term").distinct().withColumn("query_id", F.lit(0))
+                                   .withColumn("pos", F.lit(0)), idx.vocab)
+    fixes = fixes.select("term", "corrected").distinct()
+    corrected = expanded.join(fixes, "term", "left").select(
+        "query_id", "pos", F.coalesce("corrected", "term").alias("term"))
+    scores = rk.vsm_scores(idx.postings, idx.vocab, rk.query_term_counts(corrected))
+    return rk.rank_documents(scores, k)
+
+
+@register("vsm_search")
+def q_vsm_search(spark, sf_dir):
+    """C1 over the user turns of ``conversations`` (whole texts)."""
+    return vsm_search(spark, sf_dir, query_table(spark, sf_dir, "conversations"))

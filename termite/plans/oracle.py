@@ -326,8 +326,7 @@ def _bigram_model():
     return _filter_bigrams() + " ORDER BY cnt DESC, w1, w2"
 
 
-THES = (
-    f"{S.tokens_cte()}, "
+THES_BODY = (
     f"top AS (SELECT term FROM tokens GROUP BY term HAVING count(*) > {K.TOP_TERM_MIN_CF}), "
     "dt AS (SELECT DISTINCT t.doc_id, t.term FROM tokens t JOIN top ON t.term = top.term), "
     "tdf AS (SELECT term, count(*) AS df FROM dt GROUP BY term), "
@@ -339,6 +338,7 @@ THES = (
     "UNION ALL SELECT tb AS term, ta AS related, co, sim FROM sym), "
     "ranked AS (SELECT term, CAST(row_number() OVER (PARTITION BY term ORDER BY sim DESC, related) "
     "AS INTEGER) AS rank, related, sim FROM thes)")
+THES = f"{S.tokens_cte()}, {THES_BODY}"
 
 
 @oracle("cooccur_selfjoin")
@@ -391,3 +391,50 @@ EXPANDED = (
 def _expand_query():
     return _with(THES, QTOK, EXPANDED) + (
         "SELECT query_id, term, count(*) AS qtf FROM expanded GROUP BY query_id, term")
+
+
+MISSPELT = (
+    f"{S.benchmark_queries_cte('bq')}, {S.tokens_cte('bq', 'query_id', name='bqtok')}, "
+    "mtok AS (SELECT doc_id AS query_id, pos, substr(term, 1, CAST(floor(length(term) / 2) AS INTEGER)) "
+    "|| substr(term, CAST(floor(length(term) / 2) AS INTEGER) + 2) AS term FROM bqtok)")
+
+
+def _fixes(src: str) -> str:
+    return (
+        f"unk AS (SELECT DISTINCT term FROM {src} WHERE term NOT IN (SELECT term FROM vocab)), "
+        f"cand AS (SELECT u.term, v.term AS cand, {S.lev('u.term', 'v.term')} AS dist, "
+        "v.first_doc, v.first_pos FROM unk u CROSS JOIN vocab v), "
+        "fix AS (SELECT term, cand AS nearest, dist FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY term ORDER BY dist, first_doc, first_pos) AS r FROM cand) WHERE r = 1)")
+
+
+@oracle("nearest_term")
+def _nearest_term():
+    return _with(IDX, MISSPELT, _fixes("mtok")) + "SELECT term, nearest, dist FROM fix"
+
+
+CORRECTED = ("corr AS (SELECT m.query_id, m.pos, m.term, coalesce(f.nearest, m.term) AS corrected, "
+             "coalesce(f.dist, -1) AS dist FROM mtok m LEFT JOIN fix f ON m.term = f.term)")
+
+
+@oracle("correct_query_terms")
+def _correct_query_terms():
+    return _with(IDX, MISSPELT, _fixes("mtok"), CORRECTED) + (
+        "SELECT query_id, pos, term, corrected, dist FROM corr")
+
+
+@oracle("suggest_query")
+def _suggest_query():
+    return _with(IDX, MISSPELT, _fixes("mtok"), CORRECTED) + (
+        "SELECT query_id, string_agg(corrected, ' ' ORDER BY pos) AS suggestion FROM corr "
+        "GROUP BY query_id HAVING max(dist) >= 0")
+
+
+@oracle("vsm_search")
+def _vsm_search():
+    return _with(
+        IDX, THES_BODY, S.conversation_queries_cte(),
+        S.tokens_cte("queries", "query_id", name="qtok"), EXPANDED, _fixes("qtok"),
+        "qterms AS (SELECT e.query_id, coalesce(f.nearest, e.term) AS term, count(*) AS qtf "
+        "FROM expanded e LEFT JOIN fix f ON e.term = f.term GROUP BY 1, 2)",
+        _score_ctes()) + _ranked("scores")

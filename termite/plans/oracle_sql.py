@@ -100,3 +100,16 @@ def benchmark_queries_cte(name: str = "queries") -> str:
 def conversation_queries_cte(name: str = "queries") -> str:
     return (f"{name} AS (SELECT conv_id * 1000 + turn AS query_id, text FROM conversations "
             f"WHERE role = 'user')")
+
+
+def codepoint_safe(expr: str) -> str:
+    """Map each letter of U+00DF..U+00FF to one single-byte placeholder (a
+    control character or punctuation, which never occurs in a term), so that
+    DuckDB's byte-wise ``levenshtein`` counts code points on these terms."""
+    src = "".join(chr(c) for c in range(0xDF, 0x100))
+    dst = " || ".join([f"chr({i})" for i in range(1, 32)] + ["'!'", "'\"'"])
+    return f"translate({expr}, {lit(src)}, {dst})"
+
+
+def lev(a: str, b: str) -> str:
+    return f"levenshtein({codepoint_safe(a)}, {codepoint_safe(b)})"
