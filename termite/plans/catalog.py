@@ -483,3 +483,129 @@ def vsm_search(spark, sf_dir, queries: DataFrame, k: int = 5) -> DataFrame:
 def q_vsm_search(spark, sf_dir):
     """C1 over the user turns of ``conversations`` (whole texts)."""
     return vsm_search(spark, sf_dir, query_table(spark, sf_dir, "conversations"))
+
+
+# --- topics and kNN (A8, J7, W6, A14, J8, C6, F3, F4, F6, A11, B5, C9, C10) ----------
+
+from termite.operators import knn as kn  # noqa: E402
+from termite.operators import topics as tp  # noqa: E402
+from termite.operators.features import feature_counts  # noqa: E402
+
+
+def _knn_inputs(spark, sf_dir):
+    nw = news(spark, sf_dir).persist()
+    train, pred = tp.split_train_predict(nw)
+    rows = tp.explode_topics(train).persist()
+    return nw, train, pred, rows
+
+
+@register("split_train_predict")
+def q_split_train_predict(spark, sf_dir):
+    nw = news(spark, sf_dir)
+    return nw.select("doc_id", F.when(F.col("topics").isNotNull(), "train").otherwise("predict")
+                     .alias("split"))
+
+
+@register("explode_topics")
+def q_explode_topics(spark, sf_dir):
+    return tp.explode_topics(news(spark, sf_dir)).orderBy("doc_id", "topic")
+
+
+@register("sort_by_doc")
+def q_sort_by_doc(spark, sf_dir):
+    """The training rows ordered by doc_id (a distributed range sort)."""
+    return tp.explode_topics(news(spark, sf_dir)).orderBy("doc_id")
+
+
+@register("feature_counts")
+def q_feature_counts(spark, sf_dir):
+    """Counts of the training rows' top terms in every document."""
+    nw, train, pred, rows = _knn_inputs(spark, sf_dir)
+    tok = ix.token_table(nw, "text")
+    top = ix.top_terms(tok.join(rows.select("doc_id"), "doc_id"))
+    return feature_counts(tok, top)
+
+
+def _knn_parts(spark, sf_dir):
+    nw, train, pred, rows = _knn_inputs(spark, sf_dir)
+    tok_tr = ix.token_table(train, "text")
+    top = ix.top_terms(tok_tr.join(rows.select("doc_id"), "doc_id"))
+    tf = feature_counts(tok_tr, top).persist()
+    pf = feature_counts(ix.token_table(pred, "text"), top).persist()
+    k = kn.k_for(rows.count())
+    return nw, train, pred, rows, tf, pf, k
+
+
+@register("k_nearest")
+def q_k_nearest(spark, sf_dir):
+    """The k = round(sqrt(n)) nearest training rows of each untopiced document."""
+    nw, train, pred, rows, tf, pf, k = _knn_parts(spark, sf_dir)
+    return kn.k_nearest(rows, tf, pred, pf, k)
+
+
+@register("knn_join")
+def q_knn_join(spark, sf_dir):
+    """Squared distances to the candidate training rows (top k kept)."""
+    return q_k_nearest(spark, sf_dir).select("doc_id", "train_id", "topic", "dist2")
+
+
+@register("majority_vote")
+def q_majority_vote(spark, sf_dir):
+    return kn.majority_vote(q_k_nearest(spark, sf_dir))
+
+
+@register("knn_topic_classifier")
+def q_knn_topic_classifier(spark, sf_dir):
+    nw, train, pred, rows = _knn_inputs(spark, sf_dir)
+    return kn.knn_topic_classifier(rows, train, pred)
+
+
+@register("apply_predictions")
+def q_apply_predictions(spark, sf_dir):
+    nw, train, pred, rows = _knn_inputs(spark, sf_dir)
+    p = kn.knn_topic_classifier(rows, train, pred)
+    out = kn.apply_predictions(nw, p)
+    return out.select("doc_id", F.array_join("topics", " ").alias("topic"))
+
+
+def _topic_docs(spark, sf_dir):
+    nw, train, pred, rows = _knn_inputs(spark, sf_dir)
+    return tp.topic_documents(rows, kn.knn_topic_classifier(rows, train, pred))
+
+
+@register("topic_documents")
+def q_topic_documents(spark, sf_dir):
+    return _topic_docs(spark, sf_dir)
+
+
+@register("union_train_predict")
+def q_union_train_predict(spark, sf_dir):
+    """Training rows stacked with predicted rows."""
+    nw, train, pred, rows = _knn_inputs(spark, sf_dir)
+    p = kn.knn_topic_classifier(rows, train, pred)
+    return rows.select("doc_id", "topic").unionByName(p.select("doc_id", "topic"))
+
+
+TOPIC_OF_INTEREST = "en"
+
+
+@register("topic_restriction")
+def q_topic_restriction(spark, sf_dir):
+    return tp.topic_restriction(_topic_docs(spark, sf_dir), TOPIC_OF_INTEREST)
+
+
+@register("build_classification_sets")
+def q_build_classification_sets(spark, sf_dir):
+    cs = tp.classification_sets(news(spark, sf_dir))
+    return cs.select("split", "doc_id", "topic", F.array_join("tokens", " ").alias("tokens"))
+
+
+@register("topic_restricted_search")
+def q_topic_restricted_search(spark, sf_dir):
+    """Ranked search restricted to the documents of one topic (train +
+    predicted), top 5 per benchmark query."""
+    idx = corpus_index(spark, sf_dir)
+    allowed = tp.topic_restriction(_topic_docs(spark, sf_dir), TOPIC_OF_INTEREST)
+    post = idx.postings.join(allowed, "doc_id", "left_semi")
+    qt = rk.query_term_counts(rk.query_tokens(query_table(spark, sf_dir, "benchmark")))
+    return rk.rank_documents(rk.vsm_scores(post, idx.vocab, qt))

@@ -438,3 +438,118 @@ def _vsm_search():
         "qterms AS (SELECT e.query_id, coalesce(f.nearest, e.term) AS term, count(*) AS qtf "
         "FROM expanded e LEFT JOIN fix f ON e.term = f.term GROUP BY 1, 2)",
         _score_ctes()) + _ranked("scores")
+
+
+KNN = (
+    f"{S.news_ctes()}, "
+    "tr AS (SELECT doc_id, unnest(topics) AS topic FROM news WHERE topics IS NOT NULL), "
+    f"{S.tokens_cte('news', name='tok')}, "
+    "ktop AS (SELECT t.term FROM tok t JOIN tr ON t.doc_id = tr.doc_id GROUP BY t.term "
+    f"HAVING count(*) > {K.TOP_TERM_MIN_CF}), "
+    "feat AS (SELECT t.doc_id, t.term, count(*) AS cnt FROM tok t JOIN ktop ON t.term = ktop.term "
+    "GROUP BY 1, 2), "
+    "trd AS (SELECT DISTINCT doc_id FROM tr), "
+    "prd AS (SELECT doc_id FROM news WHERE topics IS NULL), "
+    "tn AS (SELECT d.doc_id, CAST(coalesce(sum(f.cnt * f.cnt), 0) AS BIGINT) AS n2 FROM trd d "
+    "LEFT JOIN feat f ON d.doc_id = f.doc_id GROUP BY d.doc_id), "
+    "pn AS (SELECT d.doc_id, CAST(coalesce(sum(f.cnt * f.cnt), 0) AS BIGINT) AS n2 FROM prd d "
+    "LEFT JOIN feat f ON d.doc_id = f.doc_id GROUP BY d.doc_id), "
+    "dots AS (SELECT p.doc_id, t.doc_id AS train_id, CAST(sum(p.cnt * t.cnt) AS BIGINT) AS dot "
+    "FROM feat p JOIN feat t ON p.term = t.term "
+    "WHERE p.doc_id IN (SELECT doc_id FROM prd) AND t.doc_id IN (SELECT doc_id FROM trd) GROUP BY 1, 2), "
+    "dist AS (SELECT p.doc_id, r.doc_id AS train_id, r.topic, "
+    "p.n2 + t.n2 - 2 * coalesce(d.dot, 0) AS dist2 FROM pn p CROSS JOIN tr r "
+    "JOIN tn t ON t.doc_id = r.doc_id LEFT JOIN dots d ON d.doc_id = p.doc_id AND d.train_id = r.doc_id), "
+    "kk AS (SELECT CAST(floor(sqrt(count(*)) + 0.5) AS BIGINT) AS k FROM tr), "
+    "nn AS (SELECT doc_id, rank, train_id, topic, dist2 FROM (SELECT doc_id, CAST(row_number() OVER "
+    "(PARTITION BY doc_id ORDER BY dist2, train_id, topic) AS INTEGER) AS rank, train_id, topic, dist2 "
+    "FROM dist) WHERE rank <= (SELECT k FROM kk)), "
+    "votes AS (SELECT doc_id, topic, count(*) AS votes FROM nn GROUP BY 1, 2), "
+    "pred AS (SELECT doc_id, topic FROM (SELECT doc_id, topic, row_number() OVER "
+    "(PARTITION BY doc_id ORDER BY votes DESC, topic) AS r FROM votes) WHERE r = 1), "
+    "tdocs AS (SELECT DISTINCT topic, doc_id FROM (SELECT topic, doc_id FROM tr UNION ALL "
+    "SELECT topic, doc_id FROM pred))")
+
+
+@oracle("split_train_predict")
+def _split_train_predict():
+    return _with(S.news_ctes()) + (
+        "SELECT doc_id, CASE WHEN topics IS NOT NULL THEN 'train' ELSE 'predict' END AS split FROM news")
+
+
+@oracle("explode_topics")
+def _explode_topics():
+    return _with(S.news_ctes()) + (
+        "SELECT doc_id, unnest(topics) AS topic FROM news WHERE topics IS NOT NULL ORDER BY doc_id, topic")
+
+
+@oracle("sort_by_doc")
+def _sort_by_doc():
+    return _explode_topics()
+
+
+@oracle("feature_counts")
+def _feature_counts():
+    return _with(KNN) + "SELECT doc_id, term, cnt FROM feat"
+
+
+@oracle("k_nearest")
+def _k_nearest():
+    return _with(KNN) + "SELECT doc_id, rank, train_id, topic, CAST(dist2 AS BIGINT) AS dist2 FROM nn"
+
+
+@oracle("knn_join")
+def _knn_join():
+    return _with(KNN) + "SELECT doc_id, train_id, topic, CAST(dist2 AS BIGINT) AS dist2 FROM nn"
+
+
+@oracle("majority_vote")
+def _majority_vote():
+    return _with(KNN) + "SELECT doc_id, topic FROM pred"
+
+
+@oracle("knn_topic_classifier")
+def _knn_topic_classifier():
+    return _majority_vote()
+
+
+@oracle("apply_predictions")
+def _apply_predictions():
+    return _with(KNN) + (
+        "SELECT n.doc_id, coalesce(array_to_string(n.topics, ' '), p.topic) AS topic FROM news n "
+        "LEFT JOIN pred p ON n.doc_id = p.doc_id")
+
+
+@oracle("topic_documents")
+def _topic_documents():
+    return _with(KNN) + "SELECT topic, doc_id FROM tdocs"
+
+
+@oracle("union_train_predict")
+def _union_train_predict():
+    return _with(KNN) + "SELECT doc_id, topic FROM tr UNION ALL SELECT doc_id, topic FROM pred"
+
+
+@oracle("topic_restriction")
+def _topic_restriction():
+    return _with(KNN) + "SELECT doc_id FROM tdocs WHERE topic = 'en'"
+
+
+@oracle("build_classification_sets")
+def _build_classification_sets():
+    toks = S.normalise("concat_ws(' ', description, name)")
+    return _with(S.news_ctes()) + (
+        f"SELECT 'train' AS split, doc_id, unnest(topics) AS topic, array_to_string({toks}, ' ') AS tokens "
+        "FROM news WHERE topics IS NOT NULL UNION ALL "
+        f"SELECT 'predict' AS split, doc_id, CAST(NULL AS VARCHAR) AS topic, array_to_string({toks}, ' ') "
+        "AS tokens FROM news WHERE topics IS NULL")
+
+
+@oracle("topic_restricted_search")
+def _topic_restricted_search():
+    return _with(
+        KNN, IDX.replace("tokens AS (", "tokens AS (", 1), QTERMS,
+        "w AS (SELECT q.query_id, q.term, q.qtf * v.idf_dec AS w FROM qterms q JOIN vocab v ON q.term = v.term)",
+        "scores AS (SELECT w.query_id, p.doc_id, sum(p.tf * w.w) AS score FROM postings p "
+        "JOIN w ON p.term = w.term WHERE p.doc_id IN (SELECT doc_id FROM tdocs WHERE topic = 'en') "
+        "GROUP BY w.query_id, p.doc_id HAVING sum(p.tf * w.w) > 0)") + _ranked("scores")
