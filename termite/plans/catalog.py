@@ -609,3 +609,143 @@ def q_topic_restricted_search(spark, sf_dir):
     post = idx.postings.join(allowed, "doc_id", "left_semi")
     qt = rk.query_term_counts(rk.query_tokens(query_table(spark, sf_dir, "benchmark")))
     return rk.rank_documents(rk.vsm_scores(post, idx.vocab, qt))
+
+
+# --- sources and sinks (S1-S11, F1, F2, B4) ------------------------------------------
+
+from termite.sources import corpus as cp  # noqa: E402
+from termite.sources import sinks as sk  # noqa: E402
+
+
+def _pages(spark, sf_dir):
+    return read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+
+
+@register("filter_header")
+def q_filter_header(spark, sf_dir):
+    """catalogue pages whose header marks an English course."""
+    return cp.filter_header(cp.catalog_blocks(_pages(spark, sf_dir))).select("page_id", "code", "name")
+
+
+@register("extract_catalog")
+def q_extract_catalog(spark, sf_dir):
+    return cp.extract_catalog(_pages(spark, sf_dir))
+
+
+@register("assign_doc_id")
+def q_assign_doc_id(spark, sf_dir):
+    """Dense ids in page order over the header-matching blocks."""
+    kept = cp.filter_header(cp.catalog_blocks(_pages(spark, sf_dir)))
+    return ix.dense_ids(kept.select("page_id"), "page_id", "doc_id")
+
+
+@register("filter_described")
+def q_filter_described(spark, sf_dir):
+    return cp.filter_described(news(spark, sf_dir)).select("doc_id")
+
+
+def _page_files(spark, sf_dir):
+    return _pages(spark, sf_dir).select(F.col("page_id").alias("path"), F.col("html").alias("value"))
+
+
+@register("extract_newswire")
+def q_extract_newswire(spark, sf_dir):
+    """Tagged records of the page files (record = html, topics = nav links,
+    title = title, body = article)."""
+    recs = cp.extract_records(_page_files(spark, sf_dir), **cp.PAGE_RECORDS)
+    return recs.select(F.col("file").alias("page_id"), "rec_pos",
+                       F.array_join("topics", " ").alias("topic"), "name", "description")
+
+
+@register("extract_positional")
+def q_extract_positional(spark, sf_dir):
+    """S3: paragraphs zipped with navigation links by position, per page."""
+    out = cp.extract_positional(_page_files(spark, sf_dir), body="p", title="a")
+    return out.select(F.col("file").alias("page_id"), "pos", "name", "description")
+
+
+@register("multi_file_scan")
+def q_multi_file_scan(spark, sf_dir):
+    """The pages written as many JSON-lines files, read back with one
+    path glob (one row per page, whatever file holds it) and parsed into
+    records."""
+    from termite.session import scratch_path
+
+    path = scratch_path(spark, "pages-files")
+    pages = _pages(spark, sf_dir).select("page_id", "html")
+    pages.repartition(8).write.mode("overwrite").json(path)
+    files = cp.read_page_files(spark, f"{path}/part-*.json", pages.schema)
+    recs = cp.extract_records(files.select(F.col("page_id").alias("path"), F.col("html").alias("value")),
+                              **cp.PAGE_RECORDS)
+    return recs.select(F.col("file").alias("page_id"), "rec_pos",
+                       F.array_join("topics", " ").alias("topic"), "name", "description")
+
+
+@register("json_sink_source")
+def q_json_sink_source(spark, sf_dir):
+    return sk.json_round_trip(spark, cp.extract_catalog(_pages(spark, sf_dir)), "courses-json")
+
+
+@register("csv_sink_source")
+def q_csv_sink_source(spark, sf_dir):
+    cs = tp.classification_sets(news(spark, sf_dir)).select("split", "doc_id", "topic", "tokens")
+    back = sk.csv_round_trip(spark, cs, "classification-csv", ("tokens",))
+    return back.select("split", "doc_id", "topic", F.array_join("tokens", " ").alias("tokens"))
+
+
+@register("parse_list_literal")
+def q_parse_list_literal(spark, sf_dir):
+    toks = tx.normalise(F.col("text"))
+    d = _docs(spark, sf_dir).select("doc_id", cp.list_literal(toks).alias("cell"))
+    return d.select("doc_id", "cell", F.array_join(cp.parse_list_literal(F.col("cell")), " ").alias("tokens"))
+
+
+@register("materialise_corpus")
+def q_materialise_corpus(spark, sf_dir):
+    return sk.parquet_round_trip(spark, corpus_index(spark, sf_dir).tokens, "tokens")
+
+
+@register("thesaurus_sink_source")
+def q_thesaurus_sink_source(spark, sf_dir):
+    return sk.parquet_round_trip(spark, q_build_thesaurus(spark, sf_dir), "thesaurus")
+
+
+@register("bigram_sink_source")
+def q_bigram_sink_source(spark, sf_dir):
+    return sk.parquet_round_trip(spark, q_bigram_model(spark, sf_dir), "bigrams")
+
+
+@register("union_corpora")
+def q_union_corpora(spark, sf_dir):
+    """Courses (from pages) followed by news (from documents)."""
+    return tp.union_corpora(cp.extract_catalog(_pages(spark, sf_dir)), news(spark, sf_dir))
+
+
+# --- lemmas and stems (P10, P11) -------------------------------------------------------
+
+from termite.functions import stemming as stm  # noqa: E402
+
+
+def corpus_plural_lemmas(vocab_terms: DataFrame) -> DataFrame:
+    """A lemma table attested by the corpus itself: ``term`` ending in "s" whose
+    form without the "s" is also a corpus term maps to that form."""
+    v = vocab_terms.select("term")
+    cand = v.where(F.col("term").endswith("s") & (F.length("term") > 2)).select(
+        "term", F.expr("substr(term, 1, length(term) - 1)").alias("lemma"))
+    return cand.join(v.select(F.col("term").alias("lemma")), "lemma", "left_semi")
+
+
+@register("lemma_lookup")
+def q_lemma_lookup(spark, sf_dir):
+    """P10: unstemmed tokens mapped through the lemma table; ``(term, cf)``."""
+    idx = corpus_index(spark, sf_dir, stemmer=None)
+    lemmas = corpus_plural_lemmas(idx.vocab)
+    mapped = stm.apply_term_map(idx.tokens, lemmas, "term", "lemma")
+    return ix.term_frequency(mapped)
+
+
+@register("stem_vocabulary")
+def q_stem_vocabulary(spark, sf_dir):
+    """Porter stems of the distinct unstemmed vocabulary (Arrow UDF)."""
+    idx = corpus_index(spark, sf_dir, stemmer=None)
+    return stm.porter_stem_terms(idx.vocab)

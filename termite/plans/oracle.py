@@ -553,3 +553,153 @@ def _topic_restricted_search():
         "scores AS (SELECT w.query_id, p.doc_id, sum(p.tf * w.w) AS score FROM postings p "
         "JOIN w ON p.term = w.term WHERE p.doc_id IN (SELECT doc_id FROM tdocs WHERE topic = 'en') "
         "GROUP BY w.query_id, p.doc_id HAVING sum(p.tf * w.w) > 0)") + _ranked("scores")
+
+
+def _tag_text(e: str) -> str:
+    x = f"regexp_replace({e}, '<[^>]*>', ' ', 'g')"
+    for a, b in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
+                 ("&amp;", "&")]:
+        x = f"replace({x}, {S.lit(a)}, {S.lit(b)})"
+    return S.collapse_ws(x)
+
+
+def _strip_markup(e: str) -> str:
+    x = f"regexp_replace({e}, '(?is)<script\\b.*?</script>', ' ', 'g')"
+    x = f"regexp_replace({x}, '(?is)<style\\b.*?</style>', ' ', 'g')"
+    return f"regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g')"
+
+
+def _element(e: str, tag: str) -> str:
+    return f"regexp_extract({e}, '(?is)<{tag}\\b[^>]*>(.*?)</{tag}>', 1)"
+
+
+def _elements(e: str, tag: str) -> str:
+    return f"regexp_extract_all({e}, '(?is)<{tag}\\b[^>]*>(.*?)</{tag}>', 1)"
+
+
+BLOCKS = (
+    "blocks AS (SELECT page_id, regexp_extract(html, '<html[^>]*\\blang=\"([^\"]*)\"', 1) AS lang, "
+    "regexp_extract(url, '/(\\d+)(?:[/?#]|$)', 1) AS code, "
+    "trim(" + S.collapse_ws("regexp_replace(lower(" + _tag_text(_element("c", "title")) + "), '\\([^)]*\\)', '', 'g')") + ") AS name, "
+    "CASE WHEN length(d) > 0 THEN d END AS description FROM (SELECT page_id, url, html, c, "
+    + _tag_text("regexp_extract(c, '(?is)<article\\b[^>]*>.*?</h1>(.*?)</article>', 1)") + " AS d "
+    "FROM (SELECT page_id, url, html, " + _strip_markup("html") + " AS c FROM pages))), "
+    "hdr AS (SELECT * FROM blocks WHERE lang = 'en' AND length(code) > 0), "
+    "courses AS (SELECT doc_id, page_id, code, name, description FROM (SELECT *, "
+    "row_number() OVER (ORDER BY page_id) - 1 AS doc_id FROM hdr) WHERE description IS NOT NULL)")
+
+
+@oracle("filter_header")
+def _filter_header():
+    return _with(BLOCKS) + "SELECT page_id, code, name FROM hdr"
+
+
+@oracle("extract_catalog")
+def _extract_catalog():
+    return _with(BLOCKS) + "SELECT doc_id, page_id, code, name, description FROM courses"
+
+
+@oracle("json_sink_source")
+def _json_sink_source():
+    return _extract_catalog()
+
+
+@oracle("assign_doc_id")
+def _assign_doc_id():
+    return _with(BLOCKS) + "SELECT page_id, row_number() OVER (ORDER BY page_id) - 1 AS doc_id FROM hdr"
+
+
+@oracle("filter_described")
+def _filter_described():
+    return _with(S.news_ctes()) + "SELECT doc_id FROM news WHERE description IS NOT NULL"
+
+
+def _records(src: str, file_expr: str) -> str:
+    rec = "rec"
+    items = f"list_transform({_elements(_element(rec, 'nav'), 'a')}, lambda x: lower({_tag_text('x')}))"
+    title = (f"lower({S.strip_punct(chr(114) + 'egexp_replace(' + _tag_text(_element(rec, 'title')) + ", '[0-9]+', '', 'g')")})")
+    body = ("lower(regexp_replace(" + S.strip_punct(
+        f"regexp_replace({_tag_text(_element(rec, 'article'))}, {S.lit(K.NON_ALNUM_PATTERN)}, ' ', 'g')")
+        + ", '[0-9]+', '', 'g'))")
+    return (
+        f"recs AS (SELECT {file_expr} AS file, unnest(rs) AS rec, generate_subscripts(rs, 1) - 1 AS rec_pos "
+        f"FROM (SELECT *, {_elements(_strip_markup('html'), 'html')} AS rs FROM {src})), "
+        f"recout AS (SELECT file, rec_pos, CASE WHEN len({items}) > 0 THEN array_to_string({items}, ' ') END "
+        f"AS topic, CASE WHEN regexp_matches(rec, '(?is)<title\\b[^>]*>.*?</title>') THEN {title} END AS name, "
+        f"CASE WHEN regexp_matches(rec, '(?is)<article\\b[^>]*>.*?</article>') THEN {body} END AS description "
+        "FROM recs)")
+
+
+@oracle("extract_newswire")
+def _extract_newswire():
+    return _with(_records("pages", "page_id")) + (
+        "SELECT file AS page_id, rec_pos, topic, name, description FROM recout")
+
+
+@oracle("multi_file_scan")
+def _multi_file_scan():
+    return _extract_newswire()
+
+
+@oracle("extract_positional")
+def _extract_positional():
+    b = f"list_transform({_elements(_strip_markup('html'), 'p')}, lambda x: {_tag_text('x')})"
+    t = f"list_transform({_elements(_strip_markup('html'), 'a')}, lambda x: {_tag_text('x')})"
+    return (
+        f"WITH z AS (SELECT page_id, {b} AS b, {t} AS t FROM pages), "
+        "u AS (SELECT page_id, unnest(range(least(len(b), len(t)))) AS pos, b, t FROM z) "
+        "SELECT page_id, pos, CASE WHEN length(t[pos + 1]) > 0 THEN t[pos + 1] ELSE 'NaN' END AS name, "
+        "CASE WHEN length(b[pos + 1]) > 0 THEN b[pos + 1] ELSE 'NaN' END AS description FROM u")
+
+
+@oracle("csv_sink_source")
+def _csv_sink_source():
+    toks = S.normalise("concat_ws(' ', description, name)")
+    return _with(S.news_ctes()) + (
+        f"SELECT 'train' AS split, doc_id, unnest(topics) AS topic, "
+        f"CASE WHEN len({toks}) > 0 THEN array_to_string({toks}, ' ') END AS tokens "
+        "FROM news WHERE topics IS NOT NULL UNION ALL "
+        f"SELECT 'predict' AS split, doc_id, CAST(NULL AS VARCHAR) AS topic, "
+        f"CASE WHEN len({toks}) > 0 THEN array_to_string({toks}, ' ') END AS tokens "
+        "FROM news WHERE topics IS NULL")
+
+
+@oracle("parse_list_literal")
+def _parse_list_literal():
+    toks = S.normalise("text")
+    return (
+        f"SELECT doc_id, cell, CASE WHEN cell <> '-1' THEN array_to_string(string_split("
+        f"regexp_replace(cell, '[\\[\\]'' ]', '', 'g'), ','), ' ') END AS tokens FROM ("
+        f"SELECT doc_id, CASE WHEN len({toks}) > 0 THEN '[''' || array_to_string({toks}, ''', ''') || ''']' "
+        "ELSE '-1' END AS cell FROM documents)")
+
+
+@oracle("materialise_corpus")
+def _materialise_corpus():
+    return _explode_tokens()
+
+
+@oracle("thesaurus_sink_source")
+def _thesaurus_sink_source():
+    return _build_thesaurus()
+
+
+@oracle("bigram_sink_source")
+def _bigram_sink_source():
+    return _bigram_model()
+
+
+@oracle("union_corpora")
+def _union_corpora():
+    return _with(BLOCKS, S.news_ctes()) + (
+        "SELECT 'course' AS corpus, doc_id, name, description FROM courses UNION ALL "
+        "SELECT 'news' AS corpus, doc_id, name, description FROM news")
+
+
+@oracle("lemma_lookup")
+def _lemma_lookup():
+    return _with(S.tokens_cte(stemmer=None)) + (
+        "SELECT coalesce(l.lemma, t.term) AS term, count(*) AS cf FROM tokens t LEFT JOIN ("
+        "SELECT v.term, substr(v.term, 1, length(v.term) - 1) AS lemma FROM (SELECT DISTINCT term FROM tokens) v "
+        "WHERE suffix(v.term, 's') AND length(v.term) > 2 AND substr(v.term, 1, length(v.term) - 1) IN "
+        "(SELECT DISTINCT term FROM tokens)) l ON t.term = l.term GROUP BY 1")
