@@ -749,3 +749,23 @@ def q_stem_vocabulary(spark, sf_dir):
     """Porter stems of the distinct unstemmed vocabulary (Arrow UDF)."""
     idx = corpus_index(spark, sf_dir, stemmer=None)
     return stm.porter_stem_terms(idx.vocab)
+
+
+# --- ranking windows (W1, W2) ----------------------------------------------------------
+
+def _bench_scores(spark, sf_dir):
+    idx = corpus_index(spark, sf_dir)
+    qt = rk.query_term_counts(rk.query_tokens(query_table(spark, sf_dir, "benchmark")))
+    return rk.vsm_scores(idx.postings, idx.vocab, qt)
+
+
+@register("rank_documents")
+def q_rank_documents(spark, sf_dir):
+    """Every matching document of every benchmark query, ranked."""
+    return rk.rank_documents(_bench_scores(spark, sf_dir), None)
+
+
+@register("top5_results")
+def q_top5_results(spark, sf_dir):
+    """The first 5 of each ranking."""
+    return rk.rank_documents(_bench_scores(spark, sf_dir), 5)

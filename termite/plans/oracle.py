@@ -703,3 +703,15 @@ def _lemma_lookup():
         "SELECT v.term, substr(v.term, 1, length(v.term) - 1) AS lemma FROM (SELECT DISTINCT term FROM tokens) v "
         "WHERE suffix(v.term, 's') AND length(v.term) > 2 AND substr(v.term, 1, length(v.term) - 1) IN "
         "(SELECT DISTINCT term FROM tokens)) l ON t.term = l.term GROUP BY 1")
+
+
+@oracle("rank_documents")
+def _rank_documents():
+    return (f"WITH {S.index_ctes()}, {QTERMS}, {_score_ctes()} "
+            "SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) "
+            "AS INTEGER) AS rank, doc_id, CAST(score AS DOUBLE) AS score FROM scores")
+
+
+@oracle("top5_results")
+def _top5_results():
+    return ORACLE["vsm_score"]
