@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from termite.operators import index as ix
 from termite.operators import ranking as rk
+from termite.session import ship_package
 from termite.sources.tables import query_table, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +19,12 @@ REGISTRY: dict[str, Query] = {}
 
 def register(name: str):
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        REGISTRY[name] = run
         return fn
     return deco
 
