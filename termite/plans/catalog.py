@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termite.operators import index as ix
+from termite.functions import constants as K
 from termite.operators import ranking as rk
 from termite.session import ship_package
 from termite.sources.tables import query_table, read_table
@@ -398,7 +399,11 @@ def q_build_thesaurus(spark, sf_dir):
 
 @register("filter_similarity")
 def q_filter_similarity(spark, sf_dir):
-    return th.filter_similarity(corpus_thesaurus(spark, sf_dir)).select("term", "related", "sim")
+    """thesaurus pairs with sim >= 0.75 (pairs that cannot reach it are
+    pruned before the shuffle)."""
+    thes = th.cooccurrence_similarity(corpus_index(spark, sf_dir).tokens,
+                                      min_sim=K.EXPANSION_MIN_SIM)
+    return th.filter_similarity(thes).select("term", "related", "sim")
 
 
 @register("top_related_terms")
@@ -473,7 +478,8 @@ def vsm_search(spark, sf_dir, queries: DataFrame, k: int = 5) -> DataFrame:
     idx = corpus_index(spark, sf_dir)
     idx.tokens = idx.tokens.persist()
     idx.persist()
-    thes = th.cooccurrence_similarity(idx.tokens).persist()
+    # expansion only needs pairs with sim >= 0.75: the thesaurus is pruned to those
+    thes = th.cooccurrence_similarity(idx.tokens, min_sim=K.EXPANSION_MIN_SIM).persist()
     qtok = rk.query_tokens(queries).persist()
     expanded = th.expand_query(qtok, thes)
     fixes = sp.correct_query_terms(qtok.select("term").distinct().withColumn("query_id", F.lit(0))
@@ -539,14 +545,14 @@ def _knn_parts(spark, sf_dir):
     tf = feature_counts(tok_tr, top).persist()
     pf = feature_counts(ix.token_table(pred, "text"), top).persist()
     k = kn.k_for(rows.count())
-    return nw, train, pred, rows, tf, pf, k
+    return nw, train, pred, rows, tf, pf, k, top
 
 
 @register("k_nearest")
 def q_k_nearest(spark, sf_dir):
     """The k = round(sqrt(n)) nearest training rows of each untopiced document."""
-    nw, train, pred, rows, tf, pf, k = _knn_parts(spark, sf_dir)
-    return kn.k_nearest(rows, tf, pred, pf, k)
+    nw, train, pred, rows, tf, pf, k, top = _knn_parts(spark, sf_dir)
+    return kn.nearest_rows(rows, tf, pred, pf, top, k)
 
 
 @register("knn_join")
