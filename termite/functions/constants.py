@@ -33,9 +33,11 @@ TOP_TERM_MIN_CF = 100
 RESULTS_PER_QUERY = 5
 # Related terms listed per term.
 RELATED_PER_TERM = 10
-# Decimal type used for exact, order-independent score sums.
+# idf is rounded to IDF_SCALE decimal places; scores are summed exactly as
+# integers in units of 10**-IDF_SCALE (order-independent) and divided at the end.
 SCORE_DECIMAL = "DECIMAL(18,6)"
 IDF_SCALE = 6
+IDF_UNITS = 10 ** IDF_SCALE
 # ---------------------------------------------------------------------------
 
 

@@ -60,8 +60,9 @@ def with_collection_idf(vocab: DataFrame) -> DataFrame:
     N is a scalar subquery, evaluated once and inlined; no join."""
     n_tokens = vocab.agg(F.sum("cf")).scalar()
     idf = F.log((F.lit(1) + n_tokens) / (F.lit(1) + F.col("cf"))) + F.lit(1)
-    return vocab.withColumn("idf", idf).withColumn(
-        "idf_dec", F.round(F.col("idf"), K.IDF_SCALE).cast(K.SCORE_DECIMAL))
+    idf_dec = F.round(F.col("idf"), K.IDF_SCALE).cast(K.SCORE_DECIMAL)
+    return vocab.withColumn("idf", idf).withColumn("idf_dec", idf_dec).withColumn(
+        "idf_units", (F.col("idf_dec") * K.IDF_UNITS).cast("long"))
 
 
 def term_frequency(tokens: DataFrame) -> DataFrame:

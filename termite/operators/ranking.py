@@ -28,7 +28,7 @@ def query_term_counts(qtokens: DataFrame) -> DataFrame:
 
 def vsm_scores(post: DataFrame, vocab_idf: DataFrame, qterms: DataFrame,
                include_zero: bool = False) -> DataFrame:
-    """``(query_id, doc_id, score DECIMAL)`` for documents sharing a term with
+    """``(query_id, doc_id, score BIGINT in 10**-6 units)`` for documents sharing a term with
     the query.
 
     The weighted query terms (query batch x idf) are the small side: they are
@@ -37,10 +37,11 @@ def vsm_scores(post: DataFrame, vocab_idf: DataFrame, qterms: DataFrame,
     ``(query_id, doc_id)``.  Documents with score 0 are absent (ledger D15);
     ``include_zero`` is kept for API parity but zero scores can only come from
     documents sharing no term, which a ranked list does not show."""
-    weighted = qterms.join(vocab_idf.select("term", "idf_dec"), "term").select(
-        "query_id", "term", (F.col("qtf") * F.col("idf_dec")).alias("w"))
+    weighted = qterms.join(vocab_idf.select("term", "idf_units"), "term").select(
+        "query_id", "term", (F.col("qtf") * F.col("idf_units")).alias("w"))
     weighted = broadcast_if_small(weighted)
     joined = post.select("term", "doc_id", "tf").join(weighted, "term")
+    # exact 64-bit sum in units of 10**-6 (idf <= ~20, so far from overflow)
     scores = joined.groupBy("query_id", "doc_id").agg(
         F.sum(F.col("tf") * F.col("w")).alias("score"))
     if not include_zero:
@@ -58,4 +59,5 @@ def rank_documents(scores: DataFrame, k: int | None = K.RESULTS_PER_QUERY) -> Da
     ranked = scores.withColumn("rank", F.row_number().over(w))
     if k is not None:
         ranked = ranked.where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "doc_id", F.col("score").cast("double").alias("score"))
+    return ranked.select("query_id", "rank", "doc_id",
+                         (F.col("score").cast("double") / K.IDF_UNITS).alias("score"))

@@ -17,7 +17,7 @@ def oracle(name: str):
 
 def _ranked(scores_cte: str, k: int = K.RESULTS_PER_QUERY) -> str:
     return (
-        f"SELECT query_id, rank, doc_id, CAST(score AS DOUBLE) AS score FROM ("
+        f"SELECT query_id, rank, doc_id, CAST(score AS DOUBLE) / {K.IDF_UNITS} AS score FROM ("
         f"SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) "
         f"AS INTEGER) AS rank, doc_id, score FROM {scores_cte}) WHERE rank <= {k}"
     )
@@ -25,9 +25,9 @@ def _ranked(scores_cte: str, k: int = K.RESULTS_PER_QUERY) -> str:
 
 def _score_ctes(qterms: str = "qterms") -> str:
     return (
-        f"w AS (SELECT q.query_id, q.term, q.qtf * v.idf_dec AS w FROM {qterms} q "
-        f"JOIN vocab v ON q.term = v.term), "
-        "scores AS (SELECT w.query_id, p.doc_id, sum(p.tf * w.w) AS score FROM postings p "
+        f"w AS (SELECT q.query_id, q.term, q.qtf * v.idf_units AS w FROM {qterms} q "
+        f"JOIN vocabu v ON q.term = v.term), "
+        "scores AS (SELECT w.query_id, p.doc_id, CAST(sum(p.tf * w.w) AS BIGINT) AS score FROM postings p "
         "JOIN w ON p.term = w.term GROUP BY w.query_id, p.doc_id HAVING sum(p.tf * w.w) > 0)"
     )
 
@@ -549,8 +549,8 @@ def _build_classification_sets():
 def _topic_restricted_search():
     return _with(
         KNN, IDX.replace("tokens AS (", "tokens AS (", 1), QTERMS,
-        "w AS (SELECT q.query_id, q.term, q.qtf * v.idf_dec AS w FROM qterms q JOIN vocab v ON q.term = v.term)",
-        "scores AS (SELECT w.query_id, p.doc_id, sum(p.tf * w.w) AS score FROM postings p "
+        "w AS (SELECT q.query_id, q.term, q.qtf * v.idf_units AS w FROM qterms q JOIN vocabu v ON q.term = v.term)",
+        "scores AS (SELECT w.query_id, p.doc_id, CAST(sum(p.tf * w.w) AS BIGINT) AS score FROM postings p "
         "JOIN w ON p.term = w.term WHERE p.doc_id IN (SELECT doc_id FROM tdocs WHERE topic = 'en') "
         "GROUP BY w.query_id, p.doc_id HAVING sum(p.tf * w.w) > 0)") + _ranked("scores")
 
@@ -709,7 +709,7 @@ def _lemma_lookup():
 def _rank_documents():
     return (f"WITH {S.index_ctes()}, {QTERMS}, {_score_ctes()} "
             "SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) "
-            "AS INTEGER) AS rank, doc_id, CAST(score AS DOUBLE) AS score FROM scores")
+            f"AS INTEGER) AS rank, doc_id, CAST(score AS DOUBLE) / {K.IDF_UNITS} AS score FROM scores")
 
 
 @oracle("top5_results")

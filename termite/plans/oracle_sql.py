@@ -76,7 +76,8 @@ def index_ctes(stemmer: str | None = "s") -> str:
         "vocab AS (SELECT term, cf, df, f.doc_id AS first_doc, f.first_pos AS first_pos, "
         "ln((1 + (SELECT sum(cf) FROM vocab0)) / (1 + cf)) + 1 AS idf, "
         f"CAST(round(ln((1 + (SELECT sum(cf) FROM vocab0)) / (1 + cf)) + 1, {K.IDF_SCALE}) "
-        f"AS {K.SCORE_DECIMAL}) AS idf_dec FROM vocab0)",
+        f"AS {K.SCORE_DECIMAL}) AS idf_dec FROM vocab0), "
+        f"vocabu AS (SELECT *, CAST(idf_dec * {K.IDF_UNITS} AS BIGINT) AS idf_units FROM vocab)",
     ])
 
 

@@ -10,9 +10,19 @@ from termite.session import table_path
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Parquet scan; listing columns here lets the scan read only those."""
+    """Parquet scan; listing columns here lets the scan read only those.
+
+    A file is split only at row-group boundaries, so a table written as one
+    row group scans in one task.  When the scan yields fewer partitions than
+    the cluster's default parallelism, its rows are spread round-robin (a
+    deterministic repartition) so the text work after the scan runs on every
+    core; large inputs already scan in many partitions and are left alone."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*cols) if cols else df
+    df = df.select(*cols) if cols else df
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
 
 
 def split_name_description(text: F.Column | str) -> tuple[F.Column, F.Column]:
