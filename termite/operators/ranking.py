@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from termite.functions import constants as K
 from termite.functions.text import normalise
+from termite.operators.index import ordinal_within
 from termite.plans.sizing import broadcast_if_small
 
 
@@ -55,9 +56,12 @@ def rank_documents(scores: DataFrame, k: int | None = K.RESULTS_PER_QUERY) -> Da
     ``row_number() <= k`` is planned as a partial WindowGroupLimit before the
     shuffle on query_id, so a query matching every document still moves only
     k rows per map partition."""
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id"))
-    ranked = scores.withColumn("rank", F.row_number().over(w))
-    if k is not None:
-        ranked = ranked.where(F.col("rank") <= k)
+    if k is None:
+        # the whole ranking: a query matching most documents must not become
+        # one window task, so rank by a global range sort instead
+        ranked = ordinal_within(scores, "query_id", [F.col("score").desc(), F.col("doc_id")], "rank")
+    else:
+        w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id"))
+        ranked = scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "doc_id",
                          (F.col("score").cast("double") / K.IDF_UNITS).alias("score"))

@@ -40,3 +40,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_ordinal_within_matches_row_number_on_a_hot_group(spark):
+    from pyspark.sql import Window
+
+    # group 0 holds most rows and spans many partitions after the range sort
+    df = spark.range(0, 3000, 1, 9).select(
+        F.when(F.col("id") % 10 < 8, 0).otherwise(F.col("id") % 7).alias("g"),
+        ((F.col("id") * 7919) % 101).alias("score"), F.col("id").alias("doc_id"))
+    got = ix.ordinal_within(df, "g", [F.col("score").desc(), F.col("doc_id")], "rank")
+    w = Window.partitionBy("g").orderBy(F.col("score").desc(), F.col("doc_id"))
+    want = df.withColumn("rank", F.row_number().over(w))
+    assert sorted(tuple(r) for r in got.select("g", "doc_id", "rank").collect()) == \
+        sorted(tuple(r) for r in want.select("g", "doc_id", "rank").collect())
