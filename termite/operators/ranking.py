@@ -40,7 +40,7 @@ def vsm_scores(post: DataFrame, vocab_idf: DataFrame, qterms: DataFrame,
     documents sharing no term, which a ranked list does not show."""
     weighted = qterms.join(vocab_idf.select("term", "idf_units"), "term").select(
         "query_id", "term", (F.col("qtf") * F.col("idf_units")).alias("w"))
-    weighted = broadcast_if_small(weighted)
+    weighted = broadcast_if_small(weighted.persist())
     joined = post.select("term", "doc_id", "tf").join(weighted, "term")
     # exact 64-bit sum in units of 10**-6 (idf <= ~20, so far from overflow)
     scores = joined.groupBy("query_id", "doc_id").agg(

@@ -31,8 +31,10 @@ def register(name: str):
 
 
 def corpus_index(spark: SparkSession, sf_dir: str, stemmer: str | None = "s") -> ix.Index:
+    """The index of ``documents``; postings and vocabulary are persisted
+    (memory and disk) because size checks and later stages read them again."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    return ix.build_index(docs, "text", stemmer)
+    return ix.build_index(docs, "text", stemmer).persist()
 
 
 # --- minimum slice ------------------------------------------------------------
