@@ -286,9 +286,13 @@ def benchmark_boolean_queries(spark, sf_dir) -> DataFrame:
 
 
 def _item_term_clauses(spark, sf_dir, one_clause: bool) -> DataFrame:
+    """Clause rows for every benchmark item: all its terms in one clause (AND),
+    or one clause per term (OR; the term itself identifies the clause)."""
     qt = rk.query_tokens(query_table(spark, sf_dir, "benchmark")).select("query_id", "term").distinct()
-    cid = F.lit(0) if one_clause else F.dense_rank().over(
-        __import__("pyspark.sql").sql.Window.partitionBy("query_id").orderBy("term"))
+    from pyspark.sql import Window
+
+    # one query's distinct terms: a window bounded by the length of that query
+    cid = F.lit(0) if one_clause else F.dense_rank().over(Window.partitionBy("query_id").orderBy("term"))
     return qt.select("query_id", cid.cast("int").alias("clause_id"), "term", F.lit(True).alias("positive"))
 
 
