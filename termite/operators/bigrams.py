@@ -32,6 +32,8 @@ def bigram_token_arrays(docs: DataFrame, text_col: str = "description",
 def adjacent_pairs(arrays: DataFrame, within_document: bool = False,
                    docs_per_bucket: int = DOCS_PER_BUCKET) -> DataFrame:
     """``(doc_id, pos, w1, w2)``; (doc_id, pos) locates ``w1``."""
+    if not within_document:
+        arrays = arrays.persist()  # read by three branches; normalise once
     inner = arrays.where(F.size("toks") >= 2).select(
         "doc_id",
         F.posexplode(F.transform(

@@ -433,7 +433,10 @@ def q_expand_query(spark, sf_dir):
     """C4: benchmark queries with one related term appended per token whose
     best related term has sim >= 0.75; ``(query_id, term, qtf)``."""
     qtok = rk.query_tokens(query_table(spark, sf_dir, "benchmark"))
-    return rk.query_term_counts(th.expand_query(qtok, corpus_thesaurus(spark, sf_dir)))
+    # only a best related term with sim >= 0.75 is added: the pruned thesaurus
+    # has the same best term whenever that term reaches the threshold
+    thes = th.cooccurrence_similarity(corpus_index(spark, sf_dir).tokens, min_sim=K.EXPANSION_MIN_SIM)
+    return rk.query_term_counts(th.expand_query(qtok, thes))
 
 
 # --- spelling (J5, C3, C5) and the full ranked search (C1) ----------------------------

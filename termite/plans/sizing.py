@@ -15,7 +15,10 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
+    """The side is persisted first: the count materialises it and the join -
+    broadcast or not - reads the cached rows instead of recomputing them."""
+    df = df.persist()
+    n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
 
