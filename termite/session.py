@@ -68,27 +68,20 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-_SHIPPED: set[str] = set()
+_SHIPPED = False
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make ``termite`` importable in the Python workers of every executor
-    (the pandas UDFs live in it): zip the package once per application and
-    add it with ``addPyFile``; Spark distributes it to the executors."""
-    import zipfile
-
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
+def ship_package(spark: SparkSession) -> None:  # noqa: ARG001 (kept for call sites)
+    """Make the pandas UDFs of ``termite`` runnable on executors that do not
+    have the package installed: their functions are pickled by value into
+    the task closures (pyspark's bundled cloudpickle), so no file is written
+    or distributed."""
+    global _SHIPPED
+    if _SHIPPED:
         return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    fd, path = tempfile.mkstemp(prefix="termite-", suffix=".zip")
-    os.close(fd)
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
-        for root, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(path)
-    _SHIPPED.add(app)
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules["termite"])
+    _SHIPPED = True
