@@ -48,7 +48,7 @@ def test_tiled_cooccurrence_matches_brute_force(spark):
     ids = th.top_term_ids(tokens, 0)
     sets = th.doc_term_sets(tokens, ids)
     names = {r.tid: r.term for r in ids.collect()}
-    for tile, per_task in ((5, 7), (1024, 20_000)):
+    for tile, per_task in ((5, 7), (5, 20_000), (1024, 20_000)):  # chunked, tile-spread, single
         pairs = th.cooccurrence_counts(sets, len(names), docs_per_task=per_task, tile=tile)
         got = Counter({(names[r.i], names[r.j]): r.co for r in pairs.collect()})
         assert got == _brute_cooc(docs), tile
