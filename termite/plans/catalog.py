@@ -3,6 +3,7 @@ operator id of the survey's inventory, each over the whole driver tables."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,10 @@ REGISTRY: dict[str, Query] = {}
 
 def register(name: str):
     def deco(fn: Query) -> Query:
+        @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship_package(spark)
             return fn(spark, sf_dir)
-        run.__name__ = fn.__name__
-        run.__doc__ = fn.__doc__
         REGISTRY[name] = run
         return fn
     return deco
