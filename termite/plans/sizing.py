@@ -21,6 +21,3 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
-
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
