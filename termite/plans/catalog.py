@@ -695,7 +695,7 @@ def q_multi_file_scan(spark, sf_dir):
     path = scratch_path(spark, "pages-files")
     pages = _pages(spark, sf_dir).select("page_id", "html")
     pages.repartition(8).write.mode("overwrite").json(path)
-    files = cp.read_page_files(spark, f"{path}/part-*.json", pages.schema)
+    files = cp.read_page_files(spark, path, "part-*.json", pages.schema)
     recs = cp.extract_records(files.select(F.col("page_id").alias("path"), F.col("html").alias("value")),
                               **cp.PAGE_RECORDS)
     return recs.select(F.col("file").alias("page_id"), "rec_pos",

@@ -132,10 +132,11 @@ def read_text_files(spark: SparkSession, glob: str) -> DataFrame:
         F.input_file_name().alias("path"), "value")
 
 
-def read_page_files(spark: SparkSession, glob: str, schema) -> DataFrame:
-    """S4 for page dumps: every JSON-lines file matching ``glob``, one row per
-    page, with the file it came from."""
-    return spark.read.schema(schema).json(glob).withColumn("file_path", F.input_file_name())
+def read_page_files(spark: SparkSession, folder: str, glob: str, schema) -> DataFrame:
+    """S4 for page dumps: every JSON-lines file in ``folder`` whose name
+    matches ``glob``, one row per page, with the file it came from."""
+    return (spark.read.schema(schema).option("pathGlobFilter", glob).json(folder)
+            .withColumn("file_path", F.input_file_name()))
 
 
 # --- S3: positional zip -----------------------------------------------------------
