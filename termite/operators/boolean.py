@@ -132,7 +132,13 @@ def _clauses_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for qid, text in zip(pdf["query_id"], pdf["query"]):
             if text is None:
                 continue
-            clauses = sorted(to_dnf(text), key=lambda c: sorted(c))
+            try:
+                clauses = sorted(to_dnf(text), key=lambda c: sorted(c))
+            except ValueError:
+                # a malformed query (unbalanced parenthesis, operator without
+                # operand) answers nothing; the rest of the batch still runs.
+                # OverflowError (too many clauses) is not caught: it fails loudly.
+                continue
             for cid, clause in enumerate(clauses):
                 for term, pos in sorted(clause):
                     rows.append((int(qid), cid, term, bool(pos)))

@@ -74,7 +74,9 @@ def test_clause_table_on_spark_and_ledger_cases(spark):
         [(1, "a AND_NOT b"),          # D1: last doc holding only a is kept
          (2, "a and c"),             # D2: lower-case operator
          (3, "zzz OR c"),            # D3: unknown term -> empty list
-         (4, "zzz AND a")],
+         (4, "zzz AND a"),
+         (5, "( a AND"),              # malformed: no rows, batch continues
+         (6, "AND")],
         "query_id long, query string")
     clauses = bl.parse_queries(queries, stemmer=None)
     got = {(r.query_id, r.doc_id) for r in bl.evaluate_clauses(post, clauses).collect()}
