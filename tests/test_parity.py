@@ -61,3 +61,17 @@ def test_broadcast_only_below_the_limit(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert joined_small.count() == 10 and joined_big.count() == 10
+
+
+def test_codepoint_levenshtein_in_sql_matches_spark(spark):
+    rng = random.Random(21)
+    letters = string.ascii_lowercase[:8] + string.digits[:3] + "èéñßêçíüöóä"
+    pairs = [("".join(rng.choice(letters) for _ in range(rng.randint(0, 9))),
+              "".join(rng.choice(letters) for _ in range(rng.randint(0, 9)))) for _ in range(400)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "id long, a string, b string")
+    got = {r.id: r.d for r in df.select("id", tx.edit_distance("a", "b").alias("d")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p (id BIGINT, a VARCHAR, b VARCHAR)")
+    con.executemany("INSERT INTO p VALUES (?, ?, ?)", [(i, a, b) for i, (a, b) in enumerate(pairs)])
+    want = dict(con.execute(f"SELECT id, {S.lev('a', 'b')} FROM p").fetchall())
+    assert got == want
