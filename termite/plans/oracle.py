@@ -2,19 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from termite.functions import constants as K
 from termite.plans import oracle_sql as S
 
-ORACLE: dict[str, str] = {}
+_BUILDERS: dict[str, Callable[[], str]] = {}
 
 
 def oracle(name: str):
     def deco(fn):
-        ORACLE[name] = fn()
+        _BUILDERS[name] = fn
         return fn
     return deco
 
 
+class _Oracle(Mapping):
+    """The SQL texts by query name, each built when it is read."""
+
+    def __getitem__(self, name: str) -> str:
+        return _BUILDERS[name]()
+
+    def __iter__(self):
+        return iter(_BUILDERS)
+
+    def __len__(self) -> int:
+        return len(_BUILDERS)
+
+
+ORACLE = _Oracle()
+
+
 def _ranked(scores_cte: str, k: int = K.RESULTS_PER_QUERY) -> str:
     return (
         f"SELECT query_id, rank, doc_id, CAST(score AS DOUBLE) / {K.IDF_UNITS} AS score FROM ("

@@ -4,12 +4,13 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as E
 from check import TABLES, _rows
+from termite.plans.catalog import REGISTRY
+from termite.plans.oracle import ORACLE as ORACLE_TEXTS
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = dict(REGISTRY)
+ORACLE = dict(ORACLE_TEXTS)
 
 
 @pytest.fixture(scope="module")
