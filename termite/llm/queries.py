@@ -52,3 +52,160 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return remove_repeats(docs, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@register("op5_ngram_jaccard_join", rf"""
+WITH RECURSIVE w AS (SELECT doc_id, list_transform({SQL_WORDS.format(text='text')},
+                     lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(list_transform(generate_series(1, greatest(1, len(ws) - 4)),
+       lambda i: array_to_string(list_slice(ws, i, i + 4), ' '))) AS s FROM w WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 75 * (x.n + y.n - o)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT doc_id, doc_id AS c FROM w UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON r.c = e.a)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.c) AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN reach r ON r.doc_id = w.doc_id GROUP BY ALL""")
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets reach a Jaccard of 0.75."""
+    from termite.llm.ngram_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op9_quality_rules", rf"""
+WITH w AS (SELECT doc_id, text, {SQL_WORDS.format(text='text')} AS ws FROM documents),
+wins AS (SELECT doc_id, k, i, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS win FROM
+         (SELECT doc_id, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i
+          FROM w, (SELECT unnest([5, 8, 101]) AS k) WHERE len(ws) >= k)),
+again AS (SELECT doc_id, k, i FROM wins QUALIFY count(*) OVER (PARTITION BY doc_id, k, win) > 1),
+hit AS (SELECT doc_id, k, count(DISTINCT i + j) AS n FROM again, (SELECT unnest(range(101)) AS j) WHERE j < k GROUP BY 1, 2),
+counts AS (SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+  length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+  coalesce(h8.n, 0) AS n_repeat_words, coalesce(h5.n, 0) AS n_covered_words, h101.n IS NOT NULL AS long_repeat
+  FROM w LEFT JOIN hit h8 ON h8.doc_id = w.doc_id AND h8.k = 8 LEFT JOIN hit h5 ON h5.doc_id = w.doc_id AND h5.k = 5
+  LEFT JOIN hit h101 ON h101.doc_id = w.doc_id AND h101.k = 101)
+SELECT doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_repeat_words,
+  n_covered_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 100 * n_covered_words <= 40 * n_words AND NOT long_repeat AS kept
+FROM counts""")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of each document; repeats from its suffix array."""
+    from termite.llm.quality import quality
+
+    return quality(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered_words",
+        "base_failed", "kept")
+
+
+SQL_LOWER = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SQL_BENCH_WORDS = (r"regexp_extract_all(" + SQL_LOWER.format(x="coalesce(text, '')")
+                   + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+@register("op2_benchmark_decontamination", rf"""
+WITH b AS (SELECT item_id, {SQL_BENCH_WORDS} AS ws FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(10, len(ws)) AS k, array_to_string(list_slice(ws, i, i + 9), ' ') AS win
+       FROM (SELECT item_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 9))) AS i FROM b WHERE len(ws) > 0)),
+d AS (SELECT doc_id, {SQL_BENCH_WORDS} AS ws FROM documents),
+dw AS (SELECT doc_id, k, i, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS win FROM
+       (SELECT doc_id, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i
+        FROM d, (SELECT DISTINCT k FROM iw) WHERE len(ws) >= k)),
+hit AS (SELECT doc_id, dw.k, i, item_id FROM dw JOIN iw ON dw.win = iw.win),
+n AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM hit, (SELECT unnest(range(10)) AS j) WHERE j < k GROUP BY 1),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY 1)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id""")
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document words inside any occurrence of a benchmark item's word window."""
+    from termite.llm.decontaminate import report
+
+    return report(table(spark, sf_dir, "documents", "doc_id", "text"),
+                  table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@register("op4_source_mixing", rf"""
+WITH RECURSIVE d AS (SELECT doc_id, source, CAST(len({SQL_WORDS.format(text='text')}) AS BIGINT) AS size,
+           md5(CAST(doc_id AS VARCHAR)) AS o FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r
+      FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][r % 3 + 1] AS weight, [0.5, 0.0, -0.5][r % 3 + 1]::DOUBLE AS slope FROM s),
+level(l, was) AS (
+  SELECT CAST((SELECT sum(source_size) FROM w) AS DOUBLE) / (SELECT sum(weight) FROM w), -1::DOUBLE
+  UNION ALL
+  SELECT CAST((SELECT sum(source_size) FROM w) - (SELECT coalesce(sum(3 * source_size), 0) FROM w WHERE 3 * source_size <= l * weight) AS DOUBLE)
+         / (SELECT sum(weight) FROM w WHERE 3 * source_size > l * weight), l FROM level WHERE l <> was),
+t AS (SELECT source, source_size, slope, least(CAST(3 * source_size AS DOUBLE), (SELECT max(l) FROM level) * weight) AS target FROM w),
+p AS (SELECT d.*, t.source_size, t.target, t.slope, CAST(floor(t.target + 0.5) AS BIGINT) AS words,
+        CAST(sum(size) OVER (PARTITION BY d.source ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+m AS (SELECT *, CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS times FROM p),
+k AS (SELECT *, times * size + greatest(0, least(size, words - times * source_size - start)) AS taken,
+        least(1.0::DOUBLE, CAST(start AS DOUBLE) / target) AS q FROM m)
+SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
+  CASE WHEN taken > 0 THEN 2 * q / ((1 + slope) + sqrt(greatest(0.0::DOUBLE, (1 + slope) * (1 + slope) - 4 * slope * q))) END AS position
+FROM k""")
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document, in order of training position."""
+    from termite.llm.curriculum import mix
+
+    return mix(table(spark, sf_dir, "documents", "doc_id", "source", "text")).select(
+        "doc_id", "size", "source_size", "target", "taken", "position").orderBy("position", "doc_id")
+
+
+@register("op10_url_filters")
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path and verdict of each page's URL: a rule's, else the trees'."""
+    from termite.llm.url_filter import judge
+
+    return judge(table(spark, sf_dir, "pages", "page_id", "url")).select(
+        "page_id", "host", "path", "rule", "verdict", "score")
+
+
+@register("op1_lattice_likelihood")
+def op1_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of each text over all its subword segmentations."""
+    from termite.llm.lattice_lm import score
+
+    return score(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op3_page_differencing")
+def op3_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page: what it does not share with its nearest neighbour."""
+    from termite.llm.page_diff import extract
+
+    return extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@register("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each text by a network learned from the other documents."""
+    from termite.llm.language_id import identify
+
+    return identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang")).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
+# Base32 of a hex digest: eight groups of ten hex digits, five bits a character.
+SQL_BASE32 = ("array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((("
+              "CAST('0x' || substr({hex}, CAST(10 * (i // 8) + 1 AS BIGINT), 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS BIGINT))"
+              " & 31) + 1 AS BIGINT), 1)), '')")
+
+
+@register("op8_arc_to_warc", f"""
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS h, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+m AS (SELECT h, max(page_id) AS original FROM p GROUP BY h)
+SELECT page_id, payload_bytes, {SQL_BASE32.format(hex='p.h')} AS payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = original THEN NULL ELSE original END AS refers_to
+FROM p JOIN m ON p.h = m.h""")
+def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the WARC archives made from the pages' ARC archives."""
+    from termite.llm.archives import archive_pages
+
+    return archive_pages(table(spark, sf_dir, "pages", "page_id", "url", "html")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
