@@ -82,16 +82,6 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
              F.size("covered").cast("long").alias("n_hit"), "items", "covered")
 
 
-def _aside(docs: DataFrame) -> tuple[DataFrame, list]:
-    """``doc_id`` and ``text`` under their names and all columns under others,
-    and how to get these back."""
-    kept = {f"__in{i}": c for i, c in enumerate(docs.columns)}
-    renamed = docs.select("*").toDF(*kept)
-    by_name = {c: k for k, c in kept.items()}
-    return (renamed.withColumn("doc_id", F.col(by_name["doc_id"])).withColumn("text", F.col(by_name["text"])),
-            [F.col(k).alias(c) for k, c in kept.items()])
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents",
                   window: int = WINDOW) -> DataFrame:
     """``docs``, all columns, without benchmark text: whole documents with a hit

@@ -66,10 +66,10 @@ def _least_overlap(n, percent: int):
 
 
 def shingle_sets(docs: DataFrame, width: int, percent: int, chunk_bytes: int) -> DataFrame:
-    """``(doc_id, n, set_id, keys)``: size and id of each document's set; for a
+    """``(doc_id, text_hash, n, set_id, keys)``: size and id of each document's set; for a
     document that may have a partner, its shingles that others hold too, from
     rare to frequent, else null."""
-    chunks, size = X.in_chunks(docs.select("doc_id", "text"), chunk_bytes)
+    chunks, size = X.in_chunks(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), chunk_bytes)
 
     def keys_of(table: pa.Table):
         return np.unique(_shingles(table, width)[1], return_counts=True)
@@ -88,13 +88,13 @@ def shingle_sets(docs: DataFrame, width: int, percent: int, chunk_bytes: int) ->
             mine = by_rarity[a:b]
             mine = mine[held[mine] > 1]
             keys.append(signed[mine] if n and len(mine) >= _least_overlap(n, percent) else None)
-        return pa.table({"doc_id": table.column("doc_id"), "n": pa.array(np.diff(edges), pa.int64()),
+        return pa.table({"doc_id": table.column("doc_id"), "text_hash": table.column("text_hash"), "n": pa.array(np.diff(edges), pa.int64()),
                          "set_id": pa.array(ids, pa.int64()), "keys": pa.array(keys, pa.list_(pa.int64()))})
 
     # The counts only order and exclude shingles; five bytes and the bucket's bits tell enough apart.
     counts = X.corpus_counts(chunks, keys_of, X.bucket_bits(size), width=5)
     kind = dict(docs.dtypes)["doc_id"]
-    return X.with_counts(chunks, counts, describe, f"doc_id {kind}, n long, set_id long, keys array<long>")
+    return X.with_counts(chunks, counts, describe, f"doc_id {kind}, text_hash long, n long, set_id long, keys array<long>")
 
 
 def _join_tasks(members: DataFrame, percent: int) -> DataFrame:
@@ -166,8 +166,9 @@ def _heavy_tasks(heavy: DataFrame, weight: F.Column, first_round: bool, task_wei
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT,
                     chunk_bytes: int = 4 << 20, task_weight: int = TASK_WEIGHT) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` for each row of ``docs(doc_id,
-    text)``; other columns are not read.
+    """``(doc_id, n_shingles, component_id, component, text_hash)`` for each row of
+    ``docs(doc_id, text)``; other columns are not read.  ``component``: a number
+    that linked rows share, null for a row that surely has no link.
 
     A set holds the distinct shingles of ``width`` words (A-Z lower-cased) of the
     whole text, or the whole sequence of a shorter one.  Documents with
@@ -215,7 +216,27 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     joined = components(found)
     roots = classes.select("v", "root").join(joined, "v", "left").withColumn("c", F.coalesce("component", "v"))
     least_root = roots.groupBy("c").agg(F.min("root").alias("least"))
-    answer = roots.join(least_root, "c").select(F.col("v").alias("set_id"), "least")
-    return sets.select("doc_id", "n", "set_id").join(
-        answer, "set_id", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    answer = roots.join(least_root, "c").select(F.col("v").alias("set_id"), F.col("c").alias("component"), "least")
+    return sets.select("doc_id", "text_hash", "n", "set_id").join(answer, "set_id", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"),
+        "component", "text_hash")
+
+
+def one_of_each(docs: DataFrame, **how) -> DataFrame:
+    """``docs``, all columns, with one row of each component: that of the least
+    ``doc_id`` (a null one last), then of the least hash of the text; of rows that
+    repeat its id and text, one.  Documents without a link stay, those without
+    words too."""
+    found = near_duplicates(docs.select("doc_id", "text"), **how).where("component is not null")
+    rows = found.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("text_hash").alias("c"))
+    first = rows.groupBy("component").agg(F.min(order).alias("first"))
+    decided = _stored(rows.join(first, "component").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
+        (order == F.col("first")).alias("__keep"), (F.col("copies") > 1).alias("__again")), "kept-copies")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    out = docs.join(decided, same, "left").where("coalesce(__keep, true)")
+    if decided.where("__keep and __again").limit(1).count():
+        again = F.coalesce(F.col("__again"), F.lit(False))
+        out = out.where(~again).unionByName(out.where(again).dropDuplicates(["doc_id", "text"]))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -70,7 +70,8 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets reach a Jaccard of 0.75."""
     from termite.llm.ngram_join import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "n_shingles", "component_id")
 
 
 @register("op9_quality_rules", rf"""

@@ -135,12 +135,12 @@ def judge(pages: DataFrame, rules: tuple = RULES, max_training_urls: int = MAX_T
     parts = parts.withColumn("rule", _rule(rules, -1)).withColumn("__said", _rule(rules, 2))
     ready = _features(parts).withColumn("__label", F.when(F.col("__said") == "block", 1).when(F.col("__said") == "allow", 0))
     by_suffix = cut_lineage(ready.where("__label is not null").groupBy("__suffix").agg(
-        F.sum("__label").alias("b"), F.count(F.lit(1)).alias("c")))
-    total, all_blocked = by_suffix.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first()
+        F.sum("__label").alias("__b"), F.count(F.lit(1)).alias("__c")))
+    total, all_blocked = by_suffix.agg(F.coalesce(F.sum("__c"), F.lit(0)), F.coalesce(F.sum("__b"), F.lit(0))).first()
     prior = (all_blocked + 0.5) / (total + 1)
     ready = ready.join(by_suffix.withColumnRenamed("__suffix", "__of"), F.col("__suffix") == F.col("__of"), "left").withColumn(
-        "f_suffix_rate", (F.coalesce("b", F.lit(0)) + 10 * F.lit(prior)) / (F.coalesce("c", F.lit(0)) + 10)).withColumn(
-        "f_suffix_count", F.log1p(F.coalesce("c", F.lit(0)).cast("double"))).drop("b", "c", "__of")
+        "f_suffix_rate", (F.coalesce("__b", F.lit(0)) + 10 * F.lit(prior)) / (F.coalesce("__c", F.lit(0)) + 10)).withColumn(
+        "f_suffix_count", F.log1p(F.coalesce("__c", F.lit(0)).cast("double"))).drop("__b", "__c", "__of")
     part = F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, max_training_urls / max(1, total)))
     score = train(ready.where(F.col("__label").isNotNull() & part).select(F.col("__label").alias("label"), *FEATURES))
     return ready.withColumn("score", F.expr(score)).withColumn(
