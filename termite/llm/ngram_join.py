@@ -25,7 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termite.llm import exchange as X
@@ -156,11 +156,12 @@ def _heavy_tasks(heavy: DataFrame, weight: F.Column, first_round: bool, task_wei
         return rows.withColumn("task", F.explode(tasks))
     # task: outside block (band b, s) against block (band c, j), c in b-1..b+1
     mine = F.pmod(h, F.col("s"))
-    pairs = []
-    for shift, k, s in ((-1, "k_before", "s_before"), (0, "k", "s"), (1, "k_after", "s_after")):
-        pairs.append(F.when(F.col("outside"), upto(F.col(k), lambda j, c=shift: task(band, mine, band + c, j)))
-                     .otherwise(F.array().cast("array<string>")))
-        pairs.append(upto(F.col(s), lambda i, b=shift: task(band + b, i, band, block)))
+    def both_sides(shift: int, k: str, s: str) -> list[Column]:
+        as_outside = upto(F.col(k), lambda j: task(band, mine, band + shift, j))
+        return [F.when(F.col("outside"), as_outside).otherwise(F.array().cast("array<string>")),
+                upto(F.col(s), lambda i: task(band + shift, i, band, block))]
+
+    pairs = (both_sides(-1, "k_before", "s_before") + both_sides(0, "k", "s") + both_sides(1, "k_after", "s_after"))
     return rows.withColumn("task", F.explode(F.array_distinct(F.concat(*pairs))))
 
 

@@ -49,8 +49,7 @@ def near_copies(rng, n_families, copies, length, change):
 
 
 # A task weight of 300 makes every family a heavy group of many blocks.
-@pytest.mark.parametrize("task_weight", [1 << 20, 3000, 300])
-@pytest.mark.parametrize("change", [0.01, 0.03, 0.06])
+@pytest.mark.parametrize("task_weight, change", [(1 << 20, 0.03), (3000, 0.06), (300, 0.01), (300, 0.03)])
 def test_families_of_near_copies(spark, task_weight, change):
     rng = random.Random(int(1000 * change))
     rows = near_copies(rng, 5, 14, 60, change) + [(1000 + i, prose(500 + i, 40, 3000), "en", "s", 1) for i in range(10)]
