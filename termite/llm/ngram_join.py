@@ -38,6 +38,7 @@ SHINGLE = 5
 PERCENT = 75
 TASK_WEIGHT = 1 << 20  # shingles that one task joins
 MEMBER_WEIGHT = 64     # what a member adds to that beside its shingles
+BROADCAST_ROWS = 1 << 20   # decisions of 24 bytes that are sent to all tasks; more are joined by a shuffle
 BAND = math.log(1.34)  # sets whose sizes differ by 4/3 lie at most one band apart
 
 
@@ -232,12 +233,14 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
     rows = found.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
     order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("text_hash").alias("c"))
     first = rows.groupBy("component").agg(F.min(order).alias("first"))
-    decided = _stored(rows.join(first, "component").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
-        (order == F.col("first")).alias("__keep"), (F.col("copies") > 1).alias("__again")), "kept-copies")
+    keep = order == F.col("first")
+    decided = _stored(rows.join(first, "component").where(~keep | (F.col("copies") > 1)).select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), keep.alias("__keep")), "copies")
+    side = F.broadcast(decided) if decided.count() <= BROADCAST_ROWS else decided
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    out = docs.join(decided, same, "left").where("coalesce(__keep, true)")
-    if decided.where("__keep and __again").limit(1).count():
-        again = F.coalesce(F.col("__again"), F.lit(False))
-        out = out.where(~again).unionByName(out.where(again).dropDuplicates(["doc_id", "text"]))
+    out = docs.join(side, same, "left")
+    once = out.where("__keep is null")
+    if decided.where("__keep").limit(1).count():
+        once = once.unionByName(out.where("__keep").dropDuplicates(["doc_id", "text"]))
+    out = once
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

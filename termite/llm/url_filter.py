@@ -69,9 +69,10 @@ def _tree(splits: dict[int, str], leaf, node: int = 0) -> str:
     return f"IF({splits[node]}, {_tree(splits, leaf, 2 * node + 2)}, {_tree(splits, leaf, 2 * node + 1)})"
 
 
-def _best_split(by: dict[int, list], cuts: dict[str, list]) -> str | None:
-    """The condition of the largest gain, from ``(bin, g, h)`` by feature."""
-    best, condition = 1e-9, None
+def _best_split(by: dict[int, list], cuts: dict[str, list]) -> tuple | None:
+    """Condition and the two sides' ``(g, h)`` of the largest gain, from ``(bin, g,
+    h)`` by feature."""
+    best, split = 1e-9, None
     for feature, bins in sorted(by.items()):
         g_all, h_all = (sum(x[i] for x in bins) for i in (1, 2))
         g = h = 0
@@ -79,8 +80,8 @@ def _best_split(by: dict[int, list], cuts: dict[str, list]) -> str | None:
             g, h = g + dg, h + dh
             gain = g * g / (h + SCALE) + (g_all - g) ** 2 / (h_all - h + SCALE) - g_all ** 2 / (h_all + SCALE)
             if gain > best:
-                best, condition = gain, f"{FEATURES[feature]} > {cuts[FEATURES[feature]][bin_]!r}D"
-    return condition
+                best, split = gain, (f"{FEATURES[feature]} > {cuts[FEATURES[feature]][bin_]!r}D", (g, h), (g_all - g, h_all - h))
+    return split
 
 
 def train(rows: DataFrame) -> str:
@@ -104,17 +105,19 @@ def train(rows: DataFrame) -> str:
         p = F.expr(f"1D / (1D + exp(-({margin})))")
         graded = binned.withColumn("g", F.round((F.col("label") - p) * SCALE).cast("long")).withColumn(
             "h", F.round(p * (1 - p) * SCALE).cast("long"))
-        for depth in range(DEPTH + 1):
+        value: dict[int, float] = {}
+        for _ in range(DEPTH):
             sums = graded.select(F.expr(_tree(splits, str)).alias("node"), "g", "h", F.explode("kinds").alias("k")).groupBy(
                 "node", "k.feature", "k.bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect()
             nodes: dict[int, dict] = {}
             for r in sums:
                 nodes.setdefault(r.node, {}).setdefault(r.feature, []).append((r.bin, r.g, r.h))
-            if depth == DEPTH:
-                value = {n: RATE * sum(x[1] for x in by[0]) / (sum(x[2] for x in by[0]) + SCALE) for n, by in nodes.items()}
-                margin += " + " + _tree(splits, lambda n: f"{value.get(n, 0.0):.12f}D")
-            else:
-                splits |= {n: c for n, by in nodes.items() if (c := _best_split(by, cuts))}
+            for node, by in nodes.items():
+                value[node] = RATE * sum(x[1] for x in by[0]) / (sum(x[2] for x in by[0]) + SCALE)
+                if split := _best_split(by, cuts):
+                    splits[node] = split[0]
+                    value[2 * node + 1], value[2 * node + 2] = (RATE * g / (h + SCALE) for g, h in split[1:])
+        margin += " + " + _tree(splits, lambda n: f"{value[n]:.12f}D")
     return margin
 
 
