@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from termite.session import scratch_path
 
 ARCHIVE_BYTES, ARCHIVE_RECORDS = 4 << 20, 512
+BROADCAST_ROWS = 1 << 19  # decisions of some 60 bytes that are sent to all tasks; more are joined by a shuffle
 ADDRESS = "0.0.0.0"
 DATE = "20000101000000"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -223,9 +224,11 @@ def convert(arcs: DataFrame, least_bytes: int = 0) -> DataFrame:
     records = _stored(index_arcs(arcs), "arc-index")
     groups = records.where(F.col("n") >= least_bytes).groupBy("digest").agg(
         F.count(F.lit(1)).alias("copies"), F.max(F.struct("page_id", "archive", "place")).alias("original"))
-    copies = records.join(groups.where("copies > 1"), "digest").where(
-        (F.col("archive") != F.col("original.archive")) | (F.col("place") != F.col("original.place")))
+    copies = _stored(records.join(groups.where("copies > 1"), "digest").where(
+        (F.col("archive") != F.col("original.archive")) | (F.col("place") != F.col("original.place"))).select(
+        "archive", "place", "original"), "revisits")
     decided = copies.groupBy("archive").agg(F.collect_list(F.struct("place", "original")).alias("revisits"))
+    decided = F.broadcast(decided) if copies.count() <= BROADCAST_ROWS else decided
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
