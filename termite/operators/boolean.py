@@ -1,15 +1,17 @@
 """Boolean retrieval.
 
-A Boolean query becomes rows of a *clause table* in disjunctive normal form,
-``(query_id, clause_id, term, positive)``: a document answers a query when, for
-some clause, it holds every positive term and none of the negative ones.  The
-evaluation is one join of the postings with the (broadcast, size-checked)
-clause table plus two aggregations, so thousands of queries run as one job.
+A Boolean query becomes rows of a small expression tree: leaves are operands,
+inner nodes ``AND`` (some children may be excluded, which is ``AND_NOT``) or
+``OR``, each with any number of children, so the rows grow with the length of the
+query only.  Evaluation joins the postings with the leaves, then folds one level
+of all queries' trees at a time by a join with the tree and one aggregation.
 
 Query language (as in the original search form): operands and the operators
-``AND``, ``OR``, ``AND_NOT`` (any case) and parentheses.  The three operators
-have equal precedence and associate to the left; an operator combines the two
-operands nearest to it, and operands left over without an operator are OR-ed.
+``AND``, ``OR``, ``AND_NOT`` (any case) and parentheses.  The three operators have
+equal precedence and associate to the left; operands left over without an
+operator are OR-ed.  Other punctuation is no syntax: operands are normalised like
+documents (ledger D16, D17).  Operands that the corpus lacks are replaced by the
+nearest corpus term if a vocabulary is given.
 """
 
 from __future__ import annotations
@@ -23,157 +25,171 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termite.functions.text import normalise
-from termite.plans.sizing import broadcast_if_small
 
 OPERATORS = ("AND", "OR", "AND_NOT")
-MAX_CLAUSES = 4096
-
-Clause = frozenset  # of (term, positive)
-
-
-def _lex(query: str) -> list[str]:
-    spaced = re.sub(r"([.()!])", r" \1 ", query)
-    return [t for t in spaced.split(" ") if t]
-
-
-def to_postfix(query: str) -> list[str]:
-    """Shunting-yard with one precedence level for all three operators."""
-    out: list[str] = []
-    ops: list[str] = []
-    for tok in _lex(query):
-        up = tok.upper()
-        if tok == "(":
-            ops.append(tok)
-        elif tok == ")":
-            while ops and ops[-1] != "(":
-                out.append(ops.pop())
-            if not ops:
-                raise ValueError(f"unbalanced ')' in {query!r}")
-            ops.pop()
-        elif up in OPERATORS:
-            while ops and ops[-1] != "(":
-                out.append(ops.pop())
-            ops.append(up)
-        else:
-            out.append(tok)
-    while ops:
-        op = ops.pop()
-        if op == "(":
-            raise ValueError(f"unbalanced '(' in {query!r}")
-        out.append(op)
-    return out
-
-
-def _and(a: list[Clause], b: list[Clause]) -> list[Clause]:
-    out = []
-    for x in a:
-        for y in b:
-            c = x | y
-            if not any((t, not p) in c for t, p in c):  # t AND NOT t is empty
-                out.append(c)
-    return _dedupe(out)
-
-
-def _not(a: list[Clause]) -> list[Clause]:
-    """NOT of a DNF: AND over clauses of (OR over negated literals)."""
-    result: list[Clause] = [frozenset()]
-    for clause in a:
-        result = _and(result, [frozenset({(t, not p)}) for t, p in clause])
-        if len(result) > MAX_CLAUSES:
-            raise OverflowError("query expands to too many clauses")
-    return result
-
-
-def _dedupe(cs: list[Clause]) -> list[Clause]:
-    seen, out = set(), []
-    for c in cs:
-        if c not in seen:
-            seen.add(c)
-            out.append(c)
-    if len(out) > MAX_CLAUSES:
-        raise OverflowError("query expands to too many clauses")
-    return out
-
-
-def to_dnf(query: str) -> list[Clause]:
-    """Infix query -> list of clauses; every clause keeps >= 1 positive term
-    (AND_NOT needs a left operand)."""
-    stack: list[list[Clause]] = []
-    for tok in to_postfix(query):
-        if tok in OPERATORS:
-            if len(stack) < 2:
-                raise ValueError(f"operator {tok} lacks an operand in {query!r}")
-            right, left = stack.pop(), stack.pop()
-            if tok == "AND":
-                stack.append(_and(left, right))
-            elif tok == "OR":
-                stack.append(_dedupe(left + right))
-            else:
-                stack.append(_and(left, _not(right)))
-        else:
-            stack.append([frozenset({(tok, True)})])
-    out: list[Clause] = []
-    for item in stack:
-        out = _dedupe(out + item)
-    return [c for c in out if any(p for _, p in c)]
-
 
-CLAUSE_SCHEMA = T.StructType([
-    T.StructField("query_id", T.LongType()),
-    T.StructField("clause_id", T.IntegerType()),
-    T.StructField("raw_term", T.StringType()),
-    T.StructField("positive", T.BooleanType()),
-])
 
-
-def _clauses_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+class Node:
+    """``kind`` TERM, AND or OR; ``parts``: children with their exclusion."""
+
+    def __init__(self, kind: str, term: str = ""):
+        self.kind, self.term, self.height = kind, term, 0
+        self.parts: list[tuple[Node, bool]] = []
+
+    def add(self, child: "Node", excluded: bool = False) -> "Node":
+        self.parts.append((child, excluded))
+        self.height = max(self.height, child.height + 1)
+        return self
+
+
+def _combine(operator: str, left: Node, right: Node) -> Node:
+    """Left-associative, so a node of the same kind on the left takes one more
+    child."""
+    kind = "OR" if operator == "OR" else "AND"
+    node = left if left.kind == kind else Node(kind).add(left)
+    return node.add(right, operator == "AND_NOT")
+
+
+def read_query(query: str) -> Node:
+    """The query's tree; ``ValueError`` for a malformed one."""
+    frames: list[tuple[list[Node], list[str]]] = [([], [])]  # operands and pending operator by open parenthesis
+
+    def settle(operands: list[Node], pending: list[str]) -> None:
+        if pending:
+            if len(operands) < 2:
+                raise ValueError(f"operator {pending[0]} lacks an operand")
+            right, left = operands.pop(), operands.pop()
+            operands.append(_combine(pending.pop(), left, right))
+
+    for token in re.findall(r"[()]|[^\s()]+", query):
+        operands, pending = frames[-1]
+        if token == "(":
+            frames.append(([], []))
+        elif token == ")":
+            if len(frames) == 1:
+                raise ValueError("unbalanced )")
+            settle(operands, pending)
+            frames.pop()
+            frames[-1][0].extend(operands)
+        elif token.upper() in OPERATORS:
+            settle(operands, pending)
+            pending.append(token.upper())
+        else:
+            operands.append(Node("TERM", token))
+    if len(frames) > 1:
+        raise ValueError("unbalanced (")
+    operands, pending = frames[0]
+    settle(operands, pending)
+    if not operands:
+        raise ValueError("no operand")
+    root = operands[0]
+    for other in operands[1:]:
+        root = _combine("OR", root, other)
+    return root
+
+
+NODES = T.StructType([
+    T.StructField("query_id", T.LongType()), T.StructField("node", T.IntegerType()), T.StructField("parent", T.IntegerType()),
+    T.StructField("excluded", T.BooleanType()), T.StructField("kind", T.StringType()), T.StructField("needed", T.IntegerType()),
+    T.StructField("height", T.IntegerType()), T.StructField("parent_height", T.IntegerType()),
+    T.StructField("parent_kind", T.StringType()), T.StructField("parent_needed", T.IntegerType()),
+    T.StructField("raw_term", T.StringType()), T.StructField("status", T.StringType())])
+
+
+def _needed(n: Node) -> int:
+    return sum(not excluded for _, excluded in n.parts)
+
+
+def tree_rows(query: str | None) -> list[tuple]:
+    """Rows of ``NODES`` without the query id; a query without a tree is one row
+    with its status."""
+    try:
+        root = read_query(query or "")
+    except ValueError as why:
+        return [(-1, -1, False, None, 0, -1, -1, None, 0, None, str(why))]
+    rows, todo, number = [], [(root, -1, None, False)], 0
+    while todo:
+        n, parent, above, excluded = todo.pop()
+        rows.append((number, parent, excluded, n.kind, _needed(n), n.height, above.height if above else -1,
+                     above.kind if above else None, _needed(above) if above else 0, n.term or None, "ok"))
+        todo += [(child, number, n, out) for child, out in reversed(n.parts)]
+        number += 1
+    return rows
+
+
+def _tree_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        rows = []
-        for qid, text in zip(pdf["query_id"], pdf["query"]):
-            if text is None:
-                continue
-            try:
-                clauses = sorted(to_dnf(text), key=lambda c: sorted(c))
-            except ValueError:
-                # a malformed query (unbalanced parenthesis, operator without
-                # operand) answers nothing; the rest of the batch still runs.
-                # OverflowError (too many clauses) is not caught: it fails loudly.
-                continue
-            for cid, clause in enumerate(clauses):
-                for term, pos in sorted(clause):
-                    rows.append((int(qid), cid, term, bool(pos)))
-        yield pd.DataFrame(rows, columns=["query_id", "clause_id", "raw_term", "positive"])
-
-
-def parse_queries(queries: DataFrame, stemmer: str | None = "s") -> DataFrame:
-    """``(query_id, query)`` -> clause table ``(query_id, clause_id, term, positive)``.
-
-    Parsing is a small per-row helper run batch-wise in ``mapInPandas``;
-    operands are then normalised with the same column expressions as the
-    documents (ledger D16).  An operand that normalises to several terms
-    requires all of them; one that normalises to none (a stop word) can match
-    no document."""
-    raw = queries.select("query_id", "query").mapInPandas(_clauses_batches, CLAUSE_SCHEMA)
-    toks = normalise(F.col("raw_term"), stemmer)
-    norm = raw.select(
-        "query_id", "clause_id", "positive",
-        F.when(F.size(toks) > 0, toks).otherwise(F.array(F.lower("raw_term"))).alias("terms"))
-    return norm.select("query_id", "clause_id", F.explode("terms").alias("term"),
-                       "positive").distinct()
-
-
-def evaluate_clauses(post: DataFrame, clauses: DataFrame) -> DataFrame:
-    """Clause table -> ``(query_id, doc_id)`` (distinct, unordered)."""
-    cl = clauses.select("query_id", "clause_id", "term", "positive").distinct()
-    need = cl.groupBy("query_id", "clause_id").agg(
-        F.count_if(F.col("positive")).alias("n_pos"))
-    hits = post.select("term", "doc_id").join(broadcast_if_small(cl), "term")
-    per_doc = hits.groupBy("query_id", "clause_id", "doc_id").agg(
-        F.count_if(F.col("positive")).alias("pos_hits"),
-        F.count_if(~F.col("positive")).alias("neg_hits"))
-    ok = per_doc.join(need, ["query_id", "clause_id"]).where(
-        (F.col("pos_hits") == F.col("n_pos")) & (F.col("neg_hits") == 0))
-    return ok.select("query_id", "doc_id").distinct()
+        rows = [(int(qid), *row) for qid, text in zip(pdf["query_id"], pdf["query"]) for row in tree_rows(text)]
+        yield pd.DataFrame(rows, columns=NODES.names)
+
+
+def parse_queries(queries: DataFrame) -> DataFrame:
+    """``(query_id, query)`` -> rows of ``NODES``.  Every query has one at least: a
+    malformed one has no node and a ``status`` other than ``ok``."""
+    return queries.select("query_id", "query").mapInPandas(_tree_batches, NODES)
+
+
+def rejected_queries(nodes: DataFrame) -> DataFrame:
+    """``(query_id, status)`` of the malformed queries."""
+    return nodes.where("status <> 'ok'").select("query_id", "status")
+
+
+def operand_terms(nodes: DataFrame, stemmer: str | None = "s", vocab: DataFrame | None = None) -> DataFrame:
+    """``(query_id, node, pos, term, corrected)`` of the leaves.  An operand that
+    normalises to several terms needs all of them; one that normalises to none (a
+    stop word) keeps its lower-case form."""
+    from termite.operators.spelling import correct_query_terms
+
+    terms = normalise(F.col("raw_term"), stemmer)
+    leaves = nodes.where("kind = 'TERM'").select("query_id", "node", F.posexplode(
+        F.when(F.size(terms) > 0, terms).otherwise(F.array(F.lower("raw_term")))).alias("pos", "term"))
+    if vocab is None:
+        return leaves.withColumn("corrected", F.col("term"))
+    distinct = leaves.select(F.lit(0).alias("query_id"), F.lit(0).alias("pos"), "term").distinct()
+    fixes = correct_query_terms(distinct, vocab).select("term", "corrected")
+    return leaves.join(fixes, "term", "left").select(
+        "query_id", "node", "pos", "term", F.coalesce("corrected", "term").alias("corrected"))
+
+
+def suggestions(terms: DataFrame) -> DataFrame:
+    """C5 for Boolean queries: the operands in query order, corrected; only for
+    queries with a correction."""
+    per_query = terms.groupBy("query_id").agg(
+        F.array_sort(F.collect_list(F.struct("node", "pos", "corrected"))).alias("t"),
+        F.max(F.col("term") != F.col("corrected")).alias("changed"))
+    return per_query.where("changed").select(
+        "query_id", F.array_join(F.transform("t", lambda x: x["corrected"]), " ").alias("suggestion"))
+
+
+def evaluate(post: DataFrame, nodes: DataFrame, terms: DataFrame) -> DataFrame:
+    """``(query_id, doc_id)`` (distinct, unordered) of parsed queries and their
+    operand terms.  Levels are folded from the leaves up; only the largest height
+    comes to the driver."""
+    tree = nodes.where("status = 'ok'")
+    top = tree.agg(F.max("height")).first()[0] or 0
+    up = tree.select("query_id", "node", "parent", "excluded", "parent_height", "parent_kind", "parent_needed")
+    wanted = terms.select("query_id", "node", F.col("corrected").alias("term")).distinct()
+    n_terms = wanted.groupBy("query_id", "node").agg(F.count(F.lit(1)).alias("n"))
+    hits = post.select("term", "doc_id").join(wanted, "term").groupBy("query_id", "node", "doc_id").agg(
+        F.count(F.lit(1)).alias("found"))
+    done = hits.join(n_terms, ["query_id", "node"]).where("found = n").select("query_id", "node", "doc_id")
+    rows = done.join(up, ["query_id", "node"])
+    for height in range(1, top + 1):
+        folded = rows.where(F.col("parent_height") == height).groupBy(
+            "query_id", "parent", "doc_id", "parent_kind", "parent_needed").agg(
+            F.count_if(~F.col("excluded")).alias("held"), F.max("excluded").alias("out"))
+        kept = folded.where(F.when(F.col("parent_kind") == "OR", F.col("held") > 0).otherwise(
+            (F.col("held") == F.col("parent_needed")) & ~F.col("out"))).select(
+            "query_id", F.col("parent").alias("node"), "doc_id")
+        rows = rows.where((F.col("parent_height") > height) | (F.col("parent") < 0)).unionByName(
+            kept.join(up, ["query_id", "node"]))
+    return rows.where("parent < 0").select("query_id", "doc_id")
+
+
+def retrieve(post: DataFrame, queries: DataFrame, stemmer: str | None = "s", vocab: DataFrame | None = None) -> DataFrame:
+    """B6 for ``(query_id, query)``."""
+    nodes = parse_queries(queries)
+    return evaluate(post, nodes, operand_terms(nodes, stemmer, vocab))
 
 
 # --- set operators on (query_id, doc_id) results --------------------------------

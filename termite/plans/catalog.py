@@ -274,48 +274,47 @@ from termite.operators import boolean as bl  # noqa: E402
 SENTENCE_SPLIT = "[.!?\\n]+"
 
 
+def without_middle(t: F.Column) -> F.Column:
+    """A typing error: the term without its middle character."""
+    half = F.floor(F.length(t) / 2).cast("int")
+    return F.concat(t.substr(F.lit(1), half), t.substr(half + 2, F.length(t)))
+
+
 def benchmark_boolean_queries(spark, sf_dir) -> DataFrame:
-    """One Boolean query per benchmark item, written in the query language:
-    every sentence becomes ``(t1 AND t2 ...)`` over its terms and the sentences
-    are OR-ed - documents that contain some sentence of the item."""
+    """One Boolean query per benchmark item, written in the query language: every
+    sentence becomes ``(t1 AND t2 ...)`` over its terms, the first misspelt, and the
+    sentences are OR-ed - documents that contain some sentence of the item."""
     b = read_table(spark, sf_dir, "benchmark", "item_id", "text")
     sents = F.transform(F.split(F.col("text"), SENTENCE_SPLIT), lambda s: tx.normalise(s))
     sents = F.filter(sents, lambda a: F.size(a) > 0)
+    sents = F.transform(sents, lambda a: F.transform(a, lambda t, i: F.when(i == 0, without_middle(t)).otherwise(t)))
     clauses = F.transform(sents, lambda a: F.concat(F.lit("("), F.array_join(a, " AND "), F.lit(")")))
     return b.select(F.col("item_id").alias("query_id"), F.array_join(clauses, " OR ").alias("query"))
 
 
-def _item_term_clauses(spark, sf_dir, one_clause: bool) -> DataFrame:
-    """Clause rows for every benchmark item: all its terms in one clause (AND),
-    or one clause per term (OR; the term itself identifies the clause)."""
-    qt = rk.query_tokens(query_table(spark, sf_dir, "benchmark")).select("query_id", "term").distinct()
-    from pyspark.sql import Window
-
-    # one query's distinct terms: a window bounded by the length of that query
-    cid = F.lit(0) if one_clause else F.dense_rank().over(Window.partitionBy("query_id").orderBy("term"))
-    return qt.select("query_id", cid.cast("int").alias("clause_id"), "term", F.lit(True).alias("positive"))
+def item_query(spark, sf_dir, operator: str) -> DataFrame:
+    """One query per benchmark item over all its terms."""
+    qt = rk.query_tokens(query_table(spark, sf_dir, "benchmark"))
+    return qt.groupBy("query_id").agg(F.array_join(F.array_sort(F.collect_set("term")), f" {operator} ").alias("query"))
 
 
 @register("boolean_retrieval")
 def q_boolean_retrieval(spark, sf_dir):
-    """Parsed Boolean queries -> clause table -> matching documents."""
+    """Parsed Boolean queries with misspelt operands -> matching documents."""
     idx = corpus_index(spark, sf_dir)
-    clauses = bl.parse_queries(benchmark_boolean_queries(spark, sf_dir))
-    return bl.evaluate_clauses(idx.postings, clauses)
+    return bl.retrieve(idx.postings, benchmark_boolean_queries(spark, sf_dir), vocab=idx.vocab)
 
 
 @register("bool_and")
 def q_bool_and(spark, sf_dir):
     """B1: documents holding every term of a benchmark item."""
-    idx = corpus_index(spark, sf_dir)
-    return bl.evaluate_clauses(idx.postings, _item_term_clauses(spark, sf_dir, True))
+    return bl.retrieve(corpus_index(spark, sf_dir).postings, item_query(spark, sf_dir, "AND"))
 
 
 @register("bool_or")
 def q_bool_or(spark, sf_dir):
     """B2: documents holding any term of a benchmark item."""
-    idx = corpus_index(spark, sf_dir)
-    return bl.evaluate_clauses(idx.postings, _item_term_clauses(spark, sf_dir, False))
+    return bl.retrieve(corpus_index(spark, sf_dir).postings, item_query(spark, sf_dir, "OR"))
 
 
 @register("bool_and_not")

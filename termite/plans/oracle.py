@@ -262,11 +262,15 @@ def _binarise():
         "SELECT doc_id, term, CAST(cnt > 0 AS INTEGER) AS present FROM features")
 
 
+# Sentences of the items, the first term of each without its middle character;
+# terms that the corpus lacks are replaced by the nearest corpus term.
+_HALF = "CAST(floor(length(x) / 2) AS INTEGER)"
 SENT_CLAUSES = (
     "sent AS (SELECT item_id AS query_id, unnest(ss) AS s, generate_subscripts(ss, 1) AS clause_id "
     "FROM (SELECT item_id, regexp_split_to_array(text, '[.!?\\n]+') AS ss FROM benchmark)), "
-    "clauses AS (SELECT DISTINCT query_id, clause_id, unnest(" + S.normalise("s") + ") AS term "
-    "FROM sent)")
+    "typed AS (SELECT query_id, clause_id, unnest(list_transform(" + S.normalise("s") + ", lambda x, i: "
+    f"CASE WHEN i = 1 THEN substr(x, 1, {_HALF}) || substr(x, {_HALF} + 2) ELSE x END)) AS t FROM sent), "
+    "bterm AS (SELECT query_id, clause_id, coalesce(" + S.normalise("t") + "[1], lower(t)) AS term FROM typed)")
 EVAL = (
     "need AS (SELECT query_id, clause_id, count(*) AS n FROM clauses GROUP BY 1, 2), "
     "hit AS (SELECT c.query_id, c.clause_id, p.doc_id, count(*) AS n FROM postings p "
@@ -278,7 +282,9 @@ ITEM_TERMS = "iterms AS (SELECT DISTINCT doc_id AS query_id, term FROM qtok)"
 
 @oracle("boolean_retrieval")
 def _boolean_retrieval():
-    return _with(IDX, SENT_CLAUSES, EVAL) + "SELECT query_id, doc_id FROM res"
+    clauses = ("clauses AS (SELECT DISTINCT b.query_id, b.clause_id, coalesce(f.nearest, b.term) AS term "
+               "FROM bterm b LEFT JOIN fix f ON b.term = f.term)")
+    return _with(IDX, SENT_CLAUSES, _fixes("bterm"), clauses, EVAL) + "SELECT query_id, doc_id FROM res"
 
 
 @oracle("bool_and")
@@ -587,12 +593,14 @@ def _strip_markup(e: str) -> str:
     return f"regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g')"
 
 
-def _element(e: str, tag: str) -> str:
-    return f"regexp_extract({e}, '(?is)<{tag}\\b[^>]*>(.*?)</{tag}>', 1)"
+def _elements(e: str, tag: str) -> str:
+    """The text after each opening tag, up to a closing tag if one comes first."""
+    return (f"list_transform(list_slice(regexp_split_to_array({e}, '(?i)<{tag}\\b[^>]*>'), 2, 1000000), "
+            f"lambda y: regexp_replace(y, '(?is)</{tag}\\s*>.*', ''))")
 
 
-def _elements(e: str, tag: str) -> str:
-    return f"regexp_extract_all({e}, '(?is)<{tag}\\b[^>]*>(.*?)</{tag}>', 1)"
+def _element(e: str, tag: str) -> str:
+    return f"coalesce({_elements(e, tag)}[1], '')"
 
 
 BLOCKS = (
@@ -600,7 +608,7 @@ BLOCKS = (
     "regexp_extract(url, '/(\\d+)(?:[/?#]|$)', 1) AS code, "
     "trim(" + S.collapse_ws("regexp_replace(lower(" + _tag_text(_element("c", "title")) + "), '\\([^)]*\\)', '', 'g')") + ") AS name, "
     "CASE WHEN length(d) > 0 THEN d END AS description FROM (SELECT page_id, url, html, c, "
-    + _tag_text("regexp_extract(c, '(?is)<article\\b[^>]*>.*?</h1>(.*?)</article>', 1)") + " AS d "
+    + _tag_text("regexp_extract(" + _element("c", "article") + ", '(?is)</h1>(.*)$', 1)") + " AS d "
     "FROM (SELECT page_id, url, html, " + _strip_markup("html") + " AS c FROM pages))), "
     "hdr AS (SELECT * FROM blocks WHERE lang = 'en' AND length(code) > 0), "
     "courses AS (SELECT doc_id, page_id, code, name, description FROM (SELECT *, "
@@ -643,8 +651,8 @@ def _records(src: str, file_expr: str) -> str:
         f"recs AS (SELECT {file_expr} AS file, unnest(rs) AS rec, generate_subscripts(rs, 1) - 1 AS rec_pos "
         f"FROM (SELECT *, {_elements(_strip_markup('html'), 'html')} AS rs FROM {src})), "
         f"recout AS (SELECT file, rec_pos, CASE WHEN len({items}) > 0 THEN array_to_string({items}, ' ') END "
-        f"AS topic, CASE WHEN regexp_matches(rec, '(?is)<title\\b[^>]*>.*?</title>') THEN {title} END AS name, "
-        f"CASE WHEN regexp_matches(rec, '(?is)<article\\b[^>]*>.*?</article>') THEN {body} END AS description "
+        f"AS topic, CASE WHEN regexp_matches(rec, '(?i)<title\\b[^>]*>') THEN {title} END AS name, "
+        f"CASE WHEN regexp_matches(rec, '(?i)<article\\b[^>]*>') THEN {body} END AS description "
         "FROM recs)")
 
 

@@ -99,7 +99,7 @@ def benchmark_queries_cte(name: str = "queries") -> str:
 
 
 def conversation_queries_cte(name: str = "queries") -> str:
-    return (f"{name} AS (SELECT conv_id * 1000 + turn AS query_id, text FROM conversations "
+    return (f"{name} AS (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS query_id, text FROM conversations "
             f"WHERE role = 'user')")
 
 

@@ -38,18 +38,22 @@ def tag_text(col: Column) -> Column:
     return tx.collapse_whitespace(decode_entities(F.regexp_replace(col, "<[^>]*>", " ")))
 
 
-def element(col: Column, tag: str) -> Column:
-    """Inner markup of the first ``<tag>`` element ('' when absent)."""
-    return F.regexp_extract(col, f"(?is)<{tag}\\b[^>]*>(.*?)</{tag}>", 1)
+def elements(col: Column, tag: str) -> Column:
+    """Inner markup of every ``<tag>`` element, in document order.  An element
+    ends at its closing tag, at the next opening tag or at the end of the text,
+    so one that is never closed is neither lost nor merged with the next."""
+    parts = F.split(col, f"(?i)<{tag}\\b[^>]*>")
+    return F.transform(F.slice(parts, 2, F.size(parts)),
+                       lambda x: F.regexp_replace(x, f"(?is)</{tag}\\s*>.*", ""))
 
 
-def elements(col: Column, tag: str) -> Column:
-    """Inner markup of every ``<tag>`` element, in document order."""
-    return F.regexp_extract_all(col, F.lit(f"(?is)<{tag}\\b[^>]*>(.*?)</{tag}>"), 1)
+def element(col: Column, tag: str) -> Column:
+    """Inner markup of the first ``<tag>`` element ('' when absent)."""
+    return F.coalesce(F.try_element_at(elements(col, tag), F.lit(1)), F.lit(""))
 
 
 def has_element(col: Column, tag: str) -> Column:
-    return col.rlike(f"(?is)<{tag}\\b[^>]*>.*?</{tag}>")
+    return col.rlike(f"(?i)<{tag}\\b[^>]*>")
 
 
 def _nullify(col: Column) -> Column:
@@ -66,7 +70,7 @@ def catalog_blocks(pages: DataFrame) -> DataFrame:
     path segment of the URL."""
     clean = strip_markup(F.col("html"))
     name = F.trim(tx.collapse_whitespace(tx.strip_parenthesised(F.lower(tag_text(element(clean, "title"))))))
-    desc = tag_text(F.regexp_extract(clean, "(?is)<article\\b[^>]*>.*?</h1>(.*?)</article>", 1))
+    desc = tag_text(F.regexp_extract(element(clean, "article"), "(?is)</h1>(.*)$", 1))
     return pages.select(
         "page_id",
         F.regexp_extract("html", "<html[^>]*\\blang=\"([^\"]*)\"", 1).alias("lang"),

@@ -65,7 +65,7 @@ def query_table(spark: SparkSession, sf_dir: str, source: str = "benchmark") ->
 
     ``benchmark``: one query per item (``query_id`` = ``item_id``).
     ``conversations``: one query per user turn
-    (``query_id`` = ``conv_id * 1000 + turn``).
+    (``query_id`` = ``conv_id:turn`` as a string, unique for any number of turns).
     """
     if source == "benchmark":
         return read_table(spark, sf_dir, "benchmark", "item_id", "text").select(
@@ -73,5 +73,5 @@ def query_table(spark: SparkSession, sf_dir: str, source: str = "benchmark") ->
     if source == "conversations":
         conv = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
         return conv.where(F.col("role") == "user").select(
-            (F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")
+            F.concat_ws(":", "conv_id", "turn").alias("query_id"), "text")
     raise ValueError(f"unknown query source {source!r}")

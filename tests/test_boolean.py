@@ -1,86 +1,94 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from termite.operators import boolean as bl
 
 
-def test_postfix_sample():
-    q = "algorithm AND (data OR structure) OR (comp AND prog)"
-    assert " ".join(bl.to_postfix(q)) == "algorithm data structure OR AND comp prog AND OR"
+def _show(n):
+    if n.kind == "TERM":
+        return n.term
+    return (n.kind, *[("not", _show(c)) if out else _show(c) for c, out in n.parts])
 
 
-def test_lower_case_operators():
-    # ledger D2: operators are case-insensitive
-    assert bl.to_postfix("a and b") == ["a", "b", "AND"]
+def test_trees():
+    assert _show(bl.read_query("algorithm AND (data OR structure) OR (comp AND prog)")) == (
+        "OR", ("AND", "algorithm", ("OR", "data", "structure")), ("AND", "comp", "prog"))
+    # ledger D2: operators are case-insensitive; punctuation is no syntax
+    assert _show(bl.read_query("a and b.c!")) == ("AND", "a", "b.c!")
+    assert _show(bl.read_query("a AND b AND_NOT c AND d")) == ("AND", "a", "b", ("not", "c"), "d")
+    assert _show(bl.read_query("a b AND c")) == ("OR", "a", ("AND", "b", "c"))
 
 
-def _eval_sets(query, docs):
-    """Reference semantics: postfix evaluated on Python sets."""
-    stack = []
-    universe = set(docs)
-    for tok in bl.to_postfix(query):
-        if tok in bl.OPERATORS:
-            r, l = stack.pop(), stack.pop()
-            stack.append(l & r if tok == "AND" else l | r if tok == "OR" else l - r)
-        else:
-            stack.append({d for d, terms in docs.items() if tok in terms})
-    out = set()
-    for s in stack:
-        out |= s
-    return out & universe
-
-
-def _eval_dnf(query, docs):
-    out = set()
-    for clause in bl.to_dnf(query):
-        for d, terms in docs.items():
-            if all((t in terms) == p for t, p in clause):
-                out.add(d)
-    return out
+def _eval_tree(n, docs):
+    """Which documents a tree answers, on Python sets."""
+    if n.kind == "TERM":
+        return {d for d, terms in docs.items() if n.term in terms}
+    held = [_eval_tree(c, docs) for c, out in n.parts if not out]
+    if n.kind == "OR":
+        return set().union(*held)
+    return set.intersection(*held) - set().union(*[_eval_tree(c, docs) for c, out in n.parts if out])
 
 
 def _random_query(rng, vocab, depth=0):
     if depth > 2 or rng.random() < 0.35:
-        return rng.choice(vocab)
+        t = rng.choice(vocab)
+        return t, lambda terms: t in terms
     op = rng.choice(["AND", "OR", "AND_NOT"])
     left = _random_query(rng, vocab, depth + 1)
     right = _random_query(rng, vocab, depth + 1)
-    return f"( {left} {op} {right} )"
+    (lq, lf), (rq, rf) = left, right
+    holds = {"AND": lambda d: lf(d) and rf(d), "OR": lambda d: lf(d) or rf(d), "AND_NOT": lambda d: lf(d) and not rf(d)}
+    return f"( {lq} {op} {rq} )", holds[op]
 
 
-def test_dnf_matches_set_algebra_randomised():
+def test_trees_match_set_algebra_randomised():
     rng = random.Random(7)
     vocab = ["a", "b", "c", "d", "e"]
     for _ in range(300):
         docs = {i: {t for t in vocab if rng.random() < 0.45} for i in range(12)}
-        q = _random_query(rng, vocab)
-        if rng.random() < 0.3:
-            q = q + " " + rng.choice(vocab)  # a leftover operand is OR-ed
-        assert _eval_dnf(q, docs) == _eval_sets(q, docs), q
+        q, holds = _random_query(rng, vocab)
+        extra = rng.choice(vocab) if rng.random() < 0.3 else None
+        want = {d for d, terms in docs.items() if holds(terms) or extra in terms}
+        assert _eval_tree(bl.read_query(f"{q} {extra}" if extra else q), docs) == want, q
 
 
 def test_equal_precedence_left_associative():
     docs = {1: {"a"}, 2: {"b", "c"}, 3: {"c"}}
     # (a OR b) AND c  -> {2}, not a OR (b AND c)
-    assert _eval_dnf("a OR b AND c", docs) == {2}
+    assert _eval_tree(bl.read_query("a OR b AND c"), docs) == {2}
 
 
-def test_clause_table_on_spark_and_ledger_cases(spark):
+def test_queries_on_spark_and_ledger_cases(spark):
     post = spark.createDataFrame(
-        [("a", 1), ("b", 1), ("a", 2), ("c", 2), ("a", 3)], "term string, doc_id long")
+        [("a1", 1), ("b1", 1), ("a1", 2), ("c1", 2), ("a1", 3), ("datastructure", 3)], "term string, doc_id long")
+    groups = " AND ".join(["(a1 OR c1)"] * 20)
     queries = spark.createDataFrame(
-        [(1, "a AND_NOT b"),          # D1: last doc holding only a is kept
-         (2, "a and c"),             # D2: lower-case operator
-         (3, "zzz OR c"),            # D3: unknown term -> empty list
-         (4, "zzz AND a"),
-         (5, "( a AND"),              # malformed: no rows, batch continues
-         (6, "AND")],
+        [(1, "a1 AND_NOT b1"),         # D1: last doc holding only a1 is kept
+         (2, "a1 and c1"),             # D2: lower-case operator
+         (3, "zzz OR c1"),             # D3: unknown term -> empty list
+         (4, "zzz AND a1"),
+         (5, "( a1 AND"),              # malformed: a status, the batch continues
+         (6, "AND"),
+         (7, groups),                  # twenty groups are twenty nodes
+         (8, "data.structure! AND a1"),  # D17: punctuation is removed
+         (9, None),
+         (10, "((a1 AND (b1 OR c1)) AND_NOT b1) OR datastructure")],
         "query_id long, query string")
-    clauses = bl.parse_queries(queries, stemmer=None)
-    got = {(r.query_id, r.doc_id) for r in bl.evaluate_clauses(post, clauses).collect()}
-    assert got == {(1, 2), (1, 3), (2, 2), (3, 2)}
+    nodes = bl.parse_queries(queries)
+    got = {(r.query_id, r.doc_id) for r in bl.evaluate(post, nodes, bl.operand_terms(nodes, None)).collect()}
+    assert got == {(1, 2), (1, 3), (2, 2), (3, 2), (7, 1), (7, 2), (7, 3), (8, 3), (10, 2), (10, 3)}
+    assert {r.query_id: r.status for r in bl.rejected_queries(nodes).collect()} == {
+        5: "unbalanced (", 6: "operator AND lacks an operand", 9: "no operand"}
+
+
+def test_misspelt_operands_are_corrected(spark):
+    post = spark.createDataFrame([("data", 1), ("structure", 1), ("data", 2)], "term string, doc_id long")
+    vocab = spark.createDataFrame([("data", 1, 0), ("structure", 1, 1)], "term string, first_doc long, first_pos long")
+    queries = spark.createDataFrame([(1, "dta AND strcture"), (2, "data")], "query_id long, query string")
+    assert {tuple(r) for r in bl.retrieve(post, queries, None, vocab).collect()} == {(1, 1), (2, 1), (2, 2)}
+    terms = bl.operand_terms(bl.parse_queries(queries), None, vocab)
+    assert [tuple(r) for r in bl.suggestions(terms).collect()] == [(1, "data structure")]
 
 
 def test_set_operators(spark):
@@ -94,4 +102,4 @@ def test_set_operators(spark):
 
 def test_unbalanced_parenthesis_is_an_error():
     with pytest.raises(ValueError):
-        bl.to_postfix("( a AND b")
+        bl.read_query("( a AND b")

@@ -1,5 +1,3 @@
-import os
-
 from pyspark.sql import functions as F
 
 from termite.functions import text as tx
@@ -79,3 +77,21 @@ def test_parquet_and_json_round_trips(spark):
     df = spark.createDataFrame([(1, "x", 0.5)], "a long, b string, c double")
     assert sk.parquet_round_trip(spark, df, "p").collect() == df.collect()
     assert sk.json_round_trip(spark, df, "j").collect() == df.collect()
+
+
+def test_unclosed_elements_are_neither_lost_nor_merged(spark):
+    page = ("<html><title>One<article><p>first<p>second</p>rest<P class=x>third</article>"
+            "<html><title>Two</title><article>last, never closed")
+    files = spark.createDataFrame([("f", page)], "path string, value string")
+    recs = [tuple(r) for r in cp.extract_records(files, **cp.PAGE_RECORDS).orderBy("rec_pos").collect()]
+    assert [(r[1], r[4]) for r in recs] == [(0, "first second rest third"), (1, "last never closed")]
+    paras = files.select(cp.elements(F.col("value"), "p").alias("p")).first().p
+    assert [x.split("<")[0] for x in paras] == ["first", "second", "third"]
+
+
+def test_text_files_by_glob(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"part-{i}.sgm").write_text(f"<reuters><title>t{i}</title>\n<body>body {i}</body>")
+    (tmp_path / "other.txt").write_text("<reuters><title>no</title></reuters>")
+    got = cp.extract_records(cp.read_text_files(spark, f"{tmp_path}/part-*.sgm"))
+    assert got.count() == 3 and {r.description for r in got.collect()} == {"body "}
