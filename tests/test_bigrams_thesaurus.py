@@ -61,13 +61,3 @@ def test_best_related_excludes_self_on_ties(spark):
         "term string, related string, sim double")
     got = {r.term: r.related for r in th.top_related(thes, 1).collect()}
     assert got == {"a": "b", "b": "a"}
-
-
-def test_max_terms_keeps_the_most_frequent(spark):
-    toks = [(d, p, t) for d, ts in enumerate([["a", "b", "c"], ["a", "b"], ["a", "c"], ["a"]])
-            for p, t in enumerate(ts)]
-    tokens = spark.createDataFrame(toks, "doc_id long, pos long, term string")
-    ids = {r.term for r in th.top_term_ids(tokens, 0, max_terms=2).collect()}
-    assert ids == {"a", "b"}  # a: 4, then b and c tie at 2 -> by term
-    got = {(r.term, r.related) for r in th.cooccurrence_similarity(tokens, min_cf=0, max_terms=2).collect()}
-    assert got == {("a", "b"), ("b", "a")}
