@@ -27,17 +27,14 @@ def query_term_counts(qtokens: DataFrame) -> DataFrame:
     return qtokens.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
-def vsm_scores(post: DataFrame, vocab_idf: DataFrame, qterms: DataFrame,
-               include_zero: bool = False) -> DataFrame:
+def vsm_scores(post: DataFrame, vocab_idf: DataFrame, qterms: DataFrame) -> DataFrame:
     """``(query_id, doc_id, score BIGINT in 10**-6 units)`` for documents sharing a term with
     the query.
 
     The weighted query terms (query batch x idf) are the small side: they are
     broadcast behind a row-count check, so the postings are not shuffled for
     the join; the sum is partially aggregated before the shuffle on
-    ``(query_id, doc_id)``.  Documents with score 0 are absent (ledger D15);
-    ``include_zero`` is kept for API parity but zero scores can only come from
-    documents sharing no term, which a ranked list does not show."""
+    ``(query_id, doc_id)``.  Documents with score 0 are absent (ledger D15)."""
     weighted = qterms.join(vocab_idf.select("term", "idf_units"), "term").select(
         "query_id", "term", (F.col("qtf") * F.col("idf_units")).alias("w"))
     weighted = broadcast_if_small(weighted.persist())
@@ -45,9 +42,7 @@ def vsm_scores(post: DataFrame, vocab_idf: DataFrame, qterms: DataFrame,
     # exact 64-bit sum in units of 10**-6 (idf <= ~20, so far from overflow)
     scores = joined.groupBy("query_id", "doc_id").agg(
         F.sum(F.col("tf") * F.col("w")).alias("score"))
-    if not include_zero:
-        scores = scores.where(F.col("score") > 0)
-    return scores
+    return scores.where(F.col("score") > 0)
 
 
 def rank_documents(scores: DataFrame, k: int | None = K.RESULTS_PER_QUERY) -> DataFrame:

@@ -3,7 +3,8 @@
 The original answered one query per web request.  Here queries arrive as JSON
 files ``{"query_id": ..., "text": ...}`` in a directory; every micro-batch is
 scored against the static, persisted index tables (a stream-static join inside
-``foreachBatch``) and its top-k results are appended to a Parquet table.  The
+``foreachBatch``) and its top-k results are written to the batch's own partition of a
+Parquet table, so a replayed batch adds nothing twice.  The
 stream's checkpoint lives below ``spark.checkpoint.dir``, so a restarted query
 resumes where it stopped.
 """
@@ -35,7 +36,8 @@ def start_search_stream(spark: SparkSession, index: Index, query_dir: str, resul
     def score_batch(batch: DataFrame, batch_id: int) -> None:
         qt = rk.query_term_counts(rk.query_tokens(batch, stemmer))
         top = rk.rank_documents(rk.vsm_scores(post, vocab, qt), k)
-        top.write.mode("append").parquet(result_path)
+        # a batch that is replayed after a failure replaces its own files
+        top.write.mode("overwrite").parquet(f"{result_path}/batch_id={batch_id}")
 
     stream = spark.readStream.schema(QUERY_SCHEMA).json(query_dir)
     writer = stream.writeStream.foreachBatch(score_batch).option(
