@@ -7,8 +7,8 @@ by longest common subsequence and the shared ones are deleted.
 Sharing alone neither spares an article that is on two pages nor finds a menu
 that the neighbour lacks, so the page's own elements go first: lines in menus,
 headers, footers, sidebars, notices, adverts, forms and comments are deleted, the
-lines of a declared article are kept, and the alignment decides on all others
-(and on all lines of pages that declare nothing).
+lines of a declared article are kept, and the alignment decides on all others,
+whether the page declares an article or not.
 
 Sorting is by ranges, found on the URLs alone: a host with a third of all pages
 spreads over many ranges.  The pages at a range's borders are sent to the next
@@ -56,8 +56,7 @@ def main_lines(own: list[Line], others: list[list[Line]]) -> list[str]:
     here = [x.text for x in own]
     other = next((y for y in ([x.text for x in o] for o in others) if y != here), None)
     same = shared(here, other) if other is not None else [False] * len(own)
-    declared = any(x.main and not x.aside for x in own)
-    return [x.text for x, s in zip(own, same) if not x.aside and (x.main if declared else not s)]
+    return [x.text for x, s in zip(own, same) if not x.aside and (x.main or not s)]
 
 
 def extract(pages: DataFrame, pages_a_range: int = PAGES_A_RANGE) -> DataFrame:

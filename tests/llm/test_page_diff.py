@@ -89,3 +89,11 @@ def test_copies_repeated_rows_and_odd_tables(spark):
     long = "<article>" + "".join(f"<p>{i} word</p>" for i in range(20_000)) + "</article>"
     df = spark.createDataFrame([(1, "http://h/a", long), (2, "http://h/b", long[:-20])], "page_id long, url string, html string")
     assert extract(df).where("n_chars > 200000").count() == 2
+
+
+def test_alignment_decides_outside_a_declared_article(spark):
+    """A page whose body is in blocks beside a small article keeps it; what is shared goes, in the article nothing does."""
+    page = "<div>Welcome</div><div>Body {i}</div><article><p>Teaser</p><p>Card {i}</p></article><div>More {i}</div><div>Contact</div>"
+    rows = [(i, f"http://h/d/{i}", page.format(i=i)) for i in range(4)]
+    got = {r[0]: r[2] for r in tuples(extract(spark.createDataFrame(rows, "page_id long, url string, html string")))}
+    assert got == {i: f"Body {i}\nTeaser\nCard {i}\nMore {i}" for i in range(4)}
