@@ -1,5 +1,6 @@
 """Page lines, alignment, pairing, and the main text of small pages."""
 
+import os
 import random
 
 import pytest
@@ -97,3 +98,47 @@ def test_alignment_decides_outside_a_declared_article(spark):
     rows = [(i, f"http://h/d/{i}", page.format(i=i)) for i in range(4)]
     got = {r[0]: r[2] for r in tuples(extract(spark.createDataFrame(rows, "page_id long, url string, html string")))}
     assert got == {i: f"Body {i}\nTeaser\nCard {i}\nMore {i}" for i in range(4)}
+
+
+@pytest.mark.parametrize("pages_a_range", [2000, 1, 3, 7])
+def test_copies_are_compared_with_the_nearest_page_that_differs(spark, pages_a_range):
+    """Groups of one to nine copies at adjacent URLs, over the ranges' borders; the last host has one group only."""
+    sizes = [1, 3, 9, 2, 1, 1, 5, 4]
+    group = [g for g, n in enumerate(sizes) for _ in range(n)]
+    rows = [(i, f"http://h/d/{i:03}", undeclared(g, 99)) for i, g in enumerate(group)]
+    rows += [(100 + i, f"http://i/d/{i:03}", undeclared(7, 99)) for i in range(6)]
+    got = {r[0]: r[2] for r in tuples(extract(spark.createDataFrame(rows, "page_id long, url string, html string"), pages_a_range))}
+    assert len(got) == len(rows)
+    for i, g in enumerate(group):
+        assert got[i] == f"Text {g} of page\nStory {g}"
+    assert all(got[100 + i].startswith("Welcome") for i in range(6))
+
+
+def pairing(rows):
+    """Text of each page without telling elements, by scanning for the nearest pages that differ."""
+    rows = sorted(rows, key=lambda r: r[1])
+    page = [[x.text for x in lines(r[2])] for r in rows]
+    out = {}
+    for i, r in enumerate(rows):
+        a = b = i
+        while a and page[a - 1] == page[i]:
+            a -= 1
+        while b + 1 < len(rows) and page[b + 1] == page[i]:
+            b += 1
+        near = [(len(os.path.commonprefix([rows[x][1], rows[y][1]])), -s, y)
+                for s, x, y in ((0, a, a - 1), (1, b, b + 1)) if 0 <= y < len(rows)]
+        same = shared(page[i], page[max(near)[2]])
+        out[r[0]] = "\n".join(x for x, s in zip(page[i], same) if not s)
+    return out
+
+
+@pytest.mark.parametrize("pages_a_range", [1, 2, 5])
+def test_pairing_against_a_scan(spark, pages_a_range):
+    rng = random.Random(6)
+    rows = []
+    for i in range(90):
+        last = rows[-1][2] if rows else ""
+        page = last if rng.random() < 0.7 and last else "".join(f"<p>{rng.randrange(12)}</p>" for _ in range(8))
+        rows.append((i, f"http://h/{i // 9}/{i % 9 // 3}/{i:03}", page))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r[0]: r[2] for r in tuples(extract(df, pages_a_range))} == pairing(rows)
