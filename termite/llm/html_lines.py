@@ -47,9 +47,15 @@ def _names(attributes: str) -> tuple[set[str], str]:
 def lines(page: str) -> list[Line]:
     """The page's lines in order.  A tag that is never closed ends with the
     element around it; a stray ``<`` is text; a comment, script or style that is
-    not closed runs to the end."""
-    out: list[Line] = []
-    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]  # tag, main, aside, silent
+    not closed runs to the end.
+
+    A form or an element with a telling name may stand around the whole page
+    ("has-sidebar"): those around the longest article tell nothing, and an article
+    is aside only if more of them are around it (a teaser, a reply)."""
+    out: list[tuple[str, int, bool, tuple]] = []  # text, article, aside, named
+    # Tag, number of the article, aside whatever is inside, forms and telling names around by number, silent.
+    stack: list[tuple[str, int, bool, tuple, bool]] = [("", -1, False, (), False)]
+    articles: list[list] = []  # characters, forms and telling names around
     text: list[str] = []
 
     def flush() -> None:
@@ -57,12 +63,15 @@ def lines(page: str) -> list[Line]:
             whole = " ".join(html.unescape("".join(text)).split())
             text.clear()
             if whole:
-                out.append(Line(whole, stack[-1][1], stack[-1][2]))
+                _, article, aside, named, _ = stack[-1]
+                out.append((whole, article, aside, named))
+                if article >= 0 and not aside and named == articles[article][1]:
+                    articles[article][0] += len(whole)
 
     at, n = 0, len(page)
     while at < n:
         m = TAG.search(page, at)
-        if not stack[-1][3]:
+        if not stack[-1][4]:
             text.append(page[at:m.start() if m else n])
         if not m:
             break
@@ -88,19 +97,29 @@ def lines(page: str) -> list[Line]:
             at = end.end() if end else n
             continue
         if tag in SILENT and not m[3].rstrip().endswith("/"):
-            stack.append((tag, stack[-1][1], stack[-1][2], True))
+            stack.append((tag, *stack[-1][1:4], True))
         elif tag in FOLLOWED:
-            _, main, aside, silent = stack[-1]
+            _, article, aside, named, silent = stack[-1]
             if tag == "body":
                 silent = False
             names, role = _names(m[3]) if m[3] else (set(), "")
             if tag in MAIN or role == "main":
-                main, aside = True, aside or bool(names & {"comment", "comments"})
-            elif tag in PARTS and not (tag == "header" and main) or role in ROLES or tag != "body" and names & NAMES:
+                articles.append([0, named])
+                article, aside = len(articles) - 1, aside or bool(names & {"comment", "comments"})
+            elif tag in PARTS - {"form"} and not (tag == "header" and article >= 0) or role in ROLES:
                 aside = True
-            stack.append((tag, main, aside, silent))
+            elif tag == "form" or tag != "body" and names & NAMES:
+                named = (*named, at)
+            stack.append((tag, article, aside, named, silent))
     flush()
-    return out
+    around = max((x for x in articles if x[0]), key=lambda x: (x[0], -len(x[1])), default=(0, ()))[1]
+
+    def beside(article: int, named: tuple) -> bool:
+        if article < 0:
+            return named != around[:len(named)]
+        return len(named) > min(len(around), len(articles[article][1]))
+
+    return [Line(whole, article >= 0, aside or beside(article, named)) for whole, article, aside, named in out]
 
 
 def shared(a: list, b: list) -> list[bool]:

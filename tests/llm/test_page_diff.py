@@ -142,3 +142,23 @@ def test_pairing_against_a_scan(spark, pages_a_range):
         rows.append((i, f"http://h/{i // 9}/{i % 9 // 3}/{i:03}", page))
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r[0]: r[2] for r in tuples(extract(df, pages_a_range))} == pairing(rows)
+
+
+BODY = "<article><h1>A title</h1><p>The text of the article</p><div class='ad'>Buy</div><form>Name</form></article>"
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<div class='layout has-sidebar'>{}<div class='sidebar'>Side</div></div>", []),
+    ("<div id='content-sidebar-wrap'><form id='f'><main>{}</main></form></div>", []),
+    ("<div class='has-sidebar'><main><h1>Top</h1><section class='with-menu'>{}</section></main></div>", ["Top"]),
+    ("<div class='has-sidebar'>{}<div class='related'><article>Teaser</article></div></div>", []),
+    ("<article>Card</article><div class='has-sidebar'>{}<div id='comments'><article>me too</article></div></div>", ["Card"]),
+    ("{}<div class='related'><article>Teaser</article></div><aside><article>Teaser</article></aside>", []),
+    ("<div class='has-sidebar'><article class='comment'>me too and a lot more of it, and more</article>{}</div>", [])])
+def test_wrappers_with_telling_names_keep_the_article(page, want):
+    assert [x.text for x in lines(page.format(BODY)) if x.main and not x.aside] == want + ["A title", "The text of the article"]
+
+
+def test_wrappers_with_telling_names_keep_the_lines_beside_the_article():
+    page = f"<div class='ad'>Buy</div><div class='has-sidebar'><p>Lead</p>{BODY}<div class='sidebar'>Side</div></div><div class='widget'>W</div>"
+    assert [x.text for x in lines(page) if not x.aside] == ["Lead", "A title", "The text of the article"]
