@@ -686,14 +686,14 @@ def q_extract_positional(spark, sf_dir):
 
 @register("multi_file_scan")
 def q_multi_file_scan(spark, sf_dir):
-    """The pages written as many JSON-lines files, read back with one
+    """The pages written as JSON-lines files, read back with one
     path glob (one row per page, whatever file holds it) and parsed into
     records."""
     from termite.session import scratch_path
 
     path = scratch_path(spark, "pages-files")
     pages = _pages(spark, sf_dir).select("page_id", "html")
-    pages.repartition(8).write.mode("overwrite").json(path)
+    pages.write.mode("overwrite").json(path)
     files = cp.read_page_files(spark, path, "part-*.json", pages.schema)
     recs = cp.extract_records(files.select(F.col("page_id").alias("path"), F.col("html").alias("value")),
                               **cp.PAGE_RECORDS)
