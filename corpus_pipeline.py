@@ -68,8 +68,8 @@ STAGES = [
     ("source mixing", source_mixing),
 ]
 
-# Stages 1 to 4 cannot be written as SQL of a reasonable size; tests/llm holds a
-# brute-force version.
+# The operators' SQL is not chained here; tests/llm compares every row with a
+# brute-force version of all five stages.
 ORACLE_SQL = None
 
 

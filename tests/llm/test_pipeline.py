@@ -1,9 +1,12 @@
 """The pipeline's stages against brute-force versions of each decision."""
 
+import hashlib
+import math
 import random
 
 import corpus_pipeline as P
 from small import DOCS, frame, odd_documents, prose, tuples, with_clashes
+from test_curriculum import water_level
 from test_decontaminate import brute as brute_hits
 from test_ngram_join import brute as brute_components
 from test_quality import brute as brute_quality
@@ -90,3 +93,40 @@ def test_odd_documents_and_empty_tables(spark, tmp_path):
         for _, stage in P.STAGES:
             out = stage(spark, with_clashes(frame(spark, rows)), sf)
             assert out.count() <= 3 * len(rows)
+
+
+def brute_mix(rows):
+    """Rows of the last stage: each reading of each document."""
+    size = {r[0]: len(WORD.findall((r[1] or "").encode())) for r in rows}
+    sources = sorted({r[3] for r in rows}, key=lambda s: (s is None, s or ""))
+    total = [sum(size[r[0]] for r in rows if r[3] == s) for s in sources]
+    out = []
+    for k, (s, whole, target) in enumerate(zip(sources, total, water_level(total, [(5, 2, 1)[i % 3] for i in range(len(total))]))):
+        slope, start, words = (0.5, 0.0, -0.5)[k % 3], 0, math.floor(target + 0.5)
+        mine = sorted((r for r in rows if r[3] == s), key=lambda r: (hashlib.md5(str(r[0]).encode()).hexdigest(), r[0]))
+        for r in mine:
+            n, times = size[r[0]], words // whole
+            rest = max(0, min(n, words - times * whole - start))
+            for reading in range(times + (rest > 0)):
+                q = min(1.0, (start + reading * whole) / target)
+                position = 2 * q / (1 + slope + math.sqrt(max(0.0, (1 + slope) ** 2 - 4 * slope * q)))
+                text = b" ".join(WORD.findall(r[1].encode())[:rest]).decode() if reading == times and rest < n else r[1]
+                out.append((r[0], text, s, n, whole, times * n + rest, reading, round(target, 6), round(position, 9)))
+            start += n
+    return sorted(out, key=repr)
+
+
+def test_every_row_of_run(spark, tmp_path, monkeypatch):
+    """The first four stages by brute force, and each row of the last from what the fourth wrote."""
+    sf = str(tmp_path)
+    spark.createDataFrame(BENCHMARK, "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    frame(spark, documents()).write.parquet(f"{sf}/documents.parquet")
+    monkeypatch.setattr(P, "scratch_path", lambda _, name: f"{sf}/{name}")
+    got = [(r.doc_id, r.text, r.source, r.size, r.source_size, r.taken, r.reading, round(r.target, 6), round(r.position, 9))
+           for r in P.run(spark, sf).collect()]
+    third, fourth = ([tuple(r) for r in spark.read.parquet(f"{sf}/{n}").select(*DOCS.names).collect()]
+                     for n in ("substring-dedup", "benchmark-decontamination"))
+    assert sorted(((r[0], words(r[1]), *r[2:4]) for r in third), key=repr) == sorted(brute_stages(documents())[2], key=repr)
+    clean = {r[0] for r in brute_hits(third, BENCHMARK) if not r[-1]}
+    assert sorted(fourth, key=repr) == sorted((r for r in third if r[0] in clean), key=repr)
+    assert sorted(got, key=repr) == brute_mix(fourth)
