@@ -6,6 +6,7 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from termite.session import ship_package, table_path
 
@@ -210,3 +211,52 @@ def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return archive_pages(table(spark, sf_dir, "pages", "page_id", "url", "html")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# CRC-32 of a decimal number's digits, bit by bit (reflected polynomial 0xEDB88320).
+SQL_CRC32 = ("xor(list_reduce(list_transform(string_split(CAST({x} AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT)), lambda s, b:"
+             " list_reduce(range(8), lambda t, k: xor(t >> 1, 3988292384 * (t & 1)), xor(s, b)), CAST(4294967295 AS BIGINT)), 4294967295)")
+
+
+@register("op13_periodic_runs", rf"""
+WITH d AS (SELECT doc_id, {SQL_WORDS.format(text='text')} AS ws, {SQL_CRC32.format(x='doc_id')} AS h FROM documents),
+s AS (SELECT doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS planted, (h // 10) % greatest(1, len(ws)) AS a, 3 + (h // 10) % 8 AS m FROM d),
+t AS (SELECT *, 1 + (n - a) // m AS p FROM s),
+w AS (SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i: ws[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1])
+      ELSE ws END AS ws FROM t),
+word AS (SELECT doc_id, n, unnest(ws) AS word, unnest(range(n)) AS i FROM w),
+same AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM word x JOIN word y
+         ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretch AS (SELECT doc_id, q, min(i) AS start, max(i) + q + 1 - min(i) AS length FROM
+            (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM same) GROUP BY doc_id, q, g),
+run AS (SELECT doc_id, start, length, min(q) AS period FROM stretch WHERE length >= greatest(6, 4 * q) GROUP BY ALL),
+best AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) = 1),
+total AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS r
+          FROM run GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone ON word.doc_id = gone.doc_id AND word.i = gone.i GROUP BY 1)
+SELECT w.doc_id, coalesce(n_runs, 0) AS n_runs, best.start, best.length, best.period,
+       1000 * best.length // best.period AS exponent_milli,
+       sha256(coalesce(r, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM w LEFT JOIN best ON best.doc_id = w.doc_id LEFT JOIN total ON total.doc_id = w.doc_id LEFT JOIN kept ON kept.doc_id = w.doc_id""")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated word sequences; in a tenth of the documents, whose ids'
+    checksums say so, the words from one place on are made periodic first."""
+    from termite.llm.periodic_runs import periodic_runs
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("h", F.crc32(F.col("doc_id").cast("string")))
+    docs = docs.withColumn("ws", F.when(F.expr("h % 10 = 0"), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))))
+    docs = docs.withColumn("n", F.size("ws")).withColumn("a", F.expr("cast(h div 10 % n as int)"))
+    docs = docs.withColumn("p", F.expr("cast(1 + (n - a) div (3 + h div 10 % 8) as int)"))
+    made = F.expr("concat(slice(ws, 1, a), slice(flatten(array_repeat(slice(ws, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a))")
+    docs = docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
+    found = periodic_runs(docs)
+    r = F.col("runs")
+    more = lambda x, y: x["length"] * y["period"] > y["length"] * x["period"]
+    best = F.when(F.size(r) > 0, F.reduce(r, F.element_at(r, 1), lambda x, y: F.when(more(y, x), y).otherwise(x)))
+    lines = F.transform(r, lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size(r).cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")

@@ -19,7 +19,7 @@ def con():
 
 
 def test_all_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 14))
     assert set(REGISTRY) | {"pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
