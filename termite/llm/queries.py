@@ -260,3 +260,29 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
         "doc_id", "n_runs", "best.start", "best.length", "best.period",
         F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+@register("op12_phrase_collocations", rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array({SQL_LOWER.format(x="coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM p),
+total AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY 1),
+f AS (SELECT lang, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS g, count(*) AS f FROM
+      (SELECT lang, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k)
+      GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT *, string_split(g, ' ') AS ws FROM f WHERE k >= 2),
+cut AS (SELECT c.lang, c.g, c.f AS a, c.k, j, x.f AS l, y.f AS r, x.g AS start, y.g AS rest
+        FROM (SELECT *, unnest(generate_series(1, k - 1)) AS j FROM c) c
+        JOIN f x ON x.lang = c.lang AND x.g = array_to_string(list_slice(c.ws, 1, j), ' ')
+        JOIN f y ON y.lang = c.lang AND y.g = array_to_string(list_slice(c.ws, j + 1, c.k), ' ')),
+inside AS (SELECT lang, start AS g FROM cut WHERE j = k - 1 AND l = a UNION SELECT lang, rest FROM cut WHERE j = 1 AND r = a),
+scored AS (SELECT cut.*, n, (1000 * CAST(a AS HUGEINT) * n) // (CAST(l AS HUGEINT) * r) AS score FROM cut JOIN total ON total.lang = cut.lang),
+best AS (SELECT s.* FROM scored s ANTI JOIN inside ON inside.lang = s.lang AND inside.g = s.g
+         QUALIFY row_number() OVER (PARTITION BY s.lang, s.g ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM best)
+SELECT lang, rank, g AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000""")
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 phrases of each language whose words occur together most."""
+    from termite.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents", "text", "lang"))
