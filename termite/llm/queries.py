@@ -286,3 +286,22 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from termite.llm.collocations import collocations
 
     return collocations(table(spark, sf_dir, "documents", "text", "lang"))
+
+
+@register("op11_super_minhash", rf"""
+WITH RECURSIVE w AS (SELECT doc_id, list_transform({SQL_WORDS.format(text='text')},
+                     lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(list_transform(generate_series(1, greatest(1, len(ws) - 3)),
+       lambda i: array_to_string(list_slice(ws, i, i + 3), ' '))) AS s FROM w WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT doc_id, doc_id AS c FROM w UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON r.c = e.a)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.c) AS component_id, w.doc_id = min(r.c) AS kept
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN reach r ON r.doc_id = w.doc_id GROUP BY w.doc_id, n.n""")
+def op11_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets reach a Jaccard of 0.8."""
+    from termite.llm.super_minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
