@@ -75,32 +75,50 @@ def read_words(texts: list[bytes], langs: list[str]) -> tuple[list[bytes], np.nd
         words.append(BREAK)
         offsets.append(len(words))
     doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    salt = {x: xxhash.xxh3_64_intdigest(x.encode()) for x in set(langs)}
     hashes = W.hash_words(words)
     at = np.flatnonzero(hashes != np.uint64(xxhash.xxh3_64_intdigest(b"")))
     hashes, doc = hashes[at], doc[at]
-    salts = W.mix(np.array([salt[x] for x in langs], np.uint64))[doc]
-    number = (W.mix(hashes ^ salts) >> np.uint64(1)).astype(np.int64)
+    number = number_words(hashes, salts_of(langs)[doc])
     number[hashes == np.uint64(xxhash.xxh3_64_intdigest(BREAK))] = END
     return words, number, doc, at
 
 
+def salts_of(langs: list[str]) -> np.ndarray:
+    salt = {x: xxhash.xxh3_64_intdigest(x.encode()) for x in set(langs)}
+    return W.mix(np.array([salt[x] for x in langs], np.uint64))
+
+
+def number_words(hashes: np.ndarray, salts: np.ndarray) -> np.ndarray:
+    return (W.mix(hashes ^ salts) >> np.uint64(1)).astype(np.int64)
+
+
 def count_words(docs: DataFrame) -> DataFrame:
-    """``(lang, word, code, f)`` of ``docs(text, lang)``."""
+    """``(lang, word, f)`` of ``docs(text, lang)``."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, langs in blocks(parts):
             words, number, doc, at = read_words(texts, langs)
             real = np.flatnonzero(number != END)
-            code, first, count = np.unique(number[real], return_index=True, return_counts=True)
+            _, first, count = np.unique(number[real], return_index=True, return_counts=True)
             first = real[first]
             yield pa.RecordBatch.from_arrays([
                 pa.array([langs[i] for i in doc[first]], pa.string()),
-                pa.array([words[i].decode() for i in at[first]], pa.string()),
-                pa.array(code, pa.int64()), pa.array(count, pa.int64())], ["lang", "word", "code", "f"])
+                pa.array([words[i].decode() for i in at[first]], pa.string()), pa.array(count, pa.int64())], ["lang", "word", "f"])
 
-    found = docs.select("text", "lang").mapInArrow(run, "lang string, word string, code long, f long")
-    return found.groupBy("lang", "word").agg(F.first("code").alias("code"), F.sum("f").alias("f"))
+    found = docs.select("text", "lang").mapInArrow(run, "lang string, word string, f long")
+    return found.groupBy("lang", "word").agg(F.sum("f").alias("f"))
+
+
+def with_codes(words: DataFrame) -> DataFrame:
+    """``(lang, word, f, code)``: the numbers that stand for the words."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            hashes = W.hash_words([x.encode() for x in batch.column("word").to_pylist()])
+            code = number_words(hashes, salts_of(batch.column("lang").to_pylist()))
+            yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(code, pa.int64())], names=["lang", "word", "f", "code"])
+
+    return words.mapInArrow(run, "lang string, word string, f long, code long")
 
 
 class HotPhrases:
@@ -163,10 +181,18 @@ class Suffixes:
         return [c[order[at]] for c in columns], np.diff(np.append(at, len(order)))
 
     def pack(self, columns: list[np.ndarray]) -> bytes:
-        return b"".join(c.astype(self.kind).tobytes() for c in columns)  # END becomes the largest value
-
-    def unpack(self, data: list[bytes]) -> list[np.ndarray]:
-        parts = [np.frombuffer(x, self.kind).reshape(self.max_words, -1) for x in data]
+        """The columns, compressed, each by the first, second, ... bytes of its codes:
+        those repeat more than the codes do.  ``END`` becomes the largest value."""
+        flat = np.stack([c.astype(self.kind) for c in columns])
+        planes = flat.view(np.uint8).reshape(*flat.shape, self.kind.itemsize).transpose(0, 2, 1)
+        return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+    def unpack(self, data: list[bytes], sizes: list[int]) -> list[np.ndarray]:
+        parts = []
+        for packed, n in zip(data, sizes):
+            whole = pa.decompress(packed, n * self.max_words * self.kind.itemsize, "zstd", asbytes=True)
+            planes = np.frombuffer(whole, np.uint8).reshape(self.max_words, self.kind.itemsize, n)
+            parts.append(np.ascontiguousarray(planes.transpose(0, 2, 1)).view(self.kind)[:, :, 0])
         whole = np.concatenate(parts, axis=1)
         return [np.where(c == np.iinfo(self.kind).max, END, c.astype(np.int64)) for c in whole]
 
@@ -251,8 +277,9 @@ def count_phrases(docs: DataFrame, suffixes: Suffixes, hot: list[HotPhrases], ro
 
     def sort(table: pa.Table) -> pa.Table:
         counts = [np.frombuffer(x, "<u4") for x in table.column("counts").to_pylist()]
-        depth = np.repeat(table.column("depth").to_numpy(), [len(x) for x in counts])
-        columns = suffixes.unpack(table.column("codes").to_pylist())
+        sizes = [len(x) for x in counts]
+        depth = np.repeat(table.column("depth").to_numpy(), sizes)
+        columns = suffixes.unpack(table.column("codes").to_pylist(), sizes)
         found = frequent_prefixes(columns, np.concatenate(counts).astype(np.int64), min_count)
         # Shorter phrases than the words of a route are hot: only some of their suffixes are here.
         found = [(row, k, f) for row, k, f in found if k >= max(2, depth[row])]
@@ -271,16 +298,16 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS,
                      task_suffixes: int = TASK_SUFFIXES, listed_words: int = LISTED_WORDS) -> tuple[DataFrame, DataFrame]:
-    """``(lang, word, code, f)`` of all words and ``(codes, f)`` of all phrases of
+    """``(lang, word, f, code, n)`` of the words and ``(codes, f)`` of the phrases of
     2 to ``max_words`` words that occur ``min_count`` times or more in their
-    language; a phrase is the list of its words' codes."""
+    language; ``n`` counts its words, and a phrase is the list of its words' codes."""
     words = _stored(count_words(docs), "words")
-    total, n_frequent = words.agg(F.sum("f"), F.count(F.when(F.col("f") >= min_count, 1))).first()
-    total = total or 0
+    totals = _stored(words.groupBy("lang").agg(F.sum("f").alias("n")), "languages")
+    total = totals.agg(F.sum("n")).first()[0] or 0
+    words = _stored(with_codes(words.where(F.col("f") >= min_count)).join(totals, "lang"), "frequent-words")
     listed = None
-    if n_frequent <= listed_words:
-        rows = words.where(F.col("f") >= min_count).select("code").toArrow()
-        listed = np.unique(rows.column("code").to_numpy())
+    if words.count() <= listed_words:
+        listed = np.unique(words.select("code").toArrow().column("code").to_numpy())
     suffixes = Suffixes(listed, max_words)
     more_than = max(task_suffixes, min_count, math.ceil(total / MOST_HOT))
     hot: list[HotPhrases] = []
@@ -320,9 +347,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
     frequent is left out.  A null language is ``und``; a null, empty or
     white-space text has no words; repeated rows count each; an empty table gives
     an empty result."""
-    words, phrases = frequent_phrases(docs, min_count, max_words, **how)
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    known = words.where(F.col("f") >= min_count)
+    known, phrases = frequent_phrases(docs, min_count, max_words, **how)
     parts = phrases.union(known.select(F.array("code"), "f"))
     cuts = phrases.select("codes", F.col("f").alias("a"), F.explode(F.expr("sequence(1, size(codes) - 1)")).alias("k"))
     cuts = cuts.select("*", F.expr("slice(codes, 1, k)").alias("left"), F.expr("slice(codes, k + 1, size(codes))").alias("right"))
@@ -331,7 +356,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
     # A phrase that a longer one of its frequency holds is the start or the rest of one that is a word longer.
     inside = cuts.where("k = size(codes) - 1 and k > 1 and l = a").select(F.col("left").alias("codes")).union(
         cuts.where("k = 1 and size(codes) > 2 and r = a").select("right"))
-    langs = known.join(totals, "lang").select(F.col("code").alias("first"), "lang", "n")
+    langs = known.select(F.col("code").alias("first"), "lang", "n")
     scored = cuts.join(inside.distinct(), "codes", "left_anti").withColumn("first", F.element_at("codes", 1)).join(langs, "first")
     exact = [F.col(c).cast("decimal(38,0)").alias(c) for c in ("a", "n", "l", "r")]
     scored = scored.select("lang", "codes", "k", *exact).withColumn("score", F.expr("(1000 * a * n) div (l * r)"))
