@@ -141,9 +141,8 @@ def build_dictionary(vocab: DataFrame) -> DataFrame:
 
 def term_weights(post: DataFrame, vocab_idf: DataFrame) -> DataFrame:
     """``(doc_id, term, tf, tfidf)``."""
-    v = vocab_idf.select("term", "idf")
-    return post.join(v, "term").select(
-        "doc_id", "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    return post.join(vocab_idf.select("term", "idf_dec"), "term").select(
+        "doc_id", "term", "tf", (F.col("tf") * F.col("idf_dec")).cast("double").alias("tfidf"))
 
 
 @dataclass
@@ -154,11 +153,6 @@ class Index:
     postings: DataFrame
     vocab: DataFrame  # with idf
 
-    def persist(self) -> "Index":
-        self.postings = self.postings.persist()
-        self.vocab = self.vocab.persist()
-        return self
-
 
 def build_index(docs: DataFrame, text_col: str = "text", stemmer: str | None = "s") -> Index:
     toks = token_table(docs, text_col, stemmer)

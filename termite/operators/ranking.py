@@ -32,12 +32,12 @@ def vsm_scores(post: DataFrame, vocab_idf: DataFrame, qterms: DataFrame) -> Data
     the query.
 
     The weighted query terms (query batch x idf) are the small side: they are
-    broadcast behind a row-count check, so the postings are not shuffled for
-    the join; the sum is partially aggregated before the shuffle on
-    ``(query_id, doc_id)``.  Documents with score 0 are absent (ledger D15)."""
-    weighted = qterms.join(vocab_idf.select("term", "idf_units"), "term").select(
-        "query_id", "term", (F.col("qtf") * F.col("idf_units")).alias("w"))
-    weighted = broadcast_if_small(weighted.persist())
+    broadcast behind a measure of their bytes, so the postings are not shuffled
+    for the join; the sum is partially aggregated before a shuffle on ``(query_id,
+    doc_id)``, which postings bucketed by document do not need.  Documents with
+    score 0 are absent (ledger D15)."""
+    weighted = broadcast_if_small(qterms.join(vocab_idf.select("term", "idf_units"), "term").select(
+        "query_id", "term", (F.col("qtf") * F.col("idf_units")).alias("w")))
     joined = post.select("term", "doc_id", "tf").join(weighted, "term")
     # exact 64-bit sum in units of 10**-6 (idf <= ~20, so far from overflow)
     scores = joined.groupBy("query_id", "doc_id").agg(

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from termite.operators import index as ix
 from termite.functions import constants as K
 from termite.operators import ranking as rk
-from termite.session import ship_package
+from termite.operators import stored_index as si
+from termite.session import ship_package, stored
 from termite.sources.tables import query_table, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,22 +31,37 @@ def register(name: str):
     return deco
 
 
+_STORED: dict[tuple, si.StoredIndex] = {}
+
+
+def stored_index(spark: SparkSession, sf_dir: str, stemmer: str | None = "s") -> si.StoredIndex:
+    """The index of ``documents``: written by the first query of an application
+    that needs it, read by all later ones.  The tables below ``sf_dir`` must not
+    change meanwhile."""
+    key = (spark.sparkContext.applicationId, sf_dir, stemmer)
+    if key not in _STORED:
+        _STORED[key] = si.write_index(read_table(spark, sf_dir, "documents", "doc_id", "text"), "text", stemmer)
+    return _STORED[key]
+
+
 def corpus_index(spark: SparkSession, sf_dir: str, stemmer: str | None = "s") -> ix.Index:
-    """The index of ``documents``; postings and vocabulary are persisted
-    (memory and disk) because size checks and later stages read them again."""
-    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    return ix.build_index(docs, "text", stemmer).persist()
+    """The token table of ``documents`` (computed where it is used) beside the
+    stored postings and vocabulary."""
+    index = stored_index(spark, sf_dir, stemmer)
+    tokens = ix.token_table(read_table(spark, sf_dir, "documents", "doc_id", "text"), "text", stemmer)
+    return ix.Index(tokens, index.postings, index.vocab)
 
 
 # --- minimum slice ------------------------------------------------------------
 
+def benchmark_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rk.query_term_counts(rk.query_tokens(query_table(spark, sf_dir, "benchmark")))
+
+
 @register("vsm_score")
 def q_vsm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 + W1 + W2: benchmark items as queries, top 5 documents each."""
-    idx = corpus_index(spark, sf_dir)
-    qt = rk.query_term_counts(rk.query_tokens(query_table(spark, sf_dir, "benchmark")))
-    scores = rk.vsm_scores(idx.postings, idx.vocab, qt)
-    return rk.rank_documents(scores)
+    return si.search(stored_index(spark, sf_dir), benchmark_terms(spark, sf_dir))
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,9 +129,7 @@ def q_collection_idf(spark, sf_dir):
 @register("term_weight_matrix")
 def q_term_weight_matrix(spark, sf_dir):
     idx = corpus_index(spark, sf_dir)
-    v = idx.vocab.select("term", "idf_dec")
-    return idx.postings.join(v, "term").select(
-        "doc_id", "term", "tf", (F.col("tf") * F.col("idf_dec")).cast("double").alias("tfidf"))
+    return ix.term_weights(idx.postings, idx.vocab)
 
 
 @register("distinct_terms_per_row")
@@ -129,8 +143,7 @@ def q_postings_lookup(spark, sf_dir):
     from termite.plans.sizing import broadcast_if_small
 
     idx = corpus_index(spark, sf_dir)
-    qt = rk.query_term_counts(rk.query_tokens(query_table(spark, sf_dir, "benchmark")))
-    qt = broadcast_if_small(qt.select("query_id", "term"))
+    qt = broadcast_if_small(benchmark_terms(spark, sf_dir).select("query_id", "term"))
     return idx.postings.join(qt, "term").select("query_id", "term", "doc_id", "tf")
 
 
@@ -380,8 +393,9 @@ def q_bigram_nested(spark, sf_dir):
 from termite.operators import thesaurus as th  # noqa: E402
 
 
-def corpus_thesaurus(spark, sf_dir) -> DataFrame:
-    return th.cooccurrence_similarity(corpus_index(spark, sf_dir).tokens)
+def corpus_thesaurus(spark, sf_dir, **which) -> DataFrame:
+    index = stored_index(spark, sf_dir)
+    return th.similar_terms(index.postings, index.vocab, **which)
 
 
 @register("cooccur_selfjoin")
@@ -406,8 +420,7 @@ def q_build_thesaurus(spark, sf_dir):
 def q_filter_similarity(spark, sf_dir):
     """thesaurus pairs with sim >= 0.75 (pairs that cannot reach it are
     pruned before the shuffle)."""
-    thes = th.cooccurrence_similarity(corpus_index(spark, sf_dir).tokens,
-                                      min_sim=K.EXPANSION_MIN_SIM)
+    thes = corpus_thesaurus(spark, sf_dir, min_sim=K.EXPANSION_MIN_SIM)
     return th.filter_similarity(thes).select("term", "related", "sim")
 
 
@@ -423,8 +436,9 @@ def q_second_best_term(spark, sf_dir):
 
 @register("thesaurus_lookup")
 def q_thesaurus_lookup(spark, sf_dir):
+    """Only the product of the asked terms with the top terms is computed."""
     qtok = rk.query_tokens(query_table(spark, sf_dir, "benchmark"))
-    return th.thesaurus_lookup(qtok, corpus_thesaurus(spark, sf_dir))
+    return th.thesaurus_lookup(qtok, corpus_thesaurus(spark, sf_dir, asked=qtok))
 
 
 @register("expand_query")
@@ -432,9 +446,9 @@ def q_expand_query(spark, sf_dir):
     """C4: benchmark queries with one related term appended per token whose
     best related term has sim >= 0.75; ``(query_id, term, qtf)``."""
     qtok = rk.query_tokens(query_table(spark, sf_dir, "benchmark"))
-    # only a best related term with sim >= 0.75 is added: the pruned thesaurus
-    # has the same best term whenever that term reaches the threshold
-    thes = th.cooccurrence_similarity(corpus_index(spark, sf_dir).tokens, min_sim=K.EXPANSION_MIN_SIM)
+    # only a best related term with sim >= 0.75 is added: the pruned rows of the
+    # asked terms have the same best term whenever that term reaches the threshold
+    thes = corpus_thesaurus(spark, sf_dir, min_sim=K.EXPANSION_MIN_SIM, asked=qtok)
     return rk.query_term_counts(th.expand_query(qtok, thes))
 
 
@@ -475,28 +489,23 @@ def q_suggest_query(spark, sf_dir):
     return sp.suggest_query(sp.correct_query_terms(misspelt_benchmark_tokens(spark, sf_dir), idx.vocab))
 
 
-def vsm_search(spark, sf_dir, queries: DataFrame, k: int = 5) -> DataFrame:
+def vsm_search(spark, sf_dir, queries: DataFrame, k: int = 5, allowed: DataFrame | None = None) -> DataFrame:
     """Normalise -> expand (C4) -> correct unknown terms (J5) -> score
-    -> rank (W1) -> top k (W2).
+    -> rank (W1) -> top k (W2), of all documents or the ``allowed`` ones.
 
-    The index tables and the thesaurus are persisted once and shared by the
-    stages; corrections are computed for the distinct query terms and applied
+    Reads the stored index.  Only the thesaurus rows of the queries' terms are
+    computed; corrections are computed for the distinct query terms and applied
     to the expanded query (appended terms come from the thesaurus and are
     always in the vocabulary)."""
-    idx = corpus_index(spark, sf_dir)
-    idx.tokens = idx.tokens.persist()
-    idx.persist()
-    # expansion only needs pairs with sim >= 0.75: the thesaurus is pruned to those
-    thes = th.cooccurrence_similarity(idx.tokens, min_sim=K.EXPANSION_MIN_SIM).persist()
-    qtok = rk.query_tokens(queries).persist()
+    index = stored_index(spark, sf_dir)
+    qtok = stored(rk.query_tokens(queries), "query-tokens")
+    terms = stored(qtok.select("term").distinct(), "query-terms")
+    thes = corpus_thesaurus(spark, sf_dir, min_sim=K.EXPANSION_MIN_SIM, asked=terms)
     expanded = th.expand_query(qtok, thes)
-    fixes = sp.correct_query_terms(qtok.select("term").distinct().withColumn("query_id", F.lit(0))
-                                   .withColumn("pos", F.lit(0)), idx.vocab)
-    fixes = fixes.select("term", "corrected").distinct()
-    corrected = expanded.join(fixes, "term", "left").select(
-        "query_id", "pos", F.coalesce("corrected", "term").alias("term"))
-    scores = rk.vsm_scores(idx.postings, idx.vocab, rk.query_term_counts(corrected))
-    return rk.rank_documents(scores, k)
+    fixes = sp.correct_query_terms(terms.select(F.lit(0).alias("query_id"), F.lit(0).alias("pos"), "term"), index.vocab)
+    corrected = expanded.join(fixes.select("term", "corrected"), "term", "left").select(
+        "query_id", F.coalesce("corrected", "term").alias("term"))
+    return si.search(index, rk.query_term_counts(corrected), k, allowed)
 
 
 @register("vsm_search")
@@ -774,9 +783,8 @@ def q_stem_vocabulary(spark, sf_dir):
 # --- ranking windows (W1, W2) ----------------------------------------------------------
 
 def _bench_scores(spark, sf_dir):
-    idx = corpus_index(spark, sf_dir)
-    qt = rk.query_term_counts(rk.query_tokens(query_table(spark, sf_dir, "benchmark")))
-    return rk.vsm_scores(idx.postings, idx.vocab, qt)
+    index = stored_index(spark, sf_dir)
+    return rk.vsm_scores(index.postings, index.vocab, benchmark_terms(spark, sf_dir))
 
 
 @register("rank_documents")
@@ -788,4 +796,4 @@ def q_rank_documents(spark, sf_dir):
 @register("top5_results")
 def q_top5_results(spark, sf_dir):
     """The first 5 of each ranking."""
-    return rk.rank_documents(_bench_scores(spark, sf_dir), 5)
+    return si.search(stored_index(spark, sf_dir), benchmark_terms(spark, sf_dir), 5)

@@ -1,23 +1,32 @@
 """Size-checked broadcast.
 
-A side is broadcast only after counting it: below ``max_rows`` it is wrapped in
-``broadcast()``; above, it is returned unchanged and Catalyst / AQE plan a
-shuffle join (AQE may still switch to broadcast from runtime statistics, which
-are size-checked by ``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+A side is stored and measured before it is broadcast: up to ``max_bytes`` it is
+wrapped in ``broadcast()``; above, it is returned as stored and Catalyst / AQE plan
+a shuffle join.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+from termite.session import stored
 
+MAX_BROADCAST_BYTES = 128 << 20
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """The side is persisted first: the count materialises it and the join -
-    broadcast or not - reads the cached rows instead of recomputing them."""
-    df = df.persist()
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
 
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of all rows: 8 a value, and the text of strings."""
+    size = F.lit(8 * len(df.columns))
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0))
+    return df.agg(F.sum(size)).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """The side is written first: the measure and the join - broadcast or not -
+    read the files instead of computing its rows again."""
+    df = stored(df, "side")
+    return F.broadcast(df) if table_bytes(df) <= max_bytes else df

@@ -2,7 +2,7 @@
 
 The original answered one query per web request.  Here queries arrive as JSON
 files ``{"query_id": ..., "text": ...}`` in a directory; every micro-batch is
-scored against the static, persisted index tables (a stream-static join inside
+scored against the static, stored index tables (a stream-static join inside
 ``foreachBatch``) and its top-k results are written to the batch's own partition of a
 Parquet table, so a replayed batch adds nothing twice.  The
 stream's checkpoint lives below ``spark.checkpoint.dir``, so a restarted query
@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from termite.functions import constants as K
 from termite.operators import ranking as rk
 from termite.operators.index import Index
-from termite.session import scratch_path
+from termite.session import scratch_path, stored
 
 QUERY_SCHEMA = T.StructType([
     T.StructField("query_id", T.LongType()),
@@ -30,8 +30,8 @@ def start_search_stream(spark: SparkSession, index: Index, query_dir: str, resul
                         k: int = K.RESULTS_PER_QUERY, stemmer: str | None = "s",
                         checkpoint: str | None = None, trigger_once: bool = False) -> StreamingQuery:
     """Start the service; returns the running ``StreamingQuery``."""
-    post = index.postings.persist()
-    vocab = index.vocab.persist()
+    post = stored(index.postings, "stream-postings")
+    vocab = stored(index.vocab, "stream-vocabulary")
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
         qt = rk.query_term_counts(rk.query_tokens(batch, stemmer))

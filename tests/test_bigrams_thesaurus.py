@@ -4,6 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from termite.operators import bigrams as bg
+from termite.operators import index as ix
 from termite.operators import thesaurus as th
 
 
@@ -45,13 +46,26 @@ def test_tiled_cooccurrence_matches_brute_force(spark):
     docs = {d: rng.sample(vocab, rng.randint(0, 12)) for d in range(60)}
     toks = [(d, p, t) for d, ts in docs.items() for p, t in enumerate(ts)]
     tokens = spark.createDataFrame(toks, "doc_id long, pos long, term string")
-    ids = th.top_term_ids(tokens, 0)
-    sets = th.doc_term_sets(tokens, ids)
+    post = ix.postings(tokens)
+    vocab = ix.vocabulary(post)
+    ids = th.top_term_ids(vocab, 0)
+    sets = th.doc_term_sets(post, ids)
     names = {r.tid: r.term for r in ids.collect()}
-    for tile, per_task in ((5, 7), (5, 20_000), (1024, 20_000)):  # chunked, tile-spread, single
-        pairs = th.cooccurrence_counts(sets, len(names), docs_per_task=per_task, tile=tile)
-        got = Counter({(names[r.i], names[r.j]): r.co for r in pairs.collect()})
-        assert got == _brute_cooc(docs), tile
+    want = _brute_cooc(docs)
+    df = Counter(t for ts in docs.values() for t in ts)
+    assert [df[names[i]] for i in range(len(names))] == sorted(df.values(), reverse=True)
+    for tile, chunk in ((5, 7), (5, 20_000), (1024, 20_000)):  # many chunks and tiles, many tiles, one of each
+        pairs = th.cooccurrence_counts(sets, chunk, tile)
+        got = Counter({tuple(sorted((names[r.i], names[r.j]))): r.co for r in pairs.collect()})
+        assert got == want, tile
+        both = {(a, b): co / max(df[a], df[b]) for (x, y), co in want.items() for a, b in ((x, y), (y, x))}
+        for min_sim in (None, 0.45):
+            for asked in (None, ["t03", "t11", "t30", "zz"]):
+                rows = th.similar_terms(post, vocab, 0, min_sim, asked and spark.createDataFrame([(a,) for a in asked], "term string"),
+                                        chunk, tile).collect()
+                assert {(r.term, r.related): r.sim for r in rows} == {
+                    k: v for k, v in both.items() if v >= (min_sim or 0) and (asked is None or k[0] in asked)}
+                assert len(rows) == len({(r.term, r.related) for r in rows})
 
 
 def test_best_related_excludes_self_on_ties(spark):

@@ -50,12 +50,12 @@ def test_broadcast_only_below_the_limit(spark):
     small = spark.range(10).withColumnRenamed("id", "k")
     big = spark.range(1000).withColumnRenamed("id", "k")
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-    joined_small = big.join(broadcast_if_small(small, max_rows=100), "k")
+    joined_small = big.join(broadcast_if_small(small, max_bytes=800), "k")
     assert "BroadcastHashJoin" in plan(joined_small)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        joined_big = small.join(broadcast_if_small(big, max_rows=100), "k")
+        joined_big = small.join(broadcast_if_small(big, max_bytes=800), "k")
         assert "BroadcastHashJoin" not in plan(joined_big)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
