@@ -522,9 +522,9 @@ from termite.operators.features import feature_counts  # noqa: E402
 
 
 def _knn_inputs(spark, sf_dir):
-    nw = news(spark, sf_dir).persist()
+    nw = news(spark, sf_dir)
     train, pred = tp.split_train_predict(nw)
-    rows = tp.explode_topics(train).persist()
+    rows = stored(tp.explode_topics(train), "training-rows")
     return nw, train, pred, rows
 
 
@@ -559,8 +559,8 @@ def _knn_parts(spark, sf_dir):
     nw, train, pred, rows = _knn_inputs(spark, sf_dir)
     tok_tr = ix.token_table(train, "text")
     top = ix.top_terms(tok_tr.join(rows.select("doc_id"), "doc_id"))
-    tf = feature_counts(tok_tr, top).persist()
-    pf = feature_counts(ix.token_table(pred, "text"), top).persist()
+    tf = stored(feature_counts(tok_tr, top), "training-features")
+    pf = stored(feature_counts(ix.token_table(pred, "text"), top), "query-features")
     k = kn.k_for(rows.count())
     return nw, train, pred, rows, tf, pf, k, top
 
