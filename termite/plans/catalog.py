@@ -693,23 +693,80 @@ def q_extract_positional(spark, sf_dir):
     return out.select(F.col("file").alias("page_id"), "pos", "name", "description")
 
 
+PAGE_END = "</page>\n"
+
+
+def write_tagged_pages(pages: DataFrame, path: str) -> None:
+    """Text files of ``<page id="...">`` records."""
+    pages.select(F.concat(F.lit('<page id="'), "page_id", F.lit('">'), "html")).write.option("lineSep", PAGE_END).text(path)
+
+
 @register("multi_file_scan")
 def q_multi_file_scan(spark, sf_dir):
-    """The pages written as JSON-lines files, read back with one
-    path glob (one row per page, whatever file holds it) and parsed into
-    records."""
+    """The pages written as tagged text files, read back in splits by one path
+    glob and the closing tag, and parsed into records."""
     from termite.session import scratch_path
 
-    path = scratch_path(spark, "pages-files")
-    pages = _pages(spark, sf_dir).select("page_id", "html")
-    pages.write.mode("overwrite").json(path)
-    files = cp.read_page_files(spark, path, "part-*.json", pages.schema)
-    recs = cp.extract_records(files.select(F.col("page_id").alias("path"), F.col("html").alias("value")),
-                              **cp.PAGE_RECORDS)
+    path = scratch_path(spark, "tagged-pages")
+    write_tagged_pages(_pages(spark, sf_dir).select("page_id", "html"), path)
+    files = cp.read_tagged_files(spark, f"{path}/part-*.txt", PAGE_END)
+    number = F.regexp_extract("value", '^<page id="([0-9]+)">', 1)
+    files = files.select(number.cast("long").alias("path"), F.expr("substr(value, instr(value, '>') + 1)").alias("value"))
+    recs = cp.extract_records(files, **cp.PAGE_RECORDS)
     return recs.select(F.col("file").alias("page_id"), "rec_pos",
                        F.array_join("topics", " ").alias("topic"), "name", "description")
 
 
+@register("tagged_record_order")
+def q_tagged_record_order(spark, sf_dir):
+    """S4 + S5: dense ids of the records of all tagged files, in the order of files
+    and of records in a file."""
+    from termite.session import scratch_path
+
+    path = scratch_path(spark, "tagged-pages")
+    pages = _pages(spark, sf_dir).select("page_id", "html").repartitionByRange("page_id").sortWithinPartitions("page_id")
+    write_tagged_pages(pages, path)
+    recs = cp.number_records(cp.read_tagged_files(spark, f"{path}/part-*.txt", PAGE_END), "page")
+    recs = recs.withColumn("place", F.struct("file", "rec_pos"))
+    title = cp.tag_text(cp.element(cp.strip_markup(F.col("rec")), "title"))
+    return ix.dense_ids(recs, "place", "doc_id").select("doc_id", title.alias("title"))
+
+
+# --- fixed value: pages of a host that make one catalogue page at most -----------
+CATALOGUE_PAGES = 16
+
+
+def catalogue_pages(spark, sf_dir) -> DataFrame:
+    """Catalogue pages with several course blocks, derived from ``pages``: pages of a
+    host with near ids become one, a block each.  A page's subject is its language,
+    its number that of its path; every fifth page gives no description."""
+    src = _pages(spark, sf_dir)
+    clean = cp.strip_markup(F.col("html"))
+    number = F.lpad(F.regexp_extract("url", "/(\\d+)(?:[/?#]|$)", 1), 4, "0")
+    header = F.concat(F.rpad(F.regexp_extract("html", "<html[^>]*\\blang=\"([^\"]*)\"", 1), 3, "x"), F.lit("&nbsp;"), number,
+                      F.lit(" "), cp.element(clean, "title"), F.lit(" (3 units)"))
+    text = F.when(F.col("page_id") % 5 != 0, F.concat(
+        F.lit('<p class="courseblockdesc noindent">'), cp.element(cp.element(clean, "article"), "p"), F.lit("</p>")))
+    block = F.concat(F.lit('<div class="courseblock"><p class="courseblocktitle"><strong>'), header, F.lit("</strong></p>"),
+                     F.coalesce(text, F.lit("")), F.lit("</div>"))
+    host = F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1)
+    blocks = src.groupBy(host.alias("host"), F.floor(F.col("page_id") / CATALOGUE_PAGES).alias("part")).agg(
+        F.min("page_id").alias("page_id"), F.array_sort(F.collect_list(F.struct("page_id", block.alias("block")))).alias("blocks"))
+    return blocks.select("page_id", F.concat(F.lit("<html><body>"), F.array_join("blocks.block", "\n"), F.lit("</body></html>")).alias("html"))
+
+
+@register("filter_course_header")
+def q_filter_course_header(spark, sf_dir):
+    """the course blocks with a header of the pattern."""
+    return cp.filter_course_header(cp.course_blocks(catalogue_pages(spark, sf_dir))).select("page_id", "block_pos", "code", "name")
+
+
+@register("extract_course_blocks")
+def q_extract_course_blocks(spark, sf_dir):
+    """Every course block of catalogue pages that hold several."""
+    return cp.extract_course_blocks(catalogue_pages(spark, sf_dir))
+
+
 @register("json_sink_source")
 def q_json_sink_source(spark, sf_dir):
     return sk.json_round_trip(spark, cp.extract_catalog(_pages(spark, sf_dir)), "courses-json")

@@ -667,6 +667,37 @@ def _multi_file_scan():
     return _extract_newswire()
 
 
+@oracle("tagged_record_order")
+def _tagged_record_order():
+    return ("SELECT row_number() OVER (ORDER BY page_id) - 1 AS doc_id, "
+            f"{_tag_text(_element('c', 'title'))} AS title FROM (SELECT page_id, {_strip_markup('html')} AS c FROM pages)")
+
+
+COURSES = (
+    "src AS (SELECT page_id, url, html, " + _strip_markup("html") + " AS c, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, "
+    "page_id // 16 AS part, regexp_extract(url, '/(\\d+)(?:[/?#]|$)', 1) AS num FROM pages), "
+    "cblocks AS (SELECT min(page_id) OVER (PARTITION BY host, part) AS page_id, "
+    "CAST(row_number() OVER (PARTITION BY host, part ORDER BY page_id) - 1 AS INTEGER) AS block_pos, "
+    "rpad(regexp_extract(html, '<html[^>]*\\blang=\"([^\"]*)\"', 1), 3, 'x') AS subject, "
+    "CASE WHEN length(num) < 4 THEN lpad(num, 4, '0') ELSE substr(num, 1, 4) END AS num, "
+    + S.collapse_ws("regexp_replace(lower(" + _tag_text(_element("c", "title") + " || ' (3 units)'") + "), '\\([^)]*\\)', '', 'g')") + " AS name, "
+    "CASE WHEN page_id % 5 <> 0 THEN " + _tag_text(_element(_element("c", "article"), "p")) + " END AS description FROM src), "
+    "chdr AS (SELECT page_id, block_pos, lower(subject) || chr(160) || num AS code, name, description FROM cblocks "
+    "WHERE regexp_full_match(num, '[0-9][1|2|3|4|9|0][0-9]{2}'))")
+
+
+@oracle("filter_course_header")
+def _filter_course_header():
+    return _with(COURSES) + "SELECT page_id, block_pos, code, name FROM chdr"
+
+
+@oracle("extract_course_blocks")
+def _extract_course_blocks():
+    return _with(COURSES) + (
+        "SELECT doc_id, page_id, block_pos, code, name, description FROM (SELECT *, row_number() OVER "
+        "(ORDER BY page_id, block_pos) - 1 AS doc_id FROM chdr) WHERE description IS NOT NULL")
+
+
 @oracle("extract_positional")
 def _extract_positional():
     b = f"list_transform({_elements(_strip_markup('html'), 'p')}, lambda x: {_tag_text('x')})"

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termite.functions import text as tx
-from termite.operators.index import dense_ids
+from termite.operators.index import dense_ids, ordinal_within
 
 # --- fixed values: the entities decoded in page text, '&amp;' last -----------
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
@@ -99,6 +99,49 @@ def extract_catalog(pages: DataFrame, lang: str = CATALOG_LANG) -> DataFrame:
     return filter_described(with_ids).select("doc_id", "page_id", "code", "name", "description")
 
 
+# --- fixed values: the header of a course block (subject, NBSP, number) ---------
+# The second digit tells the language of a course; "|" is a member of its class.
+COURSE_HEADER = "^([\\p{L}\\p{N}_]{3}\u00a0[0-9][1|2|3|4|9|0][0-9]{2})[\\s\u00a0](.*)"
+COURSE_BLOCK = "(?i)<div\\b[^>]*\\bclass=\"(?:[^\"]*\\s)?courseblock(?:\\s[^\"]*)?\"[^>]*>"
+COURSE_DESCRIPTION = "(?i)<p\\b[^>]*\\bclass=\"courseblockdesc noindent\"[^>]*>"
+
+
+def course_blocks(pages: DataFrame) -> DataFrame:
+    """S1 for pages that hold any number of course blocks: ``(page_id, block_pos,
+    code, name, description)``, one row a block, before filtering.
+
+    A block reaches from its opening tag to the next block's.  Its header is the
+    first ``<strong>``, lower-cased: code (NULL where it does not fit
+    ``COURSE_HEADER``) and name, without parenthesised parts.  Its description is
+    the paragraph marked as such; NULL when absent."""
+    src = strip_markup(F.col("html"))
+    parts = F.split(src, COURSE_BLOCK)
+    blocks = pages.select("page_id", F.posexplode(F.slice(parts, 2, F.size(parts))).alias("block_pos", "block"))
+    nbsp = F.regexp_replace(element(F.col("block"), "strong"), "(?i)&nbsp;|&#160;|&#xa0;", "\u00a0")
+    header = F.lower(decode_entities(F.regexp_replace(nbsp, "<[^>]*>", "")))
+    header = F.regexp_replace(header, "^[ \\t\\r\\n]+", "")
+    text = F.split("block", COURSE_DESCRIPTION, 2)
+    code = _nullify(F.regexp_extract(header, COURSE_HEADER, 1))
+    return blocks.select(
+        "page_id", "block_pos", code.alias("code"),
+        tx.collapse_whitespace(tx.strip_parenthesised(F.regexp_extract(header, COURSE_HEADER, 2))).alias("name"),
+        F.when(F.size(text) > 1, tag_text(F.regexp_replace(text[1], "(?is)</p\\s*>.*", ""))).alias("description"))
+
+
+def filter_course_header(blocks: DataFrame) -> DataFrame:
+    """blocks whose header fits the pattern."""
+    return blocks.where(F.col("code").isNotNull())
+
+
+def extract_course_blocks(pages: DataFrame) -> DataFrame:
+    """S1 + F1 + S5 + F2: ``(doc_id, page_id, block_pos, code, name, description)``.
+    Ids are dense in page and block order over the blocks with a fitting header; one
+    without a description is dropped, but its id is used up."""
+    kept = filter_course_header(course_blocks(pages)).withColumn("place", F.struct("page_id", "block_pos"))
+    with_ids = dense_ids(kept, "place", "doc_id")
+    return filter_described(with_ids).select("doc_id", "page_id", "block_pos", "code", "name", "description")
+
+
 # --- S2 / S4: tagged records ----------------------------------------------------
 
 def extract_records(files: DataFrame, record: str = "reuters", topics: str = "topics",
@@ -136,11 +179,26 @@ def read_text_files(spark: SparkSession, glob: str) -> DataFrame:
         F.input_file_name().alias("path"), "value")
 
 
-def read_page_files(spark: SparkSession, folder: str, glob: str, schema) -> DataFrame:
-    """S4 for page dumps: every JSON-lines file in ``folder`` whose name
-    matches ``glob``, one row per page, with the file it came from."""
-    return (spark.read.schema(schema).option("pathGlobFilter", glob).json(folder)
-            .withColumn("file_path", F.input_file_name()))
+def read_tagged_files(spark: SparkSession, glob: str, end: str) -> DataFrame:
+    """S4 + S2: the pieces of all files matching ``glob`` that the delimiter ``end``
+    (a closing tag) separates: ``(file, split_start, row, value)``.
+
+    The delimiter is the text source's line separator, so a large file is read by
+    many tasks and no file is held whole.  ``(file, split_start, row)`` orders the
+    pieces as they stand.  Bytes that are no UTF-8 are skipped, a replacement
+    character that stands in the text too."""
+    value = F.replace(F.make_valid_utf8("value"), F.lit("\ufffd"), F.lit(""))
+    return spark.read.option("lineSep", end).text(glob).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split_start"),
+        F.monotonically_increasing_id().alias("row"), value.alias("value"))
+
+
+def number_records(pieces: DataFrame, record: str) -> DataFrame:
+    """``(file, rec_pos, rec)``: the ``<record>`` elements of the pieces of
+    :func:`read_tagged_files`, numbered within their file."""
+    recs = pieces.select("file", "split_start", "row", F.posexplode(elements(F.col("value"), record)).alias("at", "rec"))
+    placed = ordinal_within(recs, "file", [F.col("split_start"), F.col("row"), F.col("at")], "rec_pos")
+    return placed.select("file", (F.col("rec_pos") - 1).alias("rec_pos"), "rec")
 
 
 # --- S3: positional zip -----------------------------------------------------------

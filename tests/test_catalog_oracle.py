@@ -22,7 +22,7 @@ def con():
 
 
 def test_every_survey_operator_is_registered():
-    assert len(QUERIES) == 85
+    assert len(QUERIES) == 88
     assert set(QUERIES) - set(ORACLE) == {"bigram_nested", "stem_vocabulary"}
 
 

@@ -95,3 +95,44 @@ def test_text_files_by_glob(spark, tmp_path):
     (tmp_path / "other.txt").write_text("<reuters><title>no</title></reuters>")
     got = cp.extract_records(cp.read_text_files(spark, f"{tmp_path}/part-*.sgm"))
     assert got.count() == 3 and {r.description for r in got.collect()} == {"body "}
+
+
+def block(header, description=None, cls="courseblock"):
+    text = "" if description is None else f'<p class="courseblockdesc noindent">{description}</p>'
+    return f'<div class="{cls}"><p class="courseblocktitle"><strong>{header}</strong></p>{text}</div>'
+
+
+def test_pages_with_any_number_of_course_blocks(spark):
+    many = (block("CSI&nbsp;2110 Data Structures (3 units)", "Trees &amp; <b>graphs</b>.") + block("CSI&#160;2510 Bases", "French.")
+            + block("csi&nbsp;3120 Languages") + block("CSI 4110 plain space", "no") + block("ABCD&nbsp;2110 long subject", "no")
+            + block("<em>SEG</em>&nbsp;2|10  Odd   digit (a) b", "<script>x</script> kept ", "courseblock last")
+            + block("CSI&nbsp;4900 Project", "") + '<div class="courseblocks"><strong>CSI&nbsp;2111 no block</strong></div>')
+    pages = spark.createDataFrame([
+        (7, "<html><p>no block</p></html>"), (3, block("MAT 1300 One", "Only.")), (5, f"<body>{many}</body>"), (9, None)],
+        "page_id long, html string")
+    headers = [tuple(r)[:4] for r in cp.filter_course_header(cp.course_blocks(pages)).orderBy("page_id", "block_pos").collect()]
+    assert headers == [(3, 0, "mat 1300", "one"), (5, 0, "csi 2110", "data structures"), (5, 2, "csi 3120", "languages"),
+                       (5, 5, "seg 2|10", "odd digit b"), (5, 6, "csi 4900", "project")]
+    got = [tuple(r) for r in cp.extract_course_blocks(pages).orderBy("doc_id").collect()]
+    # The block without a description (id 2) uses up its id; an empty one is a description.
+    assert got == [(0, 3, 0, "mat 1300", "one", "Only."), (1, 5, 0, "csi 2110", "data structures", "Trees & graphs ."),
+                   (3, 5, 5, "seg 2|10", "odd digit b", "kept"), (4, 5, 6, "csi 4900", "project", "")]
+
+
+def test_a_large_tagged_file_is_read_in_splits(spark, tmp_path):
+    body = "".join(f"<REUTERS ID={i}><TITLE>t{i}</TITLE>\n<BODY>{'x' * (i % 50)} café</BODY>\n</REUTERS>\n" for i in range(600))
+    (tmp_path / "a.sgm").write_bytes(b"<!DOCTYPE lewis>\n" + body.encode() + b"<REUTERS><TITLE>open</TITLE>")
+    (tmp_path / "b.sgm").write_bytes(b"<REUTERS><TITLE>bad \xff\xfe bytes</TITLE></REUTERS>\n<REUTERS>x<REUTERS>y</REUTERS>")
+    (tmp_path / "c.txt").write_bytes(b"<REUTERS>not read</REUTERS>")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        pieces = cp.read_tagged_files(spark, f"{tmp_path}/*.sgm", "</REUTERS>")
+        assert pieces.rdd.getNumPartitions() > 8
+        recs = cp.number_records(pieces, "reuters").orderBy("file", "rec_pos").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    a = [r for r in recs if r.file.endswith("a.sgm")]
+    assert [r.rec_pos for r in a] == list(range(601))
+    assert [r.rec.split("</TITLE>")[0] for r in a] == [f"<TITLE>t{i}" for i in range(600)] + ["<TITLE>open"]
+    assert "café" in a[0].rec
+    assert [(r.rec_pos, r.rec) for r in recs if r.file.endswith("b.sgm")] == [(0, "<TITLE>bad  bytes</TITLE>"), (1, "x"), (2, "y")]
