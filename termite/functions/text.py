@@ -72,8 +72,8 @@ def normalise(text: Column | str, stemmer: str | None = "s") -> Column:
     lower-case, delete punctuation, split into terms, optionally conflate with
     the S-stemmer (``stemmer='s'``), then drop stop words.  Stop words are
     tested after stemming, as in the original pipeline.  ``stemmer='porter'``
-    is not a column expression: use :func:`termite.functions.stemming.porter_stem_terms`
-    on the distinct vocabulary instead.
+    is not a column expression: :func:`termite.operators.conflation.term_arrays` applies
+    it over the distinct vocabulary instead.
     """
     toks = tokenize(strip_punctuation(fold_case(text)))
     if stemmer == "s":

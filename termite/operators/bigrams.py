@@ -6,9 +6,10 @@ term of a document followed by the first term of the next non-empty one).
 
 Pairs inside a document come from the term array of that row.  Pairs across
 document ends need each document's successor; instead of one global window
-(a single task), documents are bucketed by ``doc_id`` range: ``lead`` inside
-each bucket finds most successors, and a summary with one row per bucket
-(first and last term) links the buckets.
+(a single task), the documents' first and last terms are sorted by range of
+``doc_id``, whatever the ids look like: ``lead`` inside each range partition finds
+most successors, and a summary with one row per partition (its first and last
+term) links the partitions.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 
 from termite.functions import constants as K
 from termite.functions.text import normalise_for_bigrams
+from termite.operators.index import ordinal_within
+from termite.session import stored
 
-DOCS_PER_BUCKET = 1 << 20
+SUCCESSORS_A_PIECE = 1024
 
 
 def bigram_token_arrays(docs: DataFrame, text_col: str = "description",
@@ -29,11 +32,11 @@ def bigram_token_arrays(docs: DataFrame, text_col: str = "description",
         "doc_id", normalise_for_bigrams(F.col(text_col), stemmer).alias("toks"))
 
 
-def adjacent_pairs(arrays: DataFrame, within_document: bool = False,
-                   docs_per_bucket: int = DOCS_PER_BUCKET) -> DataFrame:
-    """``(doc_id, pos, w1, w2)``; (doc_id, pos) locates ``w1``."""
+def adjacent_pairs(arrays: DataFrame, within_document: bool = False, partitions: int | None = None) -> DataFrame:
+    """``(doc_id, pos, w1, w2)``; (doc_id, pos) locates ``w1``.  ``partitions``:
+    ranges of document ids, by default as many as Spark makes of their size."""
     if not within_document:
-        arrays = arrays.persist()  # read by three branches; normalise once
+        arrays = stored(arrays, "bigram-tokens")  # read twice; normalise once
     inner = arrays.where(F.size("toks") >= 2).select(
         "doc_id",
         F.posexplode(F.transform(
@@ -45,18 +48,18 @@ def adjacent_pairs(arrays: DataFrame, within_document: bool = False,
         return inner
     ends = arrays.where(F.size("toks") >= 1).select(
         "doc_id", (F.size("toks") - 1).alias("last_pos"),
-        F.element_at("toks", 1).alias("first"), F.element_at("toks", -1).alias("last"),
-        F.floor(F.col("doc_id") / docs_per_bucket).alias("bucket"))
-    w_in = Window.partitionBy("bucket").orderBy("doc_id")
-    in_bucket = ends.select("doc_id", "last_pos", "last", F.lead("first").over(w_in).alias("nxt"))
-    seam_inner = in_bucket.where(F.col("nxt").isNotNull()).select(
+        F.element_at("toks", 1).alias("first"), F.element_at("toks", -1).alias("last"))
+    ends = ends.repartitionByRange(*([partitions] if partitions else []), "doc_id")
+    ends = stored(ends.withColumn("part", F.spark_partition_id()), "document-ends")  # fixes the partitions' numbers
+    in_part = ends.select("doc_id", "last_pos", "last", F.lead("first").over(
+        Window.partitionBy("part").orderBy("doc_id")).alias("nxt"))
+    seam_inner = in_part.where(F.col("nxt").isNotNull()).select(
         "doc_id", F.col("last_pos").alias("pos"), F.col("last").alias("w1"), F.col("nxt").alias("w2"))
-    # one row per bucket: its last document's last term and its first document's first term
-    summary = ends.groupBy("bucket").agg(
+    summary = ends.groupBy("part").agg(
         F.max_by(F.struct("doc_id", "last_pos", "last"), "doc_id").alias("tail"),
         F.min_by("first", "doc_id").alias("head"))
-    w_b = Window.orderBy("bucket")  # one row per bucket: a small table
-    seam_outer = summary.select("tail", F.lead("head").over(w_b).alias("nxt")).where(
+    by_part = Window.orderBy("part")  # one row per partition: a small table
+    seam_outer = summary.select("tail", F.lead("head").over(by_part).alias("nxt")).where(
         F.col("nxt").isNotNull()).select(
         F.col("tail.doc_id").alias("doc_id"), F.col("tail.last_pos").alias("pos"),
         F.col("tail.last").alias("w1"), F.col("nxt").alias("w2"))
@@ -78,11 +81,21 @@ def sort_bigrams(counts: DataFrame) -> DataFrame:
     return counts.orderBy(F.col("cnt").desc(), "w1", "w2")
 
 
-def bigram_nested(counts: DataFrame) -> DataFrame:
-    """``(w1, successors MAP<w2, cnt>)`` over the *filtered* model, whose
-    successor lists are bounded by the kept bigrams of each ``w1``."""
-    return counts.groupBy("w1").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("w2", "cnt")))).alias("successors"))
+def bigram_nested(counts: DataFrame, size: int = SUCCESSORS_A_PIECE) -> DataFrame:
+    """``(w1, piece, successors ARRAY<STRUCT<w2, cnt>>)``, the successors of
+    each word by falling count, then word, in pieces of ``size``: a word with very
+    many successors is many rows, and no list outgrows a piece."""
+    placed = ordinal_within(counts, "w1", [F.col("cnt").desc(), F.col("w2")], "place")
+    pieces = placed.groupBy("w1", F.floor((F.col("place") - 1) / size).alias("piece")).agg(
+        F.array_sort(F.collect_list(F.struct("place", "w2", "cnt"))).alias("v"))
+    return pieces.select("w1", "piece", F.transform("v", lambda x: F.struct(
+        x["w2"].alias("w2"), x["cnt"].alias("cnt"))).alias("successors"))
+
+
+def successors_of(nested: DataFrame, size: int = SUCCESSORS_A_PIECE) -> DataFrame:
+    """The nested model as rows: ``(w1, place, w2, cnt)``, places from 1."""
+    rows = nested.select("w1", "piece", F.posexplode("successors").alias("at", "s"))
+    return rows.select("w1", (F.col("piece") * size + F.col("at") + 1).alias("place"), "s.w2", "s.cnt")
 
 
 def bigram_model(docs: DataFrame, text_col: str = "description",

@@ -3,8 +3,9 @@
 A Boolean query becomes rows of a small expression tree: leaves are operands,
 inner nodes ``AND`` (some children may be excluded, which is ``AND_NOT``) or
 ``OR``, each with any number of children, so the rows grow with the length of the
-query only.  Evaluation joins the postings with the leaves, then folds one level
-of all queries' trees at a time by a join with the tree and one aggregation.
+query only.  Evaluation decides what one document's terms decide in a row of that
+document, led by the rarest term, then folds one level of all queries' trees at a
+time by a join with the tree and one aggregation.
 
 Query language (as in the original search form): operands and the operators
 ``AND``, ``OR``, ``AND_NOT`` (any case) and parentheses.  The three operators have
@@ -20,11 +21,14 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termite.functions.text import normalise
+from termite.operators.conflation import Conflation, term_arrays
+from termite.plans.sizing import broadcast_if_small
+from termite.session import stored
 
 OPERATORS = ("AND", "OR", "AND_NOT")
 
@@ -134,15 +138,20 @@ def rejected_queries(nodes: DataFrame) -> DataFrame:
     return nodes.where("status <> 'ok'").select("query_id", "status")
 
 
-def operand_terms(nodes: DataFrame, stemmer: str | None = "s", vocab: DataFrame | None = None) -> DataFrame:
+def operand_terms(nodes: DataFrame, stemmer: str | None | Conflation = "s", vocab: DataFrame | None = None) -> DataFrame:
     """``(query_id, node, pos, term, corrected)`` of the leaves.  An operand that
     normalises to several terms needs all of them; one that normalises to none (a
     stop word) keeps its lower-case form."""
     from termite.operators.spelling import correct_query_terms
 
-    terms = normalise(F.col("raw_term"), stemmer)
-    leaves = nodes.where("kind = 'TERM'").select("query_id", "node", F.posexplode(
-        F.when(F.size(terms) > 0, terms).otherwise(F.array(F.lower("raw_term")))).alias("pos", "term"))
+    leaves = nodes.where("kind = 'TERM'").select("query_id", "node", "raw_term")
+    if isinstance(stemmer, Conflation) or stemmer == "porter":
+        distinct = leaves.select("raw_term").distinct().withColumn("text", F.col("raw_term"))
+        leaves = leaves.join(term_arrays(distinct, "raw_term", "text", stemmer), "raw_term")
+    else:
+        leaves = leaves.withColumn("terms", normalise(F.col("raw_term"), stemmer))
+    leaves = leaves.select("query_id", "node", F.posexplode(
+        F.when(F.size("terms") > 0, F.col("terms")).otherwise(F.array(F.lower("raw_term")))).alias("pos", "term"))
     if vocab is None:
         return leaves.withColumn("corrected", F.col("term"))
     distinct = leaves.select(F.lit(0).alias("query_id"), F.lit(0).alias("pos"), "term").distinct()
@@ -161,19 +170,50 @@ def suggestions(terms: DataFrame) -> DataFrame:
         "query_id", F.array_join(F.transform("t", lambda x: x["corrected"]), " ").alias("suggestion"))
 
 
-def evaluate(post: DataFrame, nodes: DataFrame, terms: DataFrame) -> DataFrame:
+def _units(tree: DataFrame, terms: DataFrame, frequency: DataFrame) -> DataFrame:
+    """``(query_id, node, lead, needed, barred)``: the parts of the trees that one
+    document's terms decide: AND nodes over operands only, and operands elsewhere.
+    ``needed``: the terms that a document must hold, ``lead`` the rarest of them;
+    ``barred``: sets of terms of which it must not hold one whole."""
+    leaves = terms.groupBy("query_id", "node").agg(F.collect_set("corrected").alias("terms"))
+    leaves = tree.where("kind = 'TERM'").select("query_id", "node", "parent", "excluded", "parent_kind").join(leaves, ["query_id", "node"])
+    inner = tree.where("parent >= 0").groupBy("query_id", "parent").agg(F.max(F.col("kind") != "TERM").alias("mixed"))
+    flat = inner.where("not mixed").select("query_id", "parent")
+    flat = tree.where("kind = 'AND'").select("query_id", F.col("node").alias("parent")).join(flat, ["query_id", "parent"])
+    whole = leaves.join(flat.withColumn("flat", F.lit(True)), ["query_id", "parent"], "left")
+    ands = whole.where("flat").groupBy("query_id", F.col("parent").alias("node")).agg(
+        F.array_distinct(F.flatten(F.collect_list(F.when(~F.col("excluded"), F.col("terms"))))).alias("needed"),
+        F.collect_list(F.when(F.col("excluded"), F.col("terms"))).alias("barred"))
+    single = whole.where("flat is null").select("query_id", "node", F.col("terms").alias("needed"),
+                                                F.array().cast("array<array<string>>").alias("barred"))
+    units = stored(ands.unionByName(single), "query-units")
+    rarest = units.select("query_id", "node", F.explode("needed").alias("term")).join(frequency, "term").groupBy("query_id", "node").agg(
+        F.min(F.struct("df", "term")).alias("r"), F.count(F.lit(1)).alias("known"))
+    # An operand that the corpus lacks answers nothing.
+    return units.join(rarest, ["query_id", "node"]).where(F.col("known") == F.size("needed")).select(
+        "query_id", "node", F.col("r.term").alias("lead"), "needed", "barred")
+
+
+def evaluate(post: DataFrame, nodes: DataFrame, terms: DataFrame, frequency: DataFrame | None = None) -> DataFrame:
     """``(query_id, doc_id)`` (distinct, unordered) of parsed queries and their
-    operand terms.  Levels are folded from the leaves up; only the largest height
-    comes to the driver."""
-    tree = nodes.where("status = 'ok'")
+    operand terms; ``frequency(term, df)`` is counted from the postings if None.
+
+    The wanted terms of each document make one row.  A unit (see :func:`_units`)
+    meets the documents that hold its rarest term and is decided in that row; the
+    levels above are folded from there up.  With postings bucketed by document and
+    the queries' tables small enough to be broadcast, no level needs an exchange.
+    Only the largest height comes to the driver."""
+    tree = stored(nodes.where("status = 'ok'"), "query-trees")
     top = tree.agg(F.max("height")).first()[0] or 0
-    up = tree.select("query_id", "node", "parent", "excluded", "parent_height", "parent_kind", "parent_needed")
-    wanted = terms.select("query_id", "node", F.col("corrected").alias("term")).distinct()
-    n_terms = wanted.groupBy("query_id", "node").agg(F.count(F.lit(1)).alias("n"))
-    hits = post.select("term", "doc_id").join(wanted, "term").groupBy("query_id", "node", "doc_id").agg(
-        F.count(F.lit(1)).alias("found"))
-    done = hits.join(n_terms, ["query_id", "node"]).where("found = n").select("query_id", "node", "doc_id")
-    rows = done.join(up, ["query_id", "node"])
+    wanted = broadcast_if_small(terms.select(F.col("corrected").alias("term")).distinct())
+    if frequency is None:
+        frequency = post.select("term", "doc_id").join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    units = broadcast_if_small(_units(tree, terms, frequency.select("term", "df")))
+    up = broadcast_if_small(tree.select("query_id", "node", "parent", "excluded", "parent_height", "parent_kind", "parent_needed"))
+    held = post.select("term", "doc_id").join(wanted, "term").groupBy("doc_id").agg(F.collect_set("term").alias("held"))
+    met = held.select("doc_id", "held", F.explode("held").alias("lead")).join(units, "lead")
+    fits = (F.size(F.array_except("needed", "held")) == 0) & ~F.exists("barred", lambda x: F.size(F.array_except(x, "held")) == 0)
+    rows = met.where(fits).select("query_id", "node", "doc_id").join(up, ["query_id", "node"])
     for height in range(1, top + 1):
         folded = rows.where(F.col("parent_height") == height).groupBy(
             "query_id", "parent", "doc_id", "parent_kind", "parent_needed").agg(
@@ -186,10 +226,29 @@ def evaluate(post: DataFrame, nodes: DataFrame, terms: DataFrame) -> DataFrame:
     return rows.where("parent < 0").select("query_id", "doc_id")
 
 
-def retrieve(post: DataFrame, queries: DataFrame, stemmer: str | None = "s", vocab: DataFrame | None = None) -> DataFrame:
-    """B6 for ``(query_id, query)``."""
-    nodes = parse_queries(queries)
-    return evaluate(post, nodes, operand_terms(nodes, stemmer, vocab))
+def retrieve(post: DataFrame, queries: DataFrame, stemmer: str | None | Conflation = "s", vocab: DataFrame | None = None) -> DataFrame:
+    """B6 for ``(query_id, query)``; with ``vocab(term, first_doc, first_pos)``
+    operands that the corpus lacks are corrected, and its ``df`` is used if it has
+    that column."""
+    nodes = stored(parse_queries(queries), "query-nodes")
+    frequency = vocab if vocab is not None and "df" in vocab.columns else None
+    return evaluate(post, nodes, stored(operand_terms(nodes, stemmer, vocab), "query-operands"), frequency)
+
+
+def feedback(queries: DataFrame, vocab: DataFrame, stemmer: str | None | Conflation = "s") -> DataFrame:
+    """``(query_id, status, suggestion)`` of every query: "ok" or why it is malformed,
+    and the corrected operands where one was corrected ("did you mean")."""
+    nodes = stored(parse_queries(queries), "query-nodes")
+    status = nodes.groupBy("query_id").agg(F.first("status").alias("status"))
+    meant = suggestions(operand_terms(nodes, stemmer, vocab))
+    return status.join(meant, "query_id", "left").select("query_id", "status", "suggestion")
+
+
+def first_documents(hits: DataFrame, k: int) -> DataFrame:
+    """``(query_id, rank, doc_id)``, the first k documents of each query by id; k
+    rows a query leave each partition of the hits."""
+    w = Window.partitionBy("query_id").orderBy("doc_id")
+    return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id")
 
 
 # --- set operators on (query_id, doc_id) results --------------------------------

@@ -15,18 +15,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termite.functions import constants as K
-from termite.functions.text import normalise
+from termite.operators.conflation import Conflation, term_arrays
 from termite.session import cut_lineage
 
 
-def token_table(docs: DataFrame, text_col: str = "text", stemmer: str | None = "s",
+def token_table(docs: DataFrame, text_col: str = "text", stemmer: str | None | Conflation = "s",
                 id_col: str = "doc_id") -> DataFrame:
     """F5 + P13: documents -> ``(doc_id, pos, term)``, one row per kept token,
     ``pos`` = position among the kept tokens of the document."""
-    return docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.posexplode(normalise(F.col(text_col), stemmer)).alias("pos", "term"),
-    )
+    return term_arrays(docs, id_col, text_col, stemmer).select(
+        F.col(id_col).alias("doc_id"), F.posexplode("terms").alias("pos", "term"))
 
 
 def postings(tokens: DataFrame) -> DataFrame:
@@ -38,10 +36,10 @@ def postings(tokens: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("tf"), F.min("pos").alias("first_pos"))
 
 
-def vocabulary(post: DataFrame) -> DataFrame:
+def vocabulary(post: DataFrame, key: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """A1/A2: ``(term, cf, df, first_doc, first_pos)``; ``first_*`` is the first
-    occurrence in corpus order ``(doc_id, pos)``."""
-    first = F.min(F.struct("doc_id", "first_pos"))
+    occurrence in corpus order, that of the documents' ``key`` and ``pos``."""
+    first = F.min(F.struct(*key, "first_pos"))
     return post.groupBy("term").agg(
         F.sum("tf").alias("cf"),
         F.count(F.lit(1)).alias("df"),
@@ -154,7 +152,7 @@ class Index:
     vocab: DataFrame  # with idf
 
 
-def build_index(docs: DataFrame, text_col: str = "text", stemmer: str | None = "s") -> Index:
+def build_index(docs: DataFrame, text_col: str = "text", stemmer: str | None | Conflation = "s") -> Index:
     toks = token_table(docs, text_col, stemmer)
     post = postings(toks)
     vocab = with_collection_idf(vocabulary(post))

@@ -10,16 +10,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termite.functions import constants as K
-from termite.functions.text import normalise
+from termite.operators.conflation import Conflation, term_arrays
 from termite.operators.index import ordinal_within
 from termite.plans.sizing import broadcast_if_small
 
 
-def query_tokens(queries: DataFrame, stemmer: str | None = "s") -> DataFrame:
+def query_tokens(queries: DataFrame, stemmer: str | None | Conflation = "s") -> DataFrame:
     """P13 on query texts: ``(query_id, pos, term)``.  Punctuation such as
     ``?`` and ``,`` is removed like in documents (ledger D17)."""
-    return queries.select(
-        "query_id", F.posexplode(normalise(F.col("text"), stemmer)).alias("pos", "term"))
+    return term_arrays(queries, "query_id", "text", stemmer).select("query_id", F.posexplode("terms").alias("pos", "term"))
 
 
 def query_term_counts(qtokens: DataFrame) -> DataFrame:

@@ -45,8 +45,9 @@ def classification_sets(news: DataFrame, stemmer: str | None = "s") -> DataFrame
     return train.unionByName(pred)
 
 
-def union_corpora(courses: DataFrame, news: DataFrame) -> DataFrame:
-    """Courses followed by news, one table with a ``corpus`` column."""
-    c = courses.select(F.lit("course").alias("corpus"), "doc_id", "name", "description")
-    n = news.select(F.lit("news").alias("corpus"), "doc_id", "name", "description")
+def union_corpora(courses: DataFrame, news: DataFrame, *more: str) -> DataFrame:
+    """Courses followed by news, one table with a ``corpus`` column, which makes
+    ``doc_id`` unique again (D10), and the ``more`` columns of both."""
+    c = courses.select(F.lit("course").alias("corpus"), "doc_id", "name", "description", *more)
+    n = news.select(F.lit("news").alias("corpus"), "doc_id", "name", "description", *more)
     return c.unionByName(n)

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termite.operators import conflation as cf
 from termite.operators import index as ix
 from termite.functions import constants as K
 from termite.operators import ranking as rk
@@ -321,13 +322,15 @@ def q_boolean_retrieval(spark, sf_dir):
 @register("bool_and")
 def q_bool_and(spark, sf_dir):
     """B1: documents holding every term of a benchmark item."""
-    return bl.retrieve(corpus_index(spark, sf_dir).postings, item_query(spark, sf_dir, "AND"))
+    index = stored_index(spark, sf_dir)
+    return bl.retrieve(index.postings, item_query(spark, sf_dir, "AND"))
 
 
 @register("bool_or")
 def q_bool_or(spark, sf_dir):
     """B2: documents holding any term of a benchmark item."""
-    return bl.retrieve(corpus_index(spark, sf_dir).postings, item_query(spark, sf_dir, "OR"))
+    index = stored_index(spark, sf_dir)
+    return bl.retrieve(index.postings, item_query(spark, sf_dir, "OR"))
 
 
 @register("bool_and_not")
@@ -340,15 +343,20 @@ def q_bool_and_not(spark, sf_dir):
 @register("boolean_search")
 def q_boolean_search(spark, sf_dir):
     """B6 + fetch (J1); first 5 documents by doc_id with their name."""
-    from pyspark.sql import Window
-
-    hits = q_boolean_retrieval(spark, sf_dir)
-    w = Window.partitionBy("query_id").orderBy("doc_id")
-    top = hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 5)
+    top = bl.first_documents(q_boolean_retrieval(spark, sf_dir), 5)
     return top.join(news(spark, sf_dir).select("doc_id", "name"), "doc_id").select(
         "query_id", "rank", "doc_id", "name")
 
 
+@register("boolean_feedback")
+def q_boolean_feedback(spark, sf_dir):
+    """C5 for Boolean queries: status and "did you mean" of every benchmark query;
+    those of every seventh item have a parenthesis too many."""
+    q = benchmark_boolean_queries(spark, sf_dir)
+    q = q.select("query_id", F.when(F.col("query_id") % 7 == 0, F.concat("query", F.lit(" )"))).otherwise(F.col("query")).alias("query"))
+    return bl.feedback(q, stored_index(spark, sf_dir).vocab)
+
+
 # --- bigram model (W4, A12, A13, F8, W8, C8, S11) -------------------------------------
 
 from termite.operators import bigrams as bg  # noqa: E402
@@ -385,7 +393,9 @@ def q_bigram_model(spark, sf_dir):
 
 @register("bigram_nested")
 def q_bigram_nested(spark, sf_dir):
-    return bg.bigram_nested(q_bigram_model(spark, sf_dir))
+    """The successors of every word, nested in pieces and listed again."""
+    counts = bg.filter_bigrams(q_bigram_counts(spark, sf_dir))
+    return bg.successors_of(bg.bigram_nested(counts, 8), 8)
 
 
 # --- thesaurus (A9, J6, W3, W5, F9, J4, C4, C7) ----------------------------------------
@@ -640,6 +650,14 @@ def q_topic_restricted_search(spark, sf_dir):
     return rk.rank_documents(rk.vsm_scores(post, idx.vocab, qt))
 
 
+@register("topic_search")
+def q_topic_search(spark, sf_dir):
+    """C10 as the whole of C1 (expansion, correction, ranking) among the documents
+    of one topic."""
+    allowed = stored(tp.topic_restriction(_topic_docs(spark, sf_dir), TOPIC_OF_INTEREST), "topic-documents")
+    return vsm_search(spark, sf_dir, query_table(spark, sf_dir, "benchmark"), allowed=allowed)
+
+
 # --- sources and sinks (S1-S11, F1, F2, B4) ------------------------------------------
 
 from termite.sources import corpus as cp  # noqa: E402
@@ -807,6 +825,34 @@ def q_union_corpora(spark, sf_dir):
     return tp.union_corpora(cp.extract_catalog(_pages(spark, sf_dir)), news(spark, sf_dir))
 
 
+def _corpora(spark, sf_dir) -> DataFrame:
+    """Courses and news with the text that is indexed: name and description, and the
+    topics of news (P1)."""
+    courses = cp.extract_catalog(_pages(spark, sf_dir)).withColumn("topics", F.lit(None).cast("array<string>"))
+    both = tp.union_corpora(courses, news(spark, sf_dir), "topics")
+    return both.select("corpus", "doc_id", "name", tx.concat_fields("name", "description", F.array_join("topics", " ")).alias("text"))
+
+
+def _corpora_search(spark, sf_dir, corpus=None) -> DataFrame:
+    docs = stored(_corpora(spark, sf_dir), "corpora")
+    index = si.write_index(docs, corpus_col="corpus")
+    top = si.search(index, benchmark_terms(spark, sf_dir), corpus=corpus)
+    return top.join(docs.select("corpus", "doc_id", "name"), ["corpus", "doc_id"]).select(
+        "query_id", "rank", "corpus", "doc_id", "name", "score")
+
+
+@register("corpora_search")
+def q_corpora_search(spark, sf_dir):
+    """B4 + J3 + J1: one index over courses and news, searched as a whole."""
+    return _corpora_search(spark, sf_dir)
+
+
+@register("corpora_search_courses")
+def q_corpora_search_courses(spark, sf_dir):
+    """B4 + J3 + J1: the same index, searched in the courses only."""
+    return _corpora_search(spark, sf_dir, "course")
+
+
 # --- lemmas and stems (P10, P11) -------------------------------------------------------
 
 from termite.functions import stemming as stm  # noqa: E402
@@ -830,6 +876,38 @@ def q_lemma_lookup(spark, sf_dir):
     return ix.term_frequency(mapped)
 
 
+def corpus_lemmas(spark, sf_dir) -> DataFrame:
+    terms = ix.token_table(_docs(spark, sf_dir), "text", None).select("term").distinct()
+    return stored(corpus_plural_lemmas(stored(terms, "surface-terms")), "lemmas")
+
+
+@register("lemmatised_documents")
+def q_lemmatised_documents(spark, sf_dir):
+    """P13 as the chain lemma -> stop words over the vocabulary (the stem step of
+    the same chain has no SQL)."""
+    how = cf.Conflation(corpus_lemmas(spark, sf_dir), porter=False)
+    t = cf.term_arrays(_docs(spark, sf_dir), "doc_id", "text", how)
+    return t.select("doc_id", F.array_join("terms", " ").alias("tokens"), F.size("terms").alias("n_tokens"))
+
+
+@register("lemma_search")
+def q_lemma_search(spark, sf_dir):
+    """J3 over an index of lemmas, with queries conflated alike."""
+    how = cf.Conflation(corpus_lemmas(spark, sf_dir), porter=False)
+    index = si.write_index(_docs(spark, sf_dir), "text", how)
+    qtok = rk.query_tokens(query_table(spark, sf_dir, "benchmark"), how)
+    return si.search(index, rk.query_term_counts(qtok))
+
+
+@register("porter_search")
+def q_porter_search(spark, sf_dir):
+    """J3 over an index of lemmas and Porter stems, as the original conflates."""
+    how = cf.Conflation(corpus_lemmas(spark, sf_dir))
+    index = si.write_index(_docs(spark, sf_dir), "text", how)
+    qtok = rk.query_tokens(query_table(spark, sf_dir, "benchmark"), how)
+    return si.search(index, rk.query_term_counts(qtok))
+
+
 @register("stem_vocabulary")
 def q_stem_vocabulary(spark, sf_dir):
     """Porter stems of the distinct unstemmed vocabulary (Arrow UDF)."""

@@ -316,6 +316,20 @@ def _boolean_search():
             "FROM r) t JOIN news n ON t.doc_id = n.doc_id WHERE t.rank <= 5")
 
 
+@oracle("boolean_feedback")
+def _boolean_feedback():
+    words = ("words AS (SELECT b.query_id, b.clause_id, b.pos, coalesce(f.nearest, b.term) AS word, f.nearest IS NOT NULL AS changed "
+             "FROM bplace b LEFT JOIN fix f ON b.term = f.term)")
+    place = SENT_CLAUSES.replace(
+        "typed AS (SELECT query_id, clause_id, unnest(", "typed AS (SELECT query_id, clause_id, generate_subscripts(ts, 1) AS pos, "
+        "unnest(ts) AS t FROM (SELECT query_id, clause_id, ").replace(" AS t FROM sent)", " AS ts FROM sent))").replace(
+        "bterm AS (SELECT query_id, clause_id,", "bplace AS (SELECT query_id, clause_id, pos,").replace("END)) AS ts", "END) AS ts")
+    return _with(IDX, place, "bterm AS (SELECT * FROM bplace)", _fixes("bterm"), words) + (
+        "SELECT i.item_id AS query_id, CASE WHEN i.item_id % 7 = 0 THEN 'unbalanced )' ELSE 'ok' END AS status, "
+        "CASE WHEN i.item_id % 7 <> 0 AND s.changed THEN s.t END AS suggestion FROM benchmark i LEFT JOIN (SELECT query_id, "
+        "string_agg(word, ' ' ORDER BY clause_id, pos) AS t, bool_or(changed) AS changed FROM words GROUP BY 1) s ON s.query_id = i.item_id")
+
+
 BIGRAM_PAIRS = (
     f"{S.news_ctes()}, bt AS (SELECT doc_id, unnest(t) AS term, generate_subscripts(t, 1) - 1 AS pos "
     f"FROM (SELECT doc_id, {S.normalise_for_bigrams('description')} AS t FROM news "
@@ -350,6 +364,13 @@ def _bigram_model():
     return _filter_bigrams() + " ORDER BY cnt DESC, w1, w2"
 
 
+@oracle("bigram_nested")
+def _bigram_nested():
+    return _with(BIGRAM_PAIRS) + (
+        "SELECT w1, row_number() OVER (PARTITION BY w1 ORDER BY cnt DESC, w2) AS place, w2, cnt "
+        f"FROM bcounts WHERE cnt >= {K.BIGRAM_MIN_COUNT}")
+
+
 THES_BODY = (
     f"top AS (SELECT term FROM tokens GROUP BY term HAVING count(*) > {K.TOP_TERM_MIN_CF}), "
     "dt AS (SELECT DISTINCT t.doc_id, t.term FROM tokens t JOIN top ON t.term = top.term), "
@@ -762,6 +783,67 @@ def _lemma_lookup():
         "(SELECT DISTINCT term FROM tokens)) l ON t.term = l.term GROUP BY 1")
 
 
+def _corpora_search(where: str = "") -> str:
+    docs = ("corpora AS (SELECT 'course' AS corpus, doc_id, name, concat_ws(' ', name, description) AS text FROM courses UNION ALL "
+            "SELECT 'news', doc_id, name, concat_ws(' ', name, description, array_to_string(topics, ' ')) FROM news)")
+    rest = IDX[IDX.index("postings AS ("):].replace("min({'doc_id': doc_id,", "min({'doc_id': doc_id.doc_id,")
+    return _with(
+        BLOCKS, S.news_ctes(), docs, S.tokens_cte("corpora", "{'corpus': corpus, 'doc_id': doc_id}"), rest, QTERMS,
+        _score_ctes(), f"inside AS (SELECT * FROM scores {where})", f"best AS ({_ranked('inside')})") + (
+        "SELECT query_id, rank, c.corpus, c.doc_id, c.name, score FROM best b JOIN corpora c "
+        "ON c.corpus = b.doc_id.corpus AND c.doc_id = b.doc_id.doc_id")
+
+
+@oracle("corpora_search")
+def _corpora_search_all():
+    return _corpora_search()
+
+
+@oracle("corpora_search_courses")
+def _corpora_search_courses():
+    return _corpora_search("WHERE doc_id.corpus = 'course'")
+
+
+@oracle("topic_search")
+def _topic_search():
+    scores = _score_ctes().replace("GROUP BY w.query_id, p.doc_id",
+                                   "WHERE p.doc_id IN (SELECT doc_id FROM tdocs WHERE topic = 'en') GROUP BY w.query_id, p.doc_id")
+    return _with(
+        KNN, IDX, THES_BODY, QTOK, EXPANDED, _fixes("qtok"),
+        "qterms AS (SELECT e.query_id, coalesce(f.nearest, e.term) AS term, count(*) AS qtf "
+        "FROM expanded e LEFT JOIN fix f ON e.term = f.term GROUP BY 1, 2)", scores) + _ranked("scores")
+
+
+_RAW_WORDS = S.tokenize(S.strip_punct("lower(text)"))
+LEMMAS = (
+    S.tokens_cte(stemmer=None, name="plain") + ", surface AS (SELECT DISTINCT term FROM plain), "
+    "lemmas AS (SELECT term, substr(term, 1, length(term) - 1) AS lemma FROM surface WHERE suffix(term, 's') AND length(term) > 2 "
+    "AND substr(term, 1, length(term) - 1) IN (SELECT term FROM surface))")
+
+
+def _lemmatised(name: str, source: str, id_expr: str) -> str:
+    """``name(doc_id, pos, term)``: tokens after lemma and stop words."""
+    return (f"{name} AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY place) - 1 AS pos, term FROM ("
+            f"SELECT w.doc_id, w.place, coalesce(l.lemma, w.word) AS term FROM (SELECT {id_expr} AS doc_id, unnest(ws) AS word, "
+            f"generate_subscripts(ws, 1) AS place FROM (SELECT *, {_RAW_WORDS} AS ws FROM {source})) w "
+            f"LEFT JOIN lemmas l ON l.term = w.word) WHERE length(term) >= 2 AND NOT list_contains({S.stop_list()}, term))")
+
+
+@oracle("lemmatised_documents")
+def _lemmatised_documents():
+    return _with(LEMMAS, _lemmatised("lt", "documents", "doc_id")) + (
+        "SELECT d.doc_id, coalesce(tokens, '') AS tokens, CAST(coalesce(n, 0) AS INTEGER) AS n_tokens FROM documents d LEFT JOIN "
+        "(SELECT doc_id, string_agg(term, ' ' ORDER BY pos) AS tokens, count(*) AS n FROM lt GROUP BY 1) t ON t.doc_id = d.doc_id")
+
+
+@oracle("lemma_search")
+def _lemma_search():
+    rest = IDX[IDX.index("postings AS ("):]
+    return _with(LEMMAS, _lemmatised("tokens", "documents", "doc_id"), rest, _lemmatised("qtok", "benchmark", "item_id"),
+                 "qterms AS (SELECT doc_id AS query_id, term, count(*) AS qtf FROM qtok GROUP BY 1, 2)",
+                 _score_ctes()) + _ranked("scores")
+
+
 @oracle("rank_documents")
 def _rank_documents():
     return (f"WITH {S.index_ctes()}, {QTERMS}, {_score_ctes()} "

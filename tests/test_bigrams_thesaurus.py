@@ -9,17 +9,18 @@ from termite.operators import thesaurus as th
 
 
 def test_adjacent_pairs_cross_documents_and_buckets(spark):
-    # documents of 0, 1 and 2+ tokens, spread over several id buckets
-    rows = [(0, ["a", "b"]), (3, []), (4, ["c"]), (9, ["d", "e", "f"]), (10, ["g"]), (25, [])]
+    # documents of 0, 1 and 2+ tokens, near and far ids, over several ranges
+    rows = [(0, ["a", "b"]), (3, []), (4, ["c"]), (9, ["d", "e", "f"]), (10, ["g"]), (25, []),
+            (-(1 << 60), ["h"]), (1 << 61, ["i", "j"]), ((1 << 61) + 1, ["k"])]
     arrays = spark.createDataFrame(rows, "doc_id long, toks array<string>")
     stream = [t for _, toks in sorted(rows) for t in toks]
     want = Counter(zip(stream, stream[1:]))
-    for per_bucket in (1, 2, 4, 1 << 20):
-        pairs = bg.adjacent_pairs(arrays, docs_per_bucket=per_bucket)
+    for partitions in (1, 2, 4, 7, None):
+        pairs = bg.adjacent_pairs(arrays, partitions=partitions)
         got = Counter((r.w1, r.w2) for r in pairs.collect())
-        assert got == want, per_bucket
+        assert got == want, partitions
     inner = bg.adjacent_pairs(arrays, within_document=True)
-    assert Counter((r.w1, r.w2) for r in inner.collect()) == Counter([("a", "b"), ("d", "e"), ("e", "f")])
+    assert Counter((r.w1, r.w2) for r in inner.collect()) == Counter([("a", "b"), ("d", "e"), ("e", "f"), ("i", "j")])
 
 
 def test_similarity_example(spark):
@@ -75,3 +76,37 @@ def test_best_related_excludes_self_on_ties(spark):
         "term string, related string, sim double")
     got = {r.term: r.related for r in th.top_related(thes, 1).collect()}
     assert got == {"a": "b", "b": "a"}
+
+
+def test_hashed_ids_give_the_pairs_of_their_order(spark):
+    """One row a partition is all that the window over all rows sees."""
+    rng = random.Random(6)
+    ids = sorted(rng.getrandbits(63) - (1 << 62) for _ in range(300))
+    rows = [(i, [rng.choice("abcdef") for _ in range(rng.randrange(4))]) for i in ids]
+    stream = [t for _, toks in rows for t in toks]
+    arrays = spark.createDataFrame(rows, "doc_id long, toks array<string>").repartition(5)
+    pairs = bg.adjacent_pairs(arrays, partitions=6)
+    assert Counter((r.w1, r.w2) for r in pairs.collect()) == Counter(zip(stream, stream[1:]))
+    sizes = []
+    real = bg.stored
+    bg.stored = lambda df, name: sizes.append((name, real(df, name))) or sizes[-1][1]
+    try:
+        bg.adjacent_pairs(arrays, partitions=6)
+    finally:
+        bg.stored = real
+    assert dict(sizes)["document-ends"].select("part").distinct().count() == 6
+
+
+def test_nested_successors_come_in_pieces(spark):
+    rng = random.Random(4)
+    counts = [(a, f"w{i:03d}", rng.randrange(1, 9)) for a, n in (("the", 50), ("of", 10), ("x", 1)) for i in range(n)]
+    df = spark.createDataFrame(counts, "w1 string, w2 string, cnt long")
+    nested = bg.bigram_nested(df, 7)
+    assert {(r.w1, r.piece): len(r.successors) for r in nested.collect()} == {
+        **{("the", i): 7 for i in range(7)}, ("the", 7): 1, ("of", 0): 7, ("of", 1): 3, ("x", 0): 1}
+    got = [tuple(r) for r in bg.successors_of(nested, 7).orderBy("w1", "place").collect()]
+    want = []
+    for a in ("of", "the", "x"):
+        mine = sorted(((w, c) for x, w, c in counts if x == a), key=lambda x: (-x[1], x[0]))
+        want += [(a, i, w, c) for i, (w, c) in enumerate(mine, 1)]
+    assert got == want

@@ -103,3 +103,31 @@ def test_set_operators(spark):
 def test_unbalanced_parenthesis_is_an_error():
     with pytest.raises(ValueError):
         bl.read_query("( a AND b")
+
+
+def test_random_trees_over_documents(spark):
+    """Operands of one or more terms, unknown ones, exclusions, nested groups."""
+    rng = random.Random(12)
+    vocab = ["aa", "bb", "cc", "dd", "ee", "ff"]
+    docs = {i: {t for t in vocab[:5] if rng.random() < 0.5} for i in range(25)}
+    post = spark.createDataFrame([(t, d, 1) for d, ts in docs.items() for t in ts], "term string, doc_id long, tf long")
+    asked = [_random_query(rng, vocab)[0] for _ in range(60)] + ["aa AND_NOT bb AND_NOT cc", "ff", "aa AND ff", "aa OR ff",
+                                                                  "aa.bb AND cc", "aa AND_NOT (bb OR cc)", "(", "aa aa AND aa"]
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id long, query string")
+    got = {(r.query_id, r.doc_id) for r in bl.retrieve(post, queries, None).collect()}
+    want = set()
+    for i, q in enumerate(asked):
+        try:
+            tree = bl.read_query(q.replace("aa.bb", "aabb"))  # punctuation inside a term is deleted
+        except ValueError:
+            continue
+        want |= {(i, d) for d in _eval_tree(tree, docs)}
+    assert got == want
+
+
+def test_feedback_tells_status_and_correction(spark):
+    vocab = spark.createDataFrame([("data", 1, 0, 0), ("structure", 1, 0, 1)], "term string, df long, first_doc long, first_pos long")
+    queries = spark.createDataFrame([(1, "data AND strucure"), (2, "data OR structure"), (3, "data )"), (4, None)],
+                                    "query_id long, query string")
+    got = {tuple(r) for r in bl.feedback(queries, vocab, None).collect()}
+    assert got == {(1, "ok", "data structure"), (2, "ok", None), (3, "unbalanced )", None), (4, "no operand", None)}

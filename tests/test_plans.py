@@ -14,8 +14,20 @@ def test_ranked_search_broadcasts_query_terms_and_prunes_columns(spark):
     p = plan(C.REGISTRY["vsm_score"](spark, SF))
     assert "BroadcastHashJoin" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-    # documents scan reads only the two columns the index needs
-    assert "ReadSchema: struct<doc_id:bigint,text:string>" in p
+    # the search reads the stored postings, four columns of them, and no text
+    assert "ReadSchema: struct<term:string,doc_id:bigint,tf:bigint,size_class:int>" in p and "text" not in p
+
+
+def test_index_reads_two_columns_of_the_documents(spark):
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan(C.REGISTRY["explode_tokens"](spark, SF))
+
+
+def test_search_in_one_corpus_reads_its_partition(spark):
+    from termite.operators import stored_index as si
+
+    index = si.write_index(C._corpora(spark, SF), corpus_col="corpus", buckets=2)
+    p = plan(si.search(index, C.benchmark_terms(spark, SF), corpus="course"))
+    assert "corpus = course" in p and "PartitionFilters" in p
 
 
 def test_boolean_plan_has_no_cartesian_product(spark):
@@ -32,3 +44,12 @@ def test_knn_and_thesaurus_plans_have_no_cartesian_product(spark):
 def test_top_k_is_limited_before_the_shuffle(spark):
     p = plan(C.REGISTRY["vsm_score"](spark, SF))
     assert "WindowGroupLimit" in p
+
+
+def test_boolean_search_keeps_five_documents_a_query_before_the_shuffle(spark):
+    from termite.operators import boolean as bl
+
+    hits = C.REGISTRY["bool_or"](spark, SF)
+    assert "WindowGroupLimit" in plan(bl.first_documents(hits, 5))
+    # the levels of all trees are folded where the documents' postings lie
+    assert "Exchange hashpartitioning(query_id" not in plan(hits)
