@@ -14,10 +14,10 @@
    components; near copies are settled here at a cost in proportion to their
    number.
 4. Second verification: only bands that still hold two components are open.
-   Their members' signatures meet in tasks of bounded size; a member whose
-   signature agrees well with one of another component is to be compared with that
-   component.  Pairs of components are then compared on the full sets of such
-   members, and one link joins them.
+   Their members' signatures meet in tasks of bounded size, which name the members
+   whose signature agrees well with one of another component and chain such
+   components.  The named members of a chain then meet on full sets, in blocks if
+   they are many, under a union-find that skips what is joined.
 
 No pairs of members are listed and no member is compared within its component."""
 
@@ -41,7 +41,7 @@ PERCENT = 80
 SLOTS = 240
 BAND_SLOTS = 5
 LED_BANDS = 6            # first verification: bands that a class shares with its leader at least
-AGREEING = 0.62          # second: share of equal slots; 0.8 is seven standard deviations above it
+AGREEING = 0.66          # second: share of equal slots; 0.8 is over five standard deviations above it
 TASK_MEMBERS = 1 << 11   # signatures of one side of a task
 TASK_BYTES = 16 << 20    # texts that a verifying task holds
 BLOCK_BYTES = 2 << 20
@@ -155,14 +155,13 @@ def _small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether two sorted sets have 100 * intersection >= percent * union."""
-    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    both = np.concatenate((a, b))
-    both.sort()
-    same = int((both[1:] == both[:-1]).sum())
-    return 100 * same >= percent * (len(both) - same)
+def _linked_to(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sorted sets have 100 * intersection >= percent * union with ``one``."""
+    sizes = np.array([len(x) for x in others])
+    tokens = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, tokens), len(one) - 1)
+    same = np.add.reduceat((one[at] == tokens).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * same >= percent * (len(one) + sizes - same)
 
 
 def _sets(table: pa.Table, width: int) -> list[np.ndarray]:
@@ -201,7 +200,7 @@ def verify_leaders(pairs: DataFrame, texts: DataFrame, width: int, percent: int,
         sets = _sets(table, width)
         lead, v = table.column("lead").to_pylist(), table.column("v").to_pylist()
         head = {x: i for i, (x, y) in enumerate(zip(lead, v)) if x == y}
-        links = [(v[i], x) for i, x in enumerate(lead) if v[i] != x and linked(sets[i], sets[head[x]], percent)]
+        links = [(v[i], x) for i, x in enumerate(lead) if v[i] != x and _linked_to(sets[head[x]], [sets[i]], percent)[0]]
         return pa.table({"u": pa.array([x for x, _ in links], pa.int64()), "v": pa.array([y for _, y in links], pa.int64())})
 
     return dealt.groupBy("task").applyInArrow(run, "u long, v long")
@@ -225,82 +224,120 @@ def _dealt_blocks(rows: DataFrame, by: list[str], side: Column, weight: Column,
     return rows.withColumn("task", F.explode(F.when(side, tasks).otherwise(others))).drop("s", "o")
 
 
-def _agreeing(a: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of two byte matrices that agree in that share of columns."""
+def _agreement(a: np.ndarray, b: np.ndarray, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """For some rows of the byte matrix ``a`` at a time: the first one's number, and
+    which rows of ``b`` equal each of them in that share of columns."""
     need = math.ceil(least * a.shape[1])
-    x, y = [], []
     step = max(1, (1 << 24) // max(1, b.size))
     for i in range(0, len(a), step):
-        same = (a[i:i + step, None, :] == b[None, :, :]).sum(axis=2, dtype=np.int32)
-        p, q = np.nonzero(same >= need)
-        x.append(p + i)
-        y.append(q)
-    return (np.concatenate(x), np.concatenate(y)) if x else (np.zeros(0, int), np.zeros(0, int))
+        yield i, (a[i:i + step, None, :] == b[None, :, :]).sum(axis=2, dtype=np.int32) >= need
+
+
+def _tasks(table: pa.Table) -> Iterator[np.ndarray]:
+    """The rows of each task of a table."""
+    task = np.unique(table.column("task").to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    order = np.argsort(task, kind="stable")
+    yield from np.split(order, np.flatnonzero(np.diff(task[order])) + 1)
+
+
+def _marks(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+
+
+class _Sets:
+    """Union-find over small numbers."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def find(self, i: int) -> int:
+        while self.root[i] != i:
+            self.root[i] = self.root[self.root[i]]
+            i = self.root[i]
+        return int(i)
+
+    def join(self, i: int, j: int) -> bool:
+        a, b = self.find(i), self.find(j)
+        self.root[max(a, b)] = min(a, b)
+        return a != b
+
+    def roots(self) -> np.ndarray:
+        """The root of every number; links end at smaller ones."""
+        out = self.root.copy()
+        while not np.array_equal(out, out[out]):
+            out = out[out]
+        return out
+
+
+def _outside(rows: DataFrame, by: str) -> DataFrame:
+    """``rows`` with ``outside``: not of the component that holds most rows of its
+    group.  The others need not meet each other."""
+    counts = rows.groupBy(by, "c").agg(F.count(F.lit(1)).alias("n"))
+    main = counts.groupBy(by).agg(F.max(F.struct("n", "c")).alias("m")).select(by, F.col("m.c").alias("main"))
+    return rows.join(main, by).withColumn("outside", F.col("c") != F.col("main")).drop("main")
 
 
 def meeting_components(members: DataFrame, least: float, task_members: int) -> DataFrame:
-    """``(low, high, v)``: members that are to be compared between two components,
-    from ``members(key, v, c, marks)``, the bands that hold two or more."""
-    # A band's largest component need not meet itself; all others meet it and each other.
-    counts = members.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
-    main = counts.groupBy("key").agg(F.max(F.struct("n", "c")).alias("m")).select("key", F.col("m.c").alias("main"))
-    rows = members.join(main, "key").withColumn("outside", F.col("c") != F.col("main"))
-    dealt = _dealt_blocks(rows, ["key"], F.col("outside"), F.lit(1), task_members, True)
-    tasks = F.pmod(F.xxhash64("task"), F.lit(max(16, math.ceil(dealt.count() / (2 * task_members)))))
+    """``(v, c, near)``: the members that agree with one of another component, from
+    ``members(key, v, c, marks)``, the bands that hold two components or more.
+    ``near``: a component that the member's own is chained to by such agreement."""
+    dealt = _dealt_blocks(_outside(members, "key"), ["key"], F.col("outside"), F.lit(1), task_members, True)
+    bins = F.pmod(F.xxhash64("task"), F.lit(max(16, math.ceil(dealt.count() / (2 * task_members)))))
 
     def run(table: pa.Table) -> pa.Table:
-        task = np.unique(table.column("task").to_numpy(zero_copy_only=False), return_inverse=True)[1]
-        order = np.argsort(task, kind="stable")
-        cut = np.flatnonzero(np.diff(task[order], prepend=-1, append=len(order) + 1))
         v, c, outside = (table.column(x).to_numpy() for x in ("v", "c", "outside"))
-        marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(len(v), -1)
-        low, high, who = [], [], []
-        for a, b in zip(cut[:-1], cut[1:]):
-            rows = order[a:b]
+        marks, found = _marks(table), []
+        for rows in _tasks(table):
             some = rows[outside[rows]]
-            x, y = _agreeing(marks[some], marks[rows], least)
-            x, y = some[x], rows[y]
-            other = c[x] != c[y]
-            x, y = x[other], y[other]
-            low += [np.minimum(c[x], c[y])] * 2
-            high += [np.maximum(c[x], c[y])] * 2
-            who += [v[x], v[y]]
-        found = np.unique(np.stack([np.concatenate(z) for z in (low, high, who)], 1), axis=0) if low else np.zeros((0, 3), np.int64)
-        return pa.table({n: pa.array(found[:, i], pa.int64()) for i, n in enumerate(("low", "high", "v"))})
-
-    found = dealt.withColumn("bin", tasks).select("bin", "task", "v", "c", "outside", "marks").groupBy("bin").applyInArrow(
-        run, "low long, high long, v long")
-    return found.distinct()
-
-
-def verify_components(meeting: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int,
-                      least: float, task_bytes: int) -> DataFrame:
-    """A link ``(u, v)`` for each two components of ``meeting(low, high, v)`` of
-    which members link, from ``labels(v, c, marks)``."""
-    rows = meeting.join(labels, "v").join(texts, "v")
+            names, label = np.unique(c[rows], return_inverse=True)
+            own = np.searchsorted(names, c[some])
+            chains, flagged = _Sets(len(names)), np.zeros(len(rows), bool)
+            place = np.searchsorted(rows, some)  # rows of a task are in rising order
+            for i, near in _agreement(marks[some], marks[rows], least):
+                for k, agrees in enumerate(near, i):
+                    others = agrees & (label != own[k])
+                    if others.any():
+                        flagged |= others
+                        flagged[place[k]] = True
+                        for other in np.unique(label[others]):
+                            chains.join(int(own[k]), int(other))
+            found.append(np.stack((v[rows], c[rows], names[chains.roots()[label]]), 1)[flagged])
+        found = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
+        return pa.table({n: pa.array(found[:, i], pa.int64()) for i, n in enumerate(("v", "c", "near"))})
+
+    return dealt.withColumn("bin", bins).select("bin", "task", "v", "c", "outside", "marks").groupBy("bin").applyInArrow(
+        run, "v long, c long, near long").distinct()
+
+
+def verify_components(members: DataFrame, width: int, percent: int, least: float, task_bytes: int) -> DataFrame:
+    """A link ``(u, v)`` for each two components of a chain that members link, if no
+    other links join them: from ``members(g, v, c, marks, text)``, ``g`` the chain."""
     weight = F.octet_length("text") + 64
-    dealt = _dealt_blocks(rows, ["low", "high"], F.col("c") == F.col("low"), weight, task_bytes // 2, False)
+    dealt = _dealt_blocks(_outside(members, "g"), ["g"], F.col("outside"), weight, task_bytes // 2, True)
     total = dealt.agg(F.sum(weight)).first()[0] or 0
-    tasks = F.pmod(F.xxhash64("low", "high", "task"), F.lit(max(16, math.ceil(2 * total / task_bytes))))
+    bins = F.pmod(F.xxhash64("task"), F.lit(max(16, math.ceil(2 * total / task_bytes))))
 
     def run(table: pa.Table) -> pa.Table:
         sets = _sets(table, width)
-        task = np.unique(table.column("task").to_numpy(zero_copy_only=False), return_inverse=True)[1]
-        order = np.argsort(task, kind="stable")
-        cut = np.flatnonzero(np.diff(task[order], prepend=-1, append=len(order) + 1))
-        v, c, low = (table.column(x).to_numpy() for x in ("v", "c", "low"))
-        marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(len(v), -1)
-        links = []
-        for a, b in zip(cut[:-1], cut[1:]):
-            rows = order[a:b]
-            left, right = rows[c[rows] == low[rows]], rows[c[rows] != low[rows]]
-            for i, j in zip(*_agreeing(marks[left], marks[right], least)):
-                if linked(sets[left[i]], sets[right[j]], percent):
-                    links.append((v[left[i]], v[right[j]]))
-                    break
+        v, c, outside = (table.column(x).to_numpy() for x in ("v", "c", "outside"))
+        marks, links = _marks(table), []
+        for rows in _tasks(table):
+            some = rows[outside[rows]]
+            label = np.unique(c[rows], return_inverse=True)[1]
+            own = label[np.searchsorted(rows, some)]
+            joined = _Sets(len(rows))
+            for i, near in _agreement(marks[some], marks[rows], least):
+                for k, agrees in enumerate(near, i):
+                    roots = joined.roots()
+                    others = np.flatnonzero(agrees & (roots[label] != roots[own[k]]))
+                    if len(others) == 0:
+                        continue
+                    for j in others[_linked_to(sets[some[k]], [sets[r] for r in rows[others]], percent)]:
+                        if joined.join(int(own[k]), int(label[j])):
+                            links.append((v[some[k]], v[rows[j]]))
         return pa.table({"u": pa.array([x for x, _ in links], pa.int64()), "v": pa.array([y for _, y in links], pa.int64())})
 
-    return dealt.withColumn("bin", tasks).select("bin", "task", "v", "c", "low", "marks", "text").groupBy("bin").applyInArrow(
+    return dealt.withColumn("bin", bins).select("bin", "task", "v", "c", "outside", "marks", "text").groupBy("bin").applyInArrow(
         run, "u long, v long")
 
 
@@ -335,10 +372,13 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     now = now.join(open_, "key")
     marks = found.join(now.select("v").distinct(), "v", "left_semi").groupBy("v").agg(F.first("marks").alias("marks"))
     marks = _stored(marks, "marks")
-    pairs = _stored(meeting_components(now.join(marks, "v"), least, task_members), "component-pairs")
-    if pairs.limit(1).count():
-        more = class_texts(docs, found, pairs.select("v"))
-        second = verify_components(pairs, labels.join(marks, "v"), more, width, percent, least, task_bytes)
+    near = _stored(meeting_components(now.join(marks, "v"), least, task_members), "near-components")
+    if near.limit(1).count():
+        chains = components(near.select(F.col("c").alias("u"), F.col("near").alias("v"))).select(
+            F.col("v").alias("c"), F.col("component").alias("g"))
+        rows = near.select("v", "c").distinct().join(chains, "c").join(marks, "v").join(
+            class_texts(docs, found, near.select("v")), "v")
+        second = verify_components(rows.select("g", "v", "c", "marks", "text"), width, percent, least, task_bytes)
         joined = components(links.union(second)).withColumnRenamed("component", "c")
 
     roots = found.where("v is not null").groupBy("v").agg(F.min("doc_id").alias("root"))
