@@ -567,9 +567,9 @@ def q_feature_counts(spark, sf_dir):
 
 def _knn_parts(spark, sf_dir):
     nw, train, pred, rows = _knn_inputs(spark, sf_dir)
-    tok_tr = ix.token_table(train, "text")
-    top = ix.top_terms(tok_tr.join(rows.select("doc_id"), "doc_id"))
-    tf = stored(feature_counts(tok_tr, top), "training-features")
+    counts = stored(ix.token_table(train, "text").groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("cnt")), "training-counts")
+    top = stored(kn.training_top_terms(counts, rows), "training-top-terms")
+    tf = stored(counts.join(top, "term").select("doc_id", "term", "cnt"), "training-features")
     pf = stored(feature_counts(ix.token_table(pred, "text"), top), "query-features")
     k = kn.k_for(rows.count())
     return nw, train, pred, rows, tf, pf, k, top
