@@ -162,3 +162,24 @@ def test_wrappers_with_telling_names_keep_the_article(page, want):
 def test_wrappers_with_telling_names_keep_the_lines_beside_the_article():
     page = f"<div class='ad'>Buy</div><div class='has-sidebar'><p>Lead</p>{BODY}<div class='sidebar'>Side</div></div><div class='widget'>W</div>"
     assert [x.text for x in lines(page) if not x.aside] == ["Lead", "A title", "The text of the article"]
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><title>No</title><meta charset=x><p>One<p>Two", ["One", "Two"]),
+    ("<head>loose<div>block</div>", ["loose", "block"]),
+    ("<div><button>Send<p>rest</p>more</div>tail", ["rest", "more", "tail"]),
+    ("<p>a <button>x</button> b <svg><svg></svg>y</svg> c<p>d", ["a b c", "d"]),
+    ("<select><option>a<option>b</select> on <option>c<p>d", ["on", "d"]),
+    ("<article>one<p class='ad'>Buy<p>two<p class='cookie-notice'>We</p>three</article>", ["one", "two", "three"]),
+    ("<article><ul><li class='comment'>me<ul><li>too</ul><li>kept</ul><article class='reply'>re</article></article>", ["kept"]),
+    ("<ul><li class='ad'><p>Buy</p><div>now</div><li>kept<ul><li>inner</li></ul></li></ul>", ["kept", "inner"]),
+    ("<table><tr><td class='ad'>Buy<td>one<tr><td class='ad'>Buy<tr><th>two</table>", ["one", "two"]),
+    ("<p>We <span>really</span> like <span class='ad'>Buy</span> this <b>one</b></p><p>too", ["We really like this one", "too"]),
+    ("<article>so <math><mi>x</mi><annotation>\\x</annotation></math> is</article>", ["so x is"])])
+def test_elements_without_an_end_and_telling_names_on_any_block(page, want):
+    assert [x.text for x in lines(page) if not x.aside] == want
+
+
+def test_many_elements_without_an_end():
+    page = "<p>a" + "<button>b<li>c" * 20_000
+    assert len(lines(page)) == 20_001
