@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termite.llm import words as W
+from termite.session import cut_lineage
 
 HIDDEN = 8
 SEGMENT = 128            # bytes that one run of the network reads
@@ -26,6 +27,7 @@ SIDE_BY_SIDE = 2048      # segments run together
 DOCUMENTS_A_LANGUAGE = 400   # bound of the training sample
 PIECES_A_DOCUMENT = 4
 PIECE = 64               # bytes of a training piece
+BROADCAST_BYTES = 8 << 20    # language names and counts that are sent to all tasks; more are joined by a shuffle
 EPOCHS, BATCH, STEP = 8, 256, 0.01
 # Which bytes count: letters and all bytes beyond ASCII.
 COUNTS = np.array([chr(b).isalpha() or b > 127 for b in range(256)])
@@ -196,25 +198,31 @@ def document_probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
 
 def train(docs: DataFrame) -> Network:
     """From ``docs(doc_id, text, lang)``: about ``DOCUMENTS_A_LANGUAGE`` documents
-    a language, picked by a hash of the id, and ``PIECES_A_DOCUMENT`` pieces of
-    each, spread over the whole text."""
+    a language, picked by a hash of id and text, and ``PIECES_A_DOCUMENT`` pieces of
+    each, spread over the whole text.  The texts stay where they are read; equal
+    pieces of one id count once, however often its row is repeated."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
                         & (F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5, F.lit(0)) != 0))
-    counts = usable.groupBy("lang").count()
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.least(F.lit(1.0), DOCUMENTS_A_LANGUAGE / F.col("count")) * (1 << 30)
-    picked = usable.join(counts, "lang").where(draw).select("lang", "text")
+    counts = cut_lineage(usable.groupBy("lang").count())
+    size = counts.agg(F.sum(F.octet_length("lang") + 40)).first()[0] or 0
+    counts = F.broadcast(counts) if size <= BROADCAST_BYTES else counts
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.least(F.lit(1.0), DOCUMENTS_A_LANGUAGE / F.col("count")) * (1 << 30)
+    picked = usable.join(counts, "lang").where(draw).select(F.xxhash64("doc_id").alias("id"), "lang", "text")
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            langs, out = [], []
-            for lang, text in zip(batch.column("lang").to_pylist(), W.texts_as_bytes(pa.chunked_array([batch.column("text")]))):
+            ids, langs, out = [], [], []
+            for id_, lang, text in zip(*(batch.column(n).to_pylist() for n in ("id", "lang")), W.texts_as_bytes(pa.chunked_array([batch.column("text")]))):
                 last = max(0, len(text) - PIECE)
                 for at in sorted({last * k // max(1, PIECES_A_DOCUMENT - 1) for k in range(PIECES_A_DOCUMENT)}):
+                    ids.append(id_)
                     langs.append(lang)
                     out.append(text[at:at + PIECE])
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(out, pa.binary())], names=["lang", "piece"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(out, pa.binary())],
+                                             names=["id", "lang", "piece"])
 
-    rows = sorted((r.lang, bytes(r.piece)) for r in picked.mapInArrow(cut, "lang string, piece binary").collect())
+    pieces = picked.mapInArrow(cut, "id long, lang string, piece binary").distinct()
+    rows = sorted((r.lang, bytes(r.piece)) for r in pieces.select("lang", "piece").collect())
     return fit([p for _, p in rows], [x for x, _ in rows])
 
 

@@ -1,5 +1,7 @@
 """The network: gradients, whole texts, held-out accuracy."""
 
+import math
+
 import numpy as np
 
 from small import DOCS, frame, odd_documents, tuples, with_clashes
@@ -38,6 +40,50 @@ def test_every_byte_counts_and_padding_does_not():
     assert np.isclose(L.label_segments(net, data, inside).sum(), 3, atol=1e-4)
 
 
+def plain_probabilities(net, text):
+    """Forward, backward and pooling one byte and one unit at a time."""
+    def run(d, part):
+        h, states = [0.0] * L.HIDDEN, []
+        clip = lambda x: max(-1.0, min(1.0, x))
+        units = range(L.HIDDEN)
+        for b in part:
+            gate = [(clip(d.x[b][i] + sum(h[j] * d.gates[j][i] for j in units)) + 1) / 2 for i in range(2 * L.HIDDEN)]
+            z, r = gate[:L.HIDDEN], gate[L.HIDDEN:]
+            c = [clip(d.x[b][2 * L.HIDDEN + i] + sum(r[j] * h[j] * d.state[j][i] for j in units)) for i in units]
+            h = [h[i] + z[i] * (c[i] - h[i]) for i in units]
+            states.append(h)
+        return states
+
+    total = [0.0] * len(net.languages)
+    for at in range(0, len(text), L.SEGMENT):
+        part = text[at:at + L.SEGMENT]
+        for b, front, rear in zip(part, run(net.ahead, part), run(net.back, part[::-1])[::-1]):
+            if chr(b).isalpha() or b > 127:
+                logit = [net.bias[k] + sum(x * net.out[i][k] for i, x in enumerate(front + rear)) for k in range(len(total))]
+                e = [math.exp(x) for x in logit]
+                total = [t + x / sum(e) for t, x in zip(total, e)]
+    return [t / max(sum(total), 1e-9) for t in total]
+
+
+def test_forward_and_pooling_against_plain_loops():
+    net = L.new_network(["a", "b", "c"], seed=5)
+    texts = ["Ein kurzer Text, mit 12 Zahlen.".encode(), "é".encode() * 70, b"x" * L.SEGMENT, b"word and more " * 30, b"1 2 3", b""]
+    for text, got in zip(texts, L.document_probabilities(net, texts)):
+        assert np.allclose(got, plain_probabilities(net, text), atol=1e-4)
+
+
+def test_training_rows_stay_where_they_are_read(spark):
+    """No exchange of texts: the language counts travel, and repeated rows of an id give their pieces once."""
+    seen = []
+    fit, L.fit = L.fit, lambda pieces, labels: seen.append((pieces, labels)) or fit(pieces, labels)
+    try:
+        same = [(1, "the same text in each row", "en", "a", 1)] * 300
+        L.train(frame(spark, same + [(2, "ein anderer Text", "de", "a", 1), (3, "the same text in each row", "en", "a", 1)]))
+    finally:
+        L.fit = fit
+    assert sorted(seen[0][1]) == ["de", "en", "en"]
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(table_path("/root/testdata/sf0.01", "documents"))
     rows = L.identify(docs).where("held_out").select("lang", "lang_pred", "score").collect()
