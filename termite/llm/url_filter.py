@@ -22,6 +22,7 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 MAX_TRAINING_URLS = 20_000
 TREES, DEPTH, BINS, RATE = 12, 3, 16, 0.3
 SCALE = 1 << 20  # gradients are summed as integers, so that reruns agree
+BROADCAST_BYTES = 32 << 20  # suffix statistics that are sent to all tasks; more are joined by a shuffle
 FEATURES = ("f_length", "f_path", "f_depth", "f_digits", "f_entropy", "f_params", "f_suffix_rate", "f_suffix_count")
 PARTS = ("host", "path", "rule", "verdict", "score")
 
@@ -48,19 +49,43 @@ def _rule(rules: tuple, value: int) -> Column:
     return F.coalesce(*cases, F.lit(None).cast("string"))
 
 
-def _features(pages: DataFrame) -> DataFrame:
+def _features() -> list[Column]:
+    """Lexical features of ``url`` and ``path``; those of the suffix are joined."""
     url = F.coalesce(F.col("url"), F.lit(""))
     n = F.greatest(F.length(url), F.lit(1))
     share = lambda c: (F.length(url) - F.length(F.replace(url, c))) / n
     entropy = F.aggregate(F.array_distinct(F.array_remove(F.split(url, ""), "")), F.lit(0.0),
                           lambda s, c: s - share(c) * F.log2(share(c)))
-    return (pages.withColumn("f_length", F.length(url).cast("double"))
-            .withColumn("f_path", F.length("path").cast("double"))
-            .withColumn("f_depth", (F.length("path") - F.length(F.translate("path", "/", ""))).cast("double"))
-            .withColumn("f_digits", F.length(F.regexp_replace(url, "[^0-9]", "")) / n)
-            .withColumn("f_entropy", F.round(entropy, 9))
-            .withColumn("f_params", (F.length(url) - F.length(F.translate(url, "?&", ""))).cast("double"))
-            .withColumn("__suffix", F.substring_index("host", ".", -1)))
+    slashes = F.length("path") - F.length(F.translate("path", "/", ""))
+    return [F.length(url).cast("double").alias("f_length"), F.length("path").cast("double").alias("f_path"),
+            slashes.cast("double").alias("f_depth"), (F.length(F.regexp_replace(url, "[^0-9]", "")) / n).alias("f_digits"),
+            F.round(entropy, 9).alias("f_entropy"),
+            (F.length(url) - F.length(F.translate(url, "?&", ""))).cast("double").alias("f_params")]
+
+
+def _with_suffix_features(urls: DataFrame) -> DataFrame:
+    """``urls`` with block rate and count of the labelled URLs of their ``suffix``.
+
+    The labelled ones are halved by a hash; a labelled URL gets the rate of the
+    other half, so that its own label is not in its features."""
+    labelled = urls.where("label is not null")
+    by_suffix = cut_lineage(labelled.groupBy(F.col("suffix").alias("of")).agg(
+        *[F.sum(F.when(F.col("half") == i, x).otherwise(0)).alias(f"{name}{i}")
+          for i in (0, 1) for name, x in (("blocked", F.col("label")), ("all", F.lit(1)))]))
+    both = F.col("all0") + F.col("all1")
+    total, all_blocked, size = by_suffix.agg(
+        F.coalesce(F.sum(both), F.lit(0)), F.coalesce(F.sum(F.col("blocked0") + F.col("blocked1")), F.lit(0)),
+        F.coalesce(F.sum(F.octet_length("of") + 60), F.lit(0))).first()
+    by_suffix = F.broadcast(by_suffix) if size <= BROADCAST_BYTES else by_suffix
+
+    def of_the_others(name: str) -> Column:
+        counts = [F.coalesce(F.col(f"{name}{i}"), F.lit(0)) for i in (0, 1)]
+        return F.when(F.col("label").isNull(), counts[0] + counts[1]).when(F.col("half") == 0, counts[1]).otherwise(counts[0])
+
+    rate = (of_the_others("blocked") + F.lit(10 * (all_blocked + 0.5) / (total + 1))) / (of_the_others("all") + 10)
+    return urls.join(by_suffix, F.col("suffix") == F.col("of"), "left").select(
+        *urls.columns, rate.alias("f_suffix_rate"), F.log1p(F.coalesce(both, F.lit(0)).cast("double")).alias("f_suffix_count"),
+        F.lit(total).alias("labelled"))
 
 
 def _tree(splits: dict[int, str], leaf, node: int = 0) -> str:
@@ -131,21 +156,18 @@ def judge(pages: DataFrame, rules: tuple = RULES, max_training_urls: int = MAX_T
     URLs that rules decide; the trees are fitted on about ``max_training_urls`` of
     them, picked by a hash.  A null or odd URL has an empty host and path, no rule,
     and is judged by its features.  Without labelled URLs all others are allowed.
-    Repeated rows get equal results; an empty table gives an empty one."""
-    pages = pages.drop(*PARTS, *FEATURES)
+    Repeated rows get equal results; an empty table gives an empty one.  Columns of
+    other names are kept as they are."""
+    pages = pages.drop(*PARTS)
     host, path = host_and_path(F.col("url"))
-    parts = pages.withColumn("host", host).withColumn("path", path)
-    parts = parts.withColumn("rule", _rule(rules, -1)).withColumn("__said", _rule(rules, 2))
-    ready = _features(parts).withColumn("__label", F.when(F.col("__said") == "block", 1).when(F.col("__said") == "allow", 0))
-    by_suffix = cut_lineage(ready.where("__label is not null").groupBy("__suffix").agg(
-        F.sum("__label").alias("__b"), F.count(F.lit(1)).alias("__c")))
-    total, all_blocked = by_suffix.agg(F.coalesce(F.sum("__c"), F.lit(0)), F.coalesce(F.sum("__b"), F.lit(0))).first()
-    prior = (all_blocked + 0.5) / (total + 1)
-    ready = ready.join(by_suffix.withColumnRenamed("__suffix", "__of"), F.col("__suffix") == F.col("__of"), "left").withColumn(
-        "f_suffix_rate", (F.coalesce("__b", F.lit(0)) + 10 * F.lit(prior)) / (F.coalesce("__c", F.lit(0)) + 10)).withColumn(
-        "f_suffix_count", F.log1p(F.coalesce("__c", F.lit(0)).cast("double"))).drop("__b", "__c", "__of")
-    part = F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, max_training_urls / max(1, total)))
-    score = train(ready.where(F.col("__label").isNotNull() & part).select(F.col("__label").alias("label"), *FEATURES))
-    return ready.withColumn("score", F.expr(score)).withColumn(
-        "verdict", F.coalesce("__said", F.when(F.col("score") > 0, "block").otherwise("allow"))).drop(
-        "__said", "__label", "__suffix", *FEATURES)
+    parts = pages.select(F.struct(*pages.columns).alias("row"), "url", host.alias("host"), path.alias("path"))
+    said = _rule(rules, 2)
+    urls = parts.select(
+        "*", _rule(rules, -1).alias("rule"), said.alias("said"), F.when(said == "block", 1).when(said == "allow", 0).alias("label"),
+        F.substring_index("host", ".", -1).alias("suffix"), F.pmod(F.xxhash64("url"), F.lit(2)).alias("half"), *_features())
+    ready = _with_suffix_features(urls)
+    part = F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < F.lit((1 << 30) * max_training_urls) / F.greatest("labelled", F.lit(1))
+    score = train(ready.where(F.col("label").isNotNull() & part).select("label", *FEATURES))
+    return ready.withColumn("score", F.expr(score)).select(
+        "row.*", "host", "path", "rule", "score",
+        F.coalesce("said", F.when(F.col("score") > 0, "block").otherwise("allow")).alias("verdict"))
