@@ -13,7 +13,10 @@
    thousands of near copies, is cut into blocks by size band and hash: each block
    is joined with the first block of its own and of the next band, and after
    that only members outside the group's largest class are joined with the
-   blocks of the neighbouring bands.
+   blocks of the neighbouring bands.  Where that would deal many copies of a
+   member, as in documents of template passages chained through one another, the
+   group falls into meeting lists instead: the members that hold one of those
+   first shingles, unless they are linked already; lists inside another are left out.
 5. The links found, a spanning forest of all links, give the components.
 
 No pairs are listed, so near copies cost in proportion to their number."""
@@ -25,7 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termite.llm import exchange as X
@@ -39,6 +42,7 @@ PERCENT = 75
 TASK_WEIGHT = 1 << 20  # shingles that one task joins
 MEMBER_WEIGHT = 64     # what a member adds to that beside its shingles
 BROADCAST_ROWS = 1 << 20   # decisions of 24 bytes that are sent to all tasks; more are joined by a shuffle
+BLOCK_COPIES = 4  # copies of a member, on average, above which a heavy group may fall into meeting lists
 BAND = math.log(1.34)  # sets whose sizes differ by 4/3 lie at most one band apart
 
 
@@ -129,19 +133,86 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _heavy_tasks(heavy: DataFrame, weight: F.Column, first_round: bool, task_weight: int) -> DataFrame:
-    """Members of heavy groups dealt to tasks, a copy for each task that joins
-    them.  ``first_round``: each block with the leading block of its own band and
-    of the next.  Otherwise ``outside`` members' blocks with all blocks of the
-    bands around."""
+def _leading(percent: int) -> Column:
+    """The shingles on one of which two linked sets meet.  A set of n has n -
+    size(keys) shingles of its own; they come first in its order."""
+    return F.expr(f"slice(keys, 1, cast(size(keys) - ({percent} * n + 99) div 100 + 1 as int))")
+
+
+def _bands(heavy: DataFrame, weight: Column, task_weight: int) -> DataFrame:
+    """For each group and size band: blocks ``k`` of all members, blocks ``s`` of
+    ``outside`` members, the same of the bands around, and the copies that the
+    second round would deal."""
     half = task_weight / 2
     bands = heavy.groupBy("g", "band").agg(
         F.ceil(F.sum(weight) / half).alias("k"),
-        F.ceil(F.sum(F.when(F.col("outside"), weight).otherwise(0)) / half).alias("s")).toDF("g", "band", "k", "s")
+        F.ceil(F.sum(F.when(F.col("outside"), weight).otherwise(0)) / half).alias("s"),
+        F.count(F.lit(1)).alias("c"), F.count(F.when(F.col("outside"), 1)).alias("o"))
     around = bands.select("g", (F.col("band") + 1).alias("band"), F.col("k").alias("k_before"), F.col("s").alias("s_before"))
     after = bands.select("g", (F.col("band") - 1).alias("band"), F.col("k").alias("k_after"), F.col("s").alias("s_after"))
     bands = bands.join(around, ["g", "band"], "left").join(after, ["g", "band"], "left").na.fill(0)
-    rows = heavy.join(bands, ["g", "band"])
+    return bands.withColumn("copies", F.expr("o * (k_before + k + k_after) + c * (s_before + s + s_after)"))
+
+
+def _with_outside(members: DataFrame) -> DataFrame:
+    """``members`` of groups ``g`` with ``outside``: not in the group's largest class."""
+    main = members.groupBy("g", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("g").agg(
+        F.max(F.struct("c", "label")).alias("m")).select("g", F.col("m.label").alias("main"))
+    return members.drop("outside").join(main, "g").withColumn("outside", F.col("label") != F.col("main")).drop("main")
+
+
+def _second_round(now: DataFrame, weight: Column, percent: int, task_weight: int) -> DataFrame:
+    """Members of heavy groups, with their labels of the first round, dealt to
+    tasks and their parts: by blocks, or by meeting lists where those deal fewer
+    copies.  Either way meets every pair of different labels that may link.
+
+    A member is in at most as many lists as it has leading shingles, however many
+    members the group has.  Only a list above ``task_weight`` is cut into blocks."""
+    columns = ["task", "part", "v", "label", "n", "keys"]
+    groups = _stored(_bands(now, weight, task_weight).groupBy("g").agg(
+        F.sum("copies").alias("copies"), F.sum("c").alias("c")), "heavy-groups")
+    many = groups.where(F.col("copies") > BLOCK_COPIES * F.col("c"))
+    if not many.limit(1).count():
+        return _heavy_tasks(now, weight, False, task_weight).select(*columns)
+    held = now.join(many.select("g"), "g", "left_semi").select(
+        "g", "v", "label", weight.alias("w"), F.explode(_leading(percent)).alias("key"))
+    # Shingles of one passage have the same holders: of their lists one is kept.
+    lists = held.groupBy("g", "key").agg(
+        F.count(F.lit(1)).alias("c"), F.sum("w").alias("w"), F.min("label").alias("low"), F.max("label").alias("high"),
+        F.bit_xor(F.xxhash64("v")).alias("x"), F.bit_xor(F.xxhash64("v", F.lit(1))).alias("y")).where("low < high")
+    lists = lists.groupBy("g", "c", "w", "x", "y").agg(F.min("key").alias("key"))
+    # A list whose holders all have the same next larger list lies inside that one.
+    larger = F.lead("key").over(Window.partitionBy("v").orderBy("c", "key"))
+    inside = _stored(held.join(lists.select("key", "c"), "key").withColumn("larger", larger), "meetings")
+    inside = inside.groupBy("key").agg(F.min("larger").alias("a"), F.max("larger").alias("b"),
+                                       F.count_if(F.col("larger").isNull()).alias("none")).where("none = 0 and a = b")
+    lists = _stored(lists.join(inside, "key", "left_anti"), "meeting-lists")
+    by_lists = _stored(lists.groupBy("g").agg(F.sum("c").alias("by_lists")).join(many, "g", "right").na.fill(0).where(
+        "by_lists < copies").select("g"), "listed-groups")
+    met = held.join(lists.join(by_lists, "g", "left_semi").select("key", F.col("w").alias("list_w")), "key").select(
+        "v", F.col("key").alias("list"), "list_w")
+    listed = now.drop("g", "outside").join(met, "v").withColumnRenamed("list", "g")
+    small = listed.where(F.col("list_w") <= task_weight)
+    total = lists.where(F.col("w") <= task_weight).agg(F.sum("w")).first()[0] or 0
+    bins = max(1, math.ceil(2 * total / task_weight))
+    small = small.withColumn("part", F.col("g")).withColumn(
+        "task", F.concat(F.lit("list|"), F.pmod(F.xxhash64("g"), F.lit(bins))))
+    dealt = _heavy_tasks(now.join(by_lists, "g", "left_anti"), weight, False, task_weight).select(*columns).union(
+        small.select(*columns))
+    if lists.where(F.col("w") > task_weight).limit(1).count():
+        large = _with_outside(listed.where(F.col("list_w") > task_weight).drop("list_w"))
+        large = _heavy_tasks(large, weight, False, task_weight).withColumn("task", F.concat(F.lit("long|"), "task"))
+        dealt = dealt.union(large.select(*columns))
+    return dealt
+
+
+def _heavy_tasks(heavy: DataFrame, weight: Column, first_round: bool, task_weight: int) -> DataFrame:
+    """Members of heavy groups dealt to tasks, a copy for each task that joins
+    them.  ``first_round``: each block with the leading block of its own band and
+    of the next.  Otherwise ``outside`` members' blocks with all blocks of the
+    bands around."""
+    bands = _bands(heavy, weight, task_weight).drop("c", "o", "copies")
+    rows = heavy.join(bands, ["g", "band"]).withColumn("part", F.lit(0).cast("long"))
     h = F.xxhash64("v")
     block = F.pmod(h, F.col("k"))
     task = lambda *x: F.concat_ws("|", F.col("g"), *x)
@@ -184,9 +255,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
         F.min("doc_id").alias("root"), F.first("n").alias("n"), F.first("keys").alias("keys"))
         .withColumnRenamed("set_id", "v"), "shingle-classes")
 
-    # A set of n has n - size(keys) shingles of its own; they come first in its order.
-    held = classes.select("v", F.explode(F.expr(
-        f"slice(keys, 1, cast(size(keys) - ({percent} * n + 99) div 100 + 1 as int))")).alias("key"))
+    held = classes.select("v", F.explode(_leading(percent)).alias("key"))
     leads = held.groupBy("key").agg(F.min("v").alias("lead"), F.count(F.lit(1)).alias("c")).where("c > 1")
     meet = held.join(leads, "key").where("v <> lead").select(F.col("v").alias("u"), F.col("lead").alias("v")).distinct()
     groups = components(meet).withColumnRenamed("component", "g")
@@ -205,14 +274,11 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     if weights.where(F.col("w") > task_weight).limit(1).count():
         heavy = members.join(weights.where(F.col("w") > task_weight), "g").drop("w").withColumn(
             "band", F.floor(F.log("n") / BAND)).withColumn("outside", F.lit(False))
-        columns = ["task", F.lit(0).cast("long").alias("part"), "v", "label", "n", "keys"]
-        first = _stored(_join_tasks(_heavy_tasks(heavy, weight, True, task_weight).select(*columns), percent), "links")
-        labels = components(first)
-        now = heavy.drop("label").join(labels, "v", "left").withColumn("label", F.coalesce("component", "v")).drop("component")
-        main = now.groupBy("g", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("g").agg(
-            F.max(F.struct("c", "label")).alias("m")).select("g", F.col("m.label").alias("main"))
-        now = now.join(main, "g").withColumn("outside", F.col("label") != F.col("main"))
-        second = _join_tasks(_heavy_tasks(now, weight, False, task_weight).select(*columns), percent)
+        dealt = _heavy_tasks(heavy, weight, True, task_weight).select("task", "part", "v", "label", "n", "keys")
+        first = _stored(_join_tasks(dealt, percent), "links")
+        now = heavy.drop("label").join(components(first), "v", "left").withColumn(
+            "label", F.coalesce("component", "v")).drop("component")
+        second = _join_tasks(_second_round(_with_outside(now), weight, percent, task_weight), percent)
         found = found.union(first).union(second)
 
     joined = components(found)

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from small import DOCS, frame, odd_documents, prose, tuples, with_clashes
+from termite.llm import ngram_join as N
 from termite.llm.components import components
 from termite.llm.ngram_join import near_duplicates, one_of_each
 from termite.llm.signature_tree import links
@@ -59,6 +60,50 @@ def test_families_of_near_copies(spark, task_weight, change):
     assert tuples(got, "doc_id", "n_shingles", "component_id") == brute(rows)
 
 
+def template_documents(rng, n, passages):
+    """Four passages of a stock each, hardly any two linked; every 25th is the
+    one before it with a word changed."""
+    stock = [prose(7000 + i, 24, 100_000) for i in range(passages)]
+    rows = []
+    for i in range(n):
+        text = " ".join(rng.sample(stock, 4))
+        if i % 25 == 24:
+            words = rows[-1][1].split()
+            words[rng.randrange(len(words))] = "changed"
+            text = " ".join(words)
+        rows.append((i, text, "en", "s", 1))
+    return rows
+
+
+def dealt_copies(monkeypatch):
+    """The members that each call of the task join is dealt."""
+    seen, join = [], N._join_tasks
+
+    def counted(members, percent):
+        seen.append(members.count())
+        return join(members, percent)
+    monkeypatch.setattr(N, "_join_tasks", counted)
+    return seen
+
+
+# 600: the lists themselves are too long for a task.
+@pytest.mark.parametrize("task_weight", [6000, 600])
+def test_chained_templates(spark, task_weight):
+    rows = template_documents(random.Random(11), 250, 100)
+    got = near_duplicates(frame(spark, rows), task_weight=task_weight)
+    assert tuples(got, "doc_id", "n_shingles", "component_id") == brute(rows)
+
+
+def test_chained_templates_are_dealt_few_copies(spark, monkeypatch):
+    seen, copies = dealt_copies(monkeypatch), []
+    for n in (300, 900):
+        rows = template_documents(random.Random(12), n, 200)
+        near_duplicates(frame(spark, rows), task_weight=2000).count()
+        copies.append([x / n for x in seen[-2:]])
+    # A member is in few lists, however many members its group has: blocks alone deal 181 copies at 900.
+    assert all(first < 4 and second < 4 for first, second in copies)
+
+
 def test_chains_across_size_bands(spark):
     """Each text is a longer start of one sequence: neighbours link, ends do not."""
     words = prose(3, 400, 100_000).split()
