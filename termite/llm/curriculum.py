@@ -19,6 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termite.llm.columns import under_other_names
 from termite.operators.index import dense_ids
 from termite.session import cut_lineage
 
@@ -28,6 +29,8 @@ MOST_TIMES = 3
 SLICE_ROWS = 50_000
 SPACE = r"[\x20\x09-\x0D]+"
 NEW = ("size", "source_size", "target", "taken", "position")
+PLACE = ("__times", "__rest", "__start", "__slope")
+READ = ("doc_id", "text", "source")
 
 
 def word_count(text: Column) -> Column:
@@ -69,13 +72,17 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, most_
     (of its source), ``taken`` (words the mix takes, repeats counted), ``position``
     (training time of its first reading, null where nothing is taken), and the
     numbers ``__times`` and ``__rest`` of whole readings and of words of a last,
-    partial one.  Input columns of these names are replaced.
+    partial one, ``__start`` and ``__slope`` (its place in the source's stream and
+    the schedule's slope).  Input columns of these names are replaced.
 
     A null or empty text has size 0 and nothing is taken; a null source is a
     source; a null id comes first in its source's order.  Equal rows share what
     their places in the order give, whichever comes first.  No document is taken
     more than ``most_times`` times.  An empty table gives an empty result."""
-    docs = docs.drop(*NEW)
+    return under_other_names(docs.drop(*NEW, *PLACE), READ, lambda d: _mix(d, weights, slopes, most_times))
+
+
+def _mix(docs: DataFrame, weights: tuple, slopes: tuple, most_times: int) -> DataFrame:
     n = docs.count()
     digits = max(1, math.ceil(math.log(max(1, n / SLICE_ROWS), 16)))
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -116,7 +123,10 @@ def readings(docs: DataFrame, **how) -> DataFrame:
     """The mixed corpus in training order: a row for each reading of a document,
     sorted by ``position`` (range partitions), with ``reading`` from 0.  The text
     of a partial last reading is cut after its words."""
-    mixed = mix(docs.drop("reading"), **how)
+    return under_other_names(docs.drop(*NEW, "reading"), READ, lambda d: _readings(mix(d, **how)))
+
+
+def _readings(mixed: DataFrame) -> DataFrame:
     count = F.col("__times") + F.when(F.col("__rest") > 0, 1).otherwise(0)
     rows = mixed.where("taken > 0").withColumn(
         "reading", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)))
@@ -124,4 +134,4 @@ def readings(docs: DataFrame, **how) -> DataFrame:
     cut = F.array_join(F.slice(F.array_remove(F.split("text", SPACE), ""), F.lit(1), F.col("__rest").cast("int")), " ")
     rows = rows.withColumn("position", _position(F.col("__start") + F.col("reading") * F.col("source_size"))).withColumn(
         "text", F.when(partial, cut).otherwise(F.col("text")))
-    return rows.drop("__times", "__rest", "__start", "__slope").orderBy("position", "source", "doc_id")
+    return rows.drop(*PLACE).orderBy("position", "source", "doc_id")

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termite.llm.columns import under_other_names
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # A word character is a digit, a letter a-z or any character beyond ASCII.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -92,6 +94,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     hit come out unchanged, those with a null text too."""
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove: documents or spans, not {remove!r}")
+    return under_other_names(docs, ("doc_id", "text"), lambda d: _decontaminate(d, benchmark, remove, window))
+
+
+def _decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str, window: int) -> DataFrame:
     key = [F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash")]
     found = hits(docs.select(*key, "text"), benchmark, window).where("n_hit > 0").select(
         "__id", "__hash", F.col("covered").alias("__cut")).dropDuplicates(["__id", "__hash"])

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from termite.llm import exchange as X
 from termite.llm import words as W
+from termite.llm.columns import under_other_names
 from termite.llm.components import components
 from termite.llm.signature_tree import links
 from termite.session import scratch_path
@@ -295,6 +296,10 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
     ``doc_id`` (a null one last), then of the least hash of the text; of rows that
     repeat its id and text, one.  Documents without a link stay, those without
     words too."""
+    return under_other_names(docs, ("doc_id", "text"), lambda d: _one_of_each(d, **how))
+
+
+def _one_of_each(docs: DataFrame, **how) -> DataFrame:
     found = near_duplicates(docs.select("doc_id", "text"), **how).where("component is not null")
     rows = found.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
     order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("text_hash").alias("c"))

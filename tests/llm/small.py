@@ -8,7 +8,8 @@ DOCS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
 # Names that the operators use for columns of their own.
-CLASHING = ("chunk", "bucket", "n_words", "size", "kept", "score", "host", "v", "row", "win", "key")
+CLASHING = ("chunk", "bucket", "n_words", "size", "kept", "score", "host", "v", "row", "win", "key",
+            "__id", "__hash", "__keep", "__key", "__slice", "__cut")
 
 
 def prose(seed: int, n: int, words: int = 400) -> str:
