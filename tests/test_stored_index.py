@@ -101,3 +101,8 @@ def test_searches_do_not_build_the_index_again(spark, monkeypatch):
     monkeypatch.setattr(si, "write_index", None)
     for name in ("vsm_score", "vsm_search", "rank_documents", "thesaurus_lookup", "nearest_term"):
         assert C.REGISTRY[name](spark, SF).limit(1).count() == 1
+
+
+def test_buckets_hold_a_bounded_text(spark):
+    assert si.bucket_count(spark, 10 << 30) * (64 << 20) >= 10 << 30
+    assert si.bucket_count(spark, 1 << 50) <= 100_000
