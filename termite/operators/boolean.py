@@ -194,36 +194,87 @@ def _units(tree: DataFrame, terms: DataFrame, frequency: DataFrame) -> DataFrame
         "query_id", "node", F.col("r.term").alias("lead"), "needed", "barred")
 
 
+def _met_units(post: DataFrame, units: DataFrame) -> DataFrame:
+    """``units`` of several terms with the ``doc_id`` that each of them fits."""
+    units = stored(units, "several-terms")
+    leads = units.select(F.col("lead").alias("term")).distinct().withColumn("leads", F.lit(True))
+    words = units.select(F.explode(F.concat("needed", F.flatten("barred"))).alias("term")).distinct()
+    words = broadcast_if_small(words.join(leads, "term", "left"))
+    held = post.select("term", "doc_id").join(words, "term").groupBy("doc_id").agg(
+        F.collect_set("term").alias("held"), F.collect_set(F.when(F.col("leads"), F.col("term"))).alias("leads"))
+    met = held.select("doc_id", "held", F.explode("leads").alias("lead")).join(broadcast_if_small(units), "lead")
+    return met.where((F.size(F.array_except("needed", "held")) == 0) & ~F.exists(
+        "barred", lambda x: F.size(F.array_except(x, "held")) == 0)).drop("held", "needed", "barred", "lead", "alone")
+
+
 def evaluate(post: DataFrame, nodes: DataFrame, terms: DataFrame, frequency: DataFrame | None = None) -> DataFrame:
     """``(query_id, doc_id)`` (distinct, unordered) of parsed queries and their
     operand terms; ``frequency(term, df)`` is counted from the postings if None.
 
-    The wanted terms of each document make one row.  A unit (see :func:`_units`)
-    meets the documents that hold its rarest term and is decided in that row; the
-    levels above are folded from there up.  With postings bucketed by document and
-    the queries' tables small enough to be broadcast, no level needs an exchange.
-    Only the largest height comes to the driver."""
+    A unit (see :func:`_units`) of one term is answered by that term's postings.  For
+    the others the wanted terms of each document that holds a unit's rarest term make
+    one row, in which the unit is decided.  The levels above are folded from there up;
+    each reads only the units and nodes right below it.  With postings bucketed by
+    document and the queries' tables small enough to be broadcast, a level needs an
+    exchange only if nodes of one height stand below several heights.  Only the heights
+    that occur come to the driver."""
     tree = stored(nodes.where("status = 'ok'"), "query-trees")
-    top = tree.agg(F.max("height")).first()[0] or 0
     wanted = broadcast_if_small(terms.select(F.col("corrected").alias("term")).distinct())
     if frequency is None:
         frequency = post.select("term", "doc_id").join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    units = broadcast_if_small(_units(tree, terms, frequency.select("term", "df")))
-    up = broadcast_if_small(tree.select("query_id", "node", "parent", "excluded", "parent_height", "parent_kind", "parent_needed"))
-    held = post.select("term", "doc_id").join(wanted, "term").groupBy("doc_id").agg(F.collect_set("term").alias("held"))
-    met = held.select("doc_id", "held", F.explode("held").alias("lead")).join(units, "lead")
-    fits = (F.size(F.array_except("needed", "held")) == 0) & ~F.exists("barred", lambda x: F.size(F.array_except(x, "held")) == 0)
-    rows = met.where(fits).select("query_id", "node", "doc_id").join(up, ["query_id", "node"])
-    for height in range(1, top + 1):
-        folded = rows.where(F.col("parent_height") == height).groupBy(
-            "query_id", "parent", "doc_id", "parent_kind", "parent_needed").agg(
+    above = ["parent", "excluded", "parent_height", "parent_kind", "parent_needed"]
+    up = broadcast_if_small(tree.select("query_id", "node", *above))
+    alone = (F.size("needed") == 1) & (F.size("barred") == 0)
+    units = stored(_units(tree, terms, frequency.select("term", "df")).join(up, ["query_id", "node"]).withColumn("alone", alone), "placed-units")
+    below: dict[int, set] = {}
+    for r in units.select("parent_height", "alone", "parent_kind").distinct().collect():
+        below.setdefault(r["parent_height"], set()).add("any" if r["alone"] and r["parent_kind"] == "OR" else "one" if r["alone"] else "several")
+    above_of: dict[int, set] = {}
+    for r in tree.where("height > 0").select("height", "parent_height").distinct().collect():
+        above_of.setdefault(r["height"], set()).add(r["parent_height"])
+    columns = ["query_id", "node", "doc_id", *above]
+    several = _met_units(post, units.where("not alone")) if any("several" in kinds for kinds in below.values()) else None
+    if several is not None and sum("several" in kinds for kinds in below.values()) > 1:
+        several = stored(several, "met-units")
+    folds: dict[int, DataFrame] = {}
+
+    def rows_below(height: int) -> list[DataFrame]:
+        """What stands right below the nodes of ``height``, by kind."""
+        kinds, out = below.get(height, set()), []
+        of = lambda x: units.where((F.col("parent_height") == height) & F.col("alone") & ((F.col("parent_kind") == "OR") if x else
+                                   ((F.col("parent_kind") != "OR") | F.col("parent_kind").isNull()))).withColumnRenamed("lead", "term")
+        if "any" in kinds:  # one of an OR's terms is as good as the other
+            side = broadcast_if_small(of(True).select("term", "query_id", F.col("parent").alias("node"), *above).distinct())
+            out.append(post.select("term", "doc_id").join(side, "term").select(columns))
+        if "one" in kinds:
+            side = broadcast_if_small(of(False).select("term", "query_id", "node", *above))
+            out.append(post.select("term", "doc_id").join(side, "term").select(columns).distinct())
+        if "several" in kinds:
+            out.append(several.where(F.col("parent_height") == height).select(columns))
+        out += [kept.where(F.col("parent_height") == height).select(columns) for h, kept in folds.items() if height in above_of[h]]
+        return out
+
+    def joined(parts: list[DataFrame]) -> DataFrame:
+        out = parts[0]
+        for more in parts[1:]:
+            out = out.unionByName(more)
+        return out
+
+    for height in sorted(above_of):
+        parts = rows_below(height)
+        if not parts:
+            continue
+        folded = joined(parts).groupBy("query_id", "parent", "doc_id", "parent_kind", "parent_needed").agg(
             F.count_if(~F.col("excluded")).alias("held"), F.max("excluded").alias("out"))
         kept = folded.where(F.when(F.col("parent_kind") == "OR", F.col("held") > 0).otherwise(
             (F.col("held") == F.col("parent_needed")) & ~F.col("out"))).select(
-            "query_id", F.col("parent").alias("node"), "doc_id")
-        rows = rows.where((F.col("parent_height") > height) | (F.col("parent") < 0)).unionByName(
-            kept.join(up, ["query_id", "node"]))
-    return rows.where("parent < 0").select("query_id", "doc_id")
+            "query_id", F.col("parent").alias("node"), "doc_id").join(up, ["query_id", "node"])
+        folds[height] = stored(kept, "folded-level") if len(above_of[height]) > 1 else kept
+    found = rows_below(-1)
+    if not found:
+        kinds = {f.name: f.dataType for f in (*post.schema.fields, *tree.schema.fields)}
+        return post.select(F.lit(None).cast(kinds["query_id"]).alias("query_id"), "doc_id").limit(0)
+    return joined(found).select("query_id", "doc_id")
 
 
 def retrieve(post: DataFrame, queries: DataFrame, stemmer: str | None | Conflation = "s", vocab: DataFrame | None = None) -> DataFrame:

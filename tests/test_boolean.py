@@ -131,3 +131,21 @@ def test_feedback_tells_status_and_correction(spark):
                                     "query_id long, query string")
     got = {tuple(r) for r in bl.feedback(queries, vocab, None).collect()}
     assert got == {(1, "ok", "data structure"), (2, "ok", None), (3, "unbalanced )", None), (4, "no operand", None)}
+
+
+def test_single_terms_are_answered_by_their_postings(spark):
+    """No row of a document's terms is made for operands of one term, nor at a level
+    of the tree that the units do not stand below."""
+    post = spark.createDataFrame([(f"{t}1", d) for d in range(20) for t in "abcde" if (d + ord(t)) % 3], "term string, doc_id long")
+    texts = ["a1 OR b1 OR c1 OR zz", "d1", "(a1 AND (b1 OR c1)) OR e1", "a1 AND_NOT b1"]
+    held = {}
+    for r in post.collect():
+        held.setdefault(r.doc_id, set()).add(r.term)
+    wants = [lambda h: h & {"a1", "b1", "c1"}, lambda h: "d1" in h, lambda h: "a1" in h and h & {"b1", "c1"} or "e1" in h,
+             lambda h: "a1" in h and "b1" not in h]
+    for text, want in zip(texts, wants):
+        nodes = bl.parse_queries(spark.createDataFrame([(1, text)], "query_id long, query string"))
+        found = bl.evaluate(post, nodes, bl.operand_terms(nodes, None))
+        assert ("collect_set" in found._jdf.queryExecution().executedPlan().toString()) == ("NOT" in text), text
+        rows = [r.doc_id for r in found.collect()]
+        assert sorted(rows) == sorted(d for d, h in held.items() if want(h)), text
