@@ -110,3 +110,25 @@ def test_nested_successors_come_in_pieces(spark):
         mine = sorted(((w, c) for x, w, c in counts if x == a), key=lambda x: (-x[1], x[0]))
         want += [(a, i, w, c) for i, (w, c) in enumerate(mine, 1)]
     assert got == want
+
+
+def test_best_rows_of_a_term_leave_the_tasks_alone(spark):
+    """Pairs are counted in one task each, and a task gives the best rows of a term only."""
+    rng = random.Random(12)
+    post = spark.createDataFrame(sorted({(f"t{int(rng.paretovariate(0.7)) % 60:02d}", d) for d in range(300) for _ in range(12)}),
+                                 "term string, doc_id long").withColumn("tf", F.lit(1).cast("long")).withColumn("first_pos", F.lit(0))
+    vocab = ix.vocabulary(post)
+    whole = th.similar_terms(post, vocab, 0)
+    some = th.similar_terms(post, vocab, 0, best=2, tile=16, chunk=40)
+    want = sorted(map(tuple, th.top_related(whole, 2).collect()))
+    assert sorted(map(tuple, th.top_related(some, 2).collect())) == want
+    assert some.count() < whole.count() / 2
+    counts = th.cooccurrence_counts(th.doc_term_sets(post, th.top_term_ids(vocab, 0)), 40, 16)
+    assert "HashAggregate" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bands_are_bounded_by_postings_and_terms():
+    bands = th.term_bands([(50, 2), (10, 7), (1, 100)], 40, 60)
+    assert [b[0] for b in bands] == [sum(x[1] for x in bands[:i]) for i in range(len(bands))]
+    assert sum(b[1] for b in bands) == 109 and max(b[1] for b in bands) <= 40
+    assert bands[:3] == [(0, 1, 50, 50), (1, 2, 50, 10), (3, 6, 10, 10)]
