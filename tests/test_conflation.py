@@ -59,3 +59,32 @@ def test_porter_through_index_ranked_and_boolean_search(spark):
                                   "query_id long, query string")
     hits = bl.retrieve(index.postings, asked, "porter").collect()
     assert {(r.query_id, r.doc_id) for r in hits} == {(1, 1), (1, 2), (2, 1), (2, 2), (3, 3), (3, 4)}
+
+
+def exchanges(df, of: str) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0].count(f"Exchange hashpartitioning({of}")
+
+
+@pytest.mark.parametrize("limit", [1 << 27, 1300, 300])
+def test_tokens_travel_once_to_their_document(spark, monkeypatch, limit):
+    """All changed terms broadcast; the frequent terms; fewer of these.  Repeated and
+    missing ids keep their meaning."""
+    monkeypatch.setattr(cf, "MAX_BROADCAST_BYTES", limit)
+    rows = texts(80, 5)
+    lemmas = spark.createDataFrame(list(LEMMAS.items()), "term string, lemma string")
+    docs = spark.createDataFrame(rows + rows[:3] + [(None, "probes running")], "doc_id long, text string")
+    got = cf.term_arrays(docs, "doc_id", "text", cf.Conflation(lemmas), parts=3)
+    if limit == 1 << 27:
+        assert exchanges(got.repartition(3, "doc_id"), "doc_id") == 1 and exchanges(got, "term") == 0
+    want = {i: brute(t, LEMMAS, True) for i, t in rows}
+    found = {r.doc_id: list(r.terms) for r in got.collect()}
+    assert found.pop(None) == []
+    assert {i: sorted(v) for i, v in found.items()} == {i: sorted(w * (1 + (i < 3))) for i, w in want.items()}
+    assert all(found[i] == w for i, w in want.items() if i >= 3)
+
+
+def test_frequent_terms_are_broadcast_as_far_as_they_fit(spark, monkeypatch):
+    forms = spark.createDataFrame([("aa", 1, "aa"), ("bb", 9, "bb"), ("cc", 70, None), ("dd", 300, "dd")], "term string, cf long, form string")
+    for limit, above in ((0, cf.HOT_TERM), (28, 255), (54, 63), (82, 7), (200, 0)):
+        monkeypatch.setattr(cf, "MAX_BROADCAST_BYTES", limit)
+        assert cf.hot_above(forms) == above, limit
