@@ -57,3 +57,14 @@ def test_boolean_search_keeps_five_documents_a_query_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(bl.first_documents(hits, 5))
     # the levels of all trees are folded where the documents' postings lie
     assert "Exchange hashpartitioning(query_id" not in plan(hits)
+
+
+def test_binarise_counts_where_the_postings_lie(spark):
+    from termite.operators import index as ix
+
+    p = plan(C.REGISTRY["binarise"](spark, SF))
+    assert "hashpartitioning(doc_id" not in p and "regexp_extract_all" not in p
+    tokens = C.corpus_index(spark, SF).tokens
+    want = tokens.join(ix.top_terms(tokens).select("term"), "term").select("doc_id", "term").distinct()
+    got = C.REGISTRY["binarise"](spark, SF)
+    assert sorted(map(tuple, got.collect())) == sorted((r.doc_id, r.term, 1) for r in want.collect())
