@@ -132,3 +132,43 @@ def test_bands_are_bounded_by_postings_and_terms():
     assert [b[0] for b in bands] == [sum(x[1] for x in bands[:i]) for i in range(len(bands))]
     assert sum(b[1] for b in bands) == 109 and max(b[1] for b in bands) <= 40
     assert bands[:3] == [(0, 1, 50, 50), (1, 2, 50, 10), (3, 6, 10, 10)]
+
+
+def test_two_bands_meet_in_one_task():
+    """Also for rows of both directions; asked terms of few postings share a task."""
+    bands = [(0, 1, 50, 50), (1, 2, 50, 10), (3, 6, 10, 10), (9, 30, 10, 1)]
+    met = [{*lefts, b} for lefts, b in th.band_tasks(bands, 0.0, None, 60)]
+    assert len(met) == 10 and all({a, b} in met for a in range(4) for b in range(4))
+    assert {(a, b) for lefts, b in th.band_tasks(bands, 0.5, None, 60) for a in lefts} == {
+        (0, 0), (0, 1), (1, 1), (1, 2), (2, 2), (1, 3), (2, 3), (3, 3)}
+    few = th.band_tasks(bands, 0.0, {0: 40, 2: 20, 3: 5}, 60)
+    assert few == [(lefts, b) for b in range(4) for lefts in ([0, 2], [3])]
+
+
+def test_bands_of_all_pairs_are_bounded_by_what_their_task_gives():
+    assert th.band_postings(50_000) < 2 << 20
+    assert th.band_postings(1 << 62) == th.BAND_POSTINGS
+
+
+def test_both_directions_of_all_pairs_leave_the_task(spark, monkeypatch):
+    rng = random.Random(5)
+    post = spark.createDataFrame(sorted({(f"t{int(rng.paretovariate(0.7)) % 50:02d}", d) for d in range(200) for _ in range(9)}),
+                                 "term string, doc_id long").withColumn("tf", F.lit(1).cast("long")).withColumn("first_pos", F.lit(0))
+    vocab = ix.vocabulary(post)
+    docs = {}
+    for r in post.collect():
+        docs.setdefault(r.doc_id, []).append(r.term)
+    want = _brute_cooc(docs)
+    monkeypatch.setattr(th, "LEAST_POSTINGS", 1)
+    both = th.similar_terms(post, vocab, 0, tile=9, chunk=30)
+    assert "Generate" not in both._jdf.queryExecution().executedPlan().toString()
+    rows = both.collect()
+    assert sorted((r.term, r.related, r.co) for r in rows) == sorted(x for (a, b), co in want.items() for x in ((a, b, co), (b, a, co)))
+    once = th.similar_terms(post, vocab, 0, tile=9, chunk=30, once=True).collect()
+    assert sorted((r.term, r.related, r.co) for r in once) == sorted((a, b, co) for (a, b), co in want.items())
+    asked = spark.createDataFrame([("t01",), ("t07",), ("t33",)], "term string")
+    for n in (1, 3):
+        best = th.top_related(th.similar_terms(post, vocab, 0, tile=9, chunk=30, best=n), n).collect()
+        assert sorted(map(tuple, best)) == sorted(map(tuple, th.top_related(both, n).collect()))
+        some = th.top_related(th.similar_terms(post, vocab, 0, asked=asked, tile=9, chunk=30, best=n), n).collect()
+        assert sorted(map(tuple, some)) == sorted(tuple(r) for r in best if r.term in ("t01", "t07", "t33"))
